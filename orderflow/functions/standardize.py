@@ -60,10 +60,46 @@ def parse_int(c: Column) -> Column:
     return c.try_cast("int")
 
 
+def _fixed_prefix_literals(fmt: str) -> list[tuple[int, str]]:
+    """1-based positions of the literal characters a datetime pattern puts
+    before its first variable-width field (``dd`` and ``MM`` are exactly two
+    digits; ``yyyy`` and anything else end the fixed prefix)."""
+    out, pos, i = [], 1, 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch == "'":
+            break  # quoted text: stop guarding here
+        if ch.isalpha():
+            j = i
+            while j < len(fmt) and fmt[j] == ch:
+                j += 1
+            if fmt[i:j] not in ("dd", "MM"):
+                break
+            pos, i = pos + (j - i), j
+        else:
+            out.append((pos, ch))
+            pos, i = pos + 1, i + 1
+    return out
+
+
 def parse_date(c: Column, formats: Iterable[str]) -> Column:
-    """First format that parses the trimmed text wins; none -> null."""
+    """First format that parses the trimmed text wins; none -> null.
+
+    Each format is tried only where its fixed separators sit at the right
+    positions. Any text the parser could accept passes that guard, so the
+    result is unchanged, but text in another format no longer goes through
+    the parser's (slow, exception-based) failure path.
+    """
     trimmed = F.trim(c)
-    return F.coalesce(*[F.try_to_date(trimmed, fmt) for fmt in formats])
+    parsed = []
+    for fmt in formats:
+        guard = None
+        for pos, lit in _fixed_prefix_literals(fmt):
+            cond = F.substring(trimmed, pos, 1) == F.lit(lit)
+            guard = cond if guard is None else guard & cond
+        attempt = F.try_to_date(trimmed, fmt)
+        parsed.append(attempt if guard is None else F.when(guard, attempt))
+    return F.coalesce(*parsed)
 
 
 def map_values(
@@ -90,4 +126,4 @@ def map_values(
 
 def null_sentinels(c: Column, sentinels: Iterable[str]) -> Column:
     """Null for null, the empty string, or an exact sentinel match."""
-    return F.when(c.isNull() | (c == "") | c.isin(*list(sentinels)), F.lit(None)).otherwise(c)
+    return F.when(F.coalesce(c, F.lit("")).isin("", *list(sentinels)), F.lit(None)).otherwise(c)

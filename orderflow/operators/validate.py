@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderflow.functions import standardize as S
 from orderflow.specs import INVALID, REASON_COLUMN, STATUS_COLUMN, VALID, EntitySpec
 
 
@@ -21,21 +22,42 @@ def _check_columns(df: DataFrame, spec: EntitySpec) -> None:
         raise ValueError(f"{spec.name}: missing required column(s) {missing}; got {df.columns}")
 
 
+def _col(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
 def standardize(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Apply every field of ``spec`` in one ``select``.
+    """Apply every field of ``spec``.
 
     In-place fields keep their position; derived fields are appended in spec
     order; columns the spec does not mention pass through unchanged.
+
+    The three steps of a field (normalise, synonyms, sentinels) are separate
+    projections over named intermediates: a later step refers to the value
+    several times, and Catalyst keeps a non-trivial intermediate in its own
+    projection (computed once per row) instead of inlining it at every
+    reference. The projections still fuse into one codegen stage.
     """
     _check_columns(df, spec)
+    tmp = {f.name: f"__std_{i}" for i, f in enumerate(spec.fields)}
+    passthrough = [_col(c) for c in df.columns]
+    step = df.select(*passthrough, *[f.expr("normalize", _col(f.raw)).alias(tmp[f.name]) for f in spec.fields])
+    step = step.select(
+        *passthrough,
+        *[(S.map_values(_col(tmp[f.name]), f.synonyms, key=f.synonym_key) if f.synonyms else _col(tmp[f.name])).alias(tmp[f.name]) for f in spec.fields],
+    )
+    step = step.select(
+        *passthrough,
+        *[(S.null_sentinels(_col(tmp[f.name]), f.sentinels) if f.sentinels is not None else _col(tmp[f.name])).alias(tmp[f.name]) for f in spec.fields],
+    )
     in_place = {f.name: f for f in spec.fields if f.raw == f.name}
     derived = [f for f in spec.fields if f.raw != f.name]
     cols: list[Column] = []
     for c in df.columns:
         f = in_place.get(c)
-        cols.append(f.expr(c=df[c]).cast(f.dtype).alias(c) if f else df[c])
-    cols.extend(f.expr(c=df[f.raw]).cast(f.dtype).alias(f.name) for f in derived)
-    return df.select(*cols)
+        cols.append(_col(tmp[c]).cast(f.dtype).alias(c) if f else _col(c))
+    cols.extend(_col(tmp[f.name]).cast(f.dtype).alias(f.name) for f in derived)
+    return step.select(*cols)
 
 
 def error_reason(spec: EntitySpec) -> Column:
@@ -47,7 +69,7 @@ def error_reason(spec: EntitySpec) -> Column:
 def validate_standardized(df: DataFrame, spec: EntitySpec) -> DataFrame:
     with_reason = df.select("*", error_reason(spec).alias(REASON_COLUMN))
     status = F.when(F.col(REASON_COLUMN).isNull(), F.lit(VALID)).otherwise(F.lit(INVALID))
-    out_cols = [F.col(c) for c in df.columns]
+    out_cols = [_col(c) for c in df.columns]
     return with_reason.select(*out_cols, status.alias(STATUS_COLUMN), F.col(REASON_COLUMN))
 
 

@@ -1,9 +1,13 @@
 """Per-session access to the derived tables the registered queries share.
 
-A workspace derives the raw tables from a test-data folder, materialises
-the processed zone once (stage 1, written as Parquet under the shared
-checkpoint folder) and builds every later table lazily on top of it, so each
-query plan starts from plain Parquet scans (see ``plans.stages``).
+A workspace derives the raw tables from a test-data folder and lands each
+once as Parquet under the shared checkpoint folder, spread over the
+session's default parallelism the way a raw zone arrives as many files (the
+test tables are single-row-group files, which Spark cannot split, so
+without this every narrow stage after them would run as one task). It then
+materialises the processed zone once (stage 1) and builds every later table
+lazily on top of it, so each query plan starts from plain Parquet scans
+(see ``plans.stages``).
 """
 
 from __future__ import annotations
@@ -36,7 +40,13 @@ class Workspace:
 
     # -- raw --------------------------------------------------------------
     def raw(self, entity: str) -> DataFrame:
-        return fixtures.raw_table(self.spark, self.sf_dir, entity)
+        tag = f"landed:{entity}"
+        path = self.zones.staging(f"landed_{entity}")
+        if tag not in self._written:
+            derived = fixtures.raw_table(self.spark, self.sf_dir, entity)
+            io.write_parquet(derived.repartition(self.spark.sparkContext.defaultParallelism), path)
+            self._written[tag] = derived.schema
+        return io.read_parquet(self.spark, path, self._written[tag])  # type: ignore[arg-type]
 
     def raw_csv_path(self, entity: str) -> str:
         """The raw table written once as CSV into the raw zone."""
