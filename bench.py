@@ -82,7 +82,7 @@ def main() -> None:
     # Warm-up pass on the smallest data: JVM class loading, JIT and Spark's
     # generated-code cache (keyed by the code, so the same plans at another
     # scale reuse it). Not timed.
-    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
     if os.path.isdir(warm_dir) and warm_dir.rstrip("/") != sf_dir:
         measure(warm_dir)
     times = measure(sf_dir)
