@@ -1,7 +1,7 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Every query is executed in full with the ``noop`` sink (no collect to the
-driver). ``processed_zone`` is stage 1 written once (the barrier the later
+driver); each headline query reports the best of ``REPEAT`` runs. ``processed_zone`` is stage 1 written once (the barrier the later
 queries read); ``etl_end_to_end`` is a fresh stage 1 + stage 2 run from the
 raw CSV zone. Prints one JSON line.
 """
@@ -27,6 +27,7 @@ HEADLINE = (
     "sales_summary",
     "fact_orders",
 )
+REPEAT = 2  # best of N per headline query (the VM is noisy)
 
 
 def main() -> None:
@@ -68,9 +69,12 @@ def main() -> None:
             ws.processed(n)
         times["processed_zone"] = time.perf_counter() - t
         for name in HEADLINE:
-            t = time.perf_counter()
-            run(QUERIES[name](spark, root))
-            times[name] = time.perf_counter() - t
+            best = float("inf")
+            for _ in range(REPEAT):
+                t = time.perf_counter()
+                run(QUERIES[name](spark, root))
+                best = min(best, time.perf_counter() - t)
+            times[name] = best
         zones = io.Zones(new_work_dir(spark, "bench-etl"))
         for n in ENTITIES:
             io.write_csv(ws.raw(n), zones.raw(n))

@@ -20,7 +20,8 @@ and a lost executor costs a task retry, not a rerun of the stage.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -44,23 +45,48 @@ CURATED_OUTPUTS = (
 )
 
 
+def run_concurrently(jobs: Mapping[str, Callable[[], object]]) -> dict[str, object]:
+    """Submit independent Spark actions from driver threads.
+
+    The jobs share the cluster's task slots, so a small output does not wait
+    for a large one and per-job latency overlaps. An exception in any job is
+    re-raised after all of them finished.
+    """
+    if len(jobs) <= 1:
+        return {name: job() for name, job in jobs.items()}
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 @dataclass
 class StageResult:
     outputs: dict[str, str] = field(default_factory=dict)
     frames: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def _write_all(outputs: Mapping[str, tuple[DataFrame, str]], result: StageResult) -> None:
+    run_concurrently({n: (lambda df=df, path=path: io.write_parquet(df, path)) for n, (df, path) in outputs.items()})
+    for n, (_, path) in outputs.items():
+        result.outputs[n] = path
+
+
 def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zones) -> StageResult:
     """Standardise, validate, split and summarise each raw entity."""
     result = StageResult()
-    counts = {}
-    for name, df in raw.items():
-        obs = Observation(f"validation_{name}")
-        validated = validate(df, ENTITIES[name]).observe(obs, *status_counts_exprs())
-        path = zones.processed(name)
-        io.write_processed(validated, path)
-        counts[name] = obs.get
-        result.outputs[name] = path
+
+    def process(name: str, df: DataFrame) -> Callable[[], dict]:
+        def job() -> dict:
+            obs = Observation(f"validation_{name}")
+            validated = validate(df, ENTITIES[name]).observe(obs, *status_counts_exprs())
+            io.write_processed(validated, zones.processed(name))
+            return obs.get
+
+        return job
+
+    counts = run_concurrently({name: process(name, df) for name, df in raw.items()})
+    for name in raw:
+        result.outputs[name] = zones.processed(name)
     summary = validation_summary_from_counts(spark, counts)
     io.write_parquet(summary.coalesce(1), zones.validation_summary)
     result.outputs["validation_summary"] = zones.validation_summary
@@ -83,12 +109,11 @@ def curate(spark: SparkSession, zones: io.Zones) -> StageResult:
     deduped = {n: dedup(df, ENTITIES[n].key, ENTITIES[n].dedup_order) for n, df in valid.items()}
 
     # Dimensions first: they are also the join inputs of the orders.
-    for name, build, entity in (
-        ("dim_customers", marts.dim_customers, "customers"),
-        ("dim_products", marts.dim_products, "products"),
-    ):
-        io.write_parquet(build(deduped[entity]), zones.curated(name))
-        result.outputs[name] = zones.curated(name)
+    dims = {
+        "dim_customers": marts.dim_customers(deduped["customers"]),
+        "dim_products": marts.dim_products(deduped["products"]),
+    }
+    _write_all({n: (df, zones.curated(n)) for n, df in dims.items()}, result)
     dim_c = io.read_parquet(spark, zones.curated("dim_customers"))
     dim_p = io.read_parquet(spark, zones.curated("dim_products"))
 
@@ -98,24 +123,21 @@ def curate(spark: SparkSession, zones: io.Zones) -> StageResult:
 
     # Orphans before the curated tables; an order missing both parents lands
     # in both quarantines.
+    orphans: dict[str, tuple[DataFrame, str]] = {}
     for parent, key, flag in (
         ("customers", "customer_id", marts.HAS_CUSTOMER),
         ("products", "product_id", marts.HAS_PRODUCT),
     ):
-        orphan = key_first(tagged.where(~F.col(flag)), key, order_cols)
-        io.write_parquet(orphan, zones.orphans(parent))
-        result.outputs[f"orphan_{parent}"] = zones.orphans(parent)
+        orphans[f"orphan_{parent}"] = (key_first(tagged.where(~F.col(flag)), key, order_cols), zones.orphans(parent))
+    _write_all(orphans, result)
 
     measured = marts.add_measures(marts.enrich(tagged))
-    builders = {
-        "customer_metrics": lambda: marts.customer_metrics(measured),
-        "product_metrics": lambda: marts.product_metrics(measured),
-        "sales_summary": lambda: marts.sales_summary(measured),
-        "fact_orders": lambda: marts.fact_orders(measured),
-    }
-    for name, build in builders.items():
-        io.write_parquet(build(), zones.curated(name))
-        result.outputs[name] = zones.curated(name)
+    outputs: dict[str, tuple[DataFrame, str]] = {}
+    outputs["customer_metrics"] = (marts.customer_metrics(measured), zones.curated("customer_metrics"))
+    outputs["product_metrics"] = (marts.product_metrics(measured), zones.curated("product_metrics"))
+    outputs["sales_summary"] = (marts.sales_summary(measured), zones.curated("sales_summary"))
+    outputs["fact_orders"] = (marts.fact_orders(measured), zones.curated("fact_orders"))
+    _write_all(outputs, result)
 
     result.frames["duplicate_summary_after"] = duplicate_summary(
         {
