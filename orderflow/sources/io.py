@@ -85,7 +85,7 @@ class Zones:
         return f"{self.root}/_staging/{name}"
 
 
-def status_last_to_reference_order(df: DataFrame) -> DataFrame:
+def status_before_reason(df: DataFrame) -> DataFrame:
     """Partition columns come back last; put ``record_status`` back before
     ``error_reason``."""
     cols = [c for c in df.columns if c != STATUS_COLUMN]
@@ -112,7 +112,7 @@ def read_processed(
     df = read_parquet(spark, path, schema)
     if status is not None:
         df = df.where(F.col(STATUS_COLUMN) == F.lit(status))
-    return status_last_to_reference_order(df)
+    return status_before_reason(df)
 
 
 def read_quarantine(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
