@@ -160,20 +160,20 @@ def etl_output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _orphans(parent: str, key: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         ws = Workspace.of(spark, sf_dir)
-        return integrity.orphans(ws.deduped("orders"), ws.deduped(parent), key)
+        return integrity.orphans(ws.deduped("orders"), ws.parent(parent), key)
 
     return q
 
 
 def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace.of(spark, sf_dir)
-    return integrity.with_parent(ws.deduped("orders"), ws.deduped("customers"), "customer_id")
+    return integrity.with_parent(ws.deduped("orders"), ws.parent("customers"), "customer_id")
 
 
 def referentially_valid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace.of(spark, sf_dir)
-    with_customer = integrity.with_parent(ws.deduped("orders"), ws.deduped("customers"), "customer_id")
-    return integrity.with_parent(with_customer, ws.deduped("products"), "product_id")
+    with_customer = integrity.with_parent(ws.deduped("orders"), ws.parent("customers"), "customer_id")
+    return integrity.with_parent(with_customer, ws.parent("products"), "product_id")
 
 
 def sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,8 +80,20 @@ class Workspace:
         spec = ENTITIES[entity]
         return dedup(self.valid(entity), spec.key, spec.dedup_order)
 
+    def parent(self, entity: str) -> DataFrame:
+        """A deduplicated parent table (customers / products), written once
+        like the dimensions of stage 2, so joins against it see a plain scan
+        (which also lets AQE split a skewed order partition)."""
+        tag = f"parent:{entity}"
+        path = self.zones.staging(f"dedup_{entity}")
+        if tag not in self._written:
+            deduped = self.deduped(entity)
+            io.write_parquet(deduped, path)
+            self._written[tag] = deduped.schema
+        return io.read_parquet(self.spark, path, self._written[tag])  # type: ignore[arg-type]
+
     def tagged(self) -> DataFrame:
-        return marts.tag_orders(self.deduped("orders"), self.deduped("customers"), self.deduped("products"))
+        return marts.tag_orders(self.deduped("orders"), self.parent("customers"), self.parent("products"))
 
     def measured(self) -> DataFrame:
         return marts.add_measures(marts.enrich(self.tagged()))
