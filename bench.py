@@ -48,6 +48,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     from orderflow.plans import stages
+    from orderflow.plans.stages import run_concurrently
     from orderflow.plans.catalog import QUERIES
     from orderflow.plans.workspace import Workspace
     from orderflow.session import new_work_dir
@@ -61,12 +62,10 @@ def main() -> None:
         times: dict[str, float] = {}
         ws = Workspace.of(spark, root)
         t = time.perf_counter()
-        for n in ENTITIES:
-            ws.raw(n)
+        run_concurrently({n: (lambda n=n: ws.raw(n)) for n in ENTITIES})
         times["raw_zone"] = time.perf_counter() - t
         t = time.perf_counter()
-        for n in ENTITIES:
-            ws.processed(n)
+        run_concurrently({n: (lambda n=n: ws.processed(n)) for n in ENTITIES})
         times["processed_zone"] = time.perf_counter() - t
         for name in HEADLINE:
             best = float("inf")
