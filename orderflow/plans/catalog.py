@@ -149,8 +149,8 @@ def etl_output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = stages.run(spark, zones)
     frames = {}
     for n in ENTITIES:
-        frames[f"valid_{n}"] = io.read_processed(spark, result.outputs[n], VALID)
-        frames[f"invalid_{n}"] = io.read_processed(spark, result.outputs[n], INVALID)
+        frames[f"valid_{n}"] = io.read_processed(spark, result.outputs[n], VALID, result.schemas[n])
+        frames[f"invalid_{n}"] = io.read_processed(spark, result.outputs[n], INVALID, result.schemas[n])
     for name in ("validation_summary", "orphan_customers", "orphan_products", *stages.CURATED_OUTPUTS):
         frames[name] = io.read_parquet(spark, result.outputs[name])
     return summary.table_counts(frames)

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderflow.operators import marts
 from orderflow.operators.dedup import dedup
@@ -63,6 +64,7 @@ def run_concurrently(jobs: Mapping[str, Callable[[], object]]) -> dict[str, obje
 class StageResult:
     outputs: dict[str, str] = field(default_factory=dict)
     frames: dict[str, DataFrame] = field(default_factory=dict)
+    schemas: dict[str, StructType] = field(default_factory=dict)
 
 
 def _write_all(outputs: Mapping[str, tuple[DataFrame, str]], result: StageResult) -> None:
@@ -85,8 +87,9 @@ def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zon
         return job
 
     counts = run_concurrently({name: process(name, df) for name, df in raw.items()})
-    for name in raw:
+    for name, df in raw.items():
         result.outputs[name] = zones.processed(name)
+        result.schemas[name] = io.partition_schema_last(validate(df, ENTITIES[name]).schema)
     summary = validation_summary_from_counts(spark, counts)
     io.write_parquet(summary.coalesce(1), zones.validation_summary)
     result.outputs["validation_summary"] = zones.validation_summary
@@ -94,15 +97,23 @@ def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zon
     return result
 
 
-def read_valid(spark: SparkSession, zones: io.Zones, entity: str) -> DataFrame:
-    """S2 + P13: the valid partition of a processed table, re-typed."""
-    return io.retype(io.read_processed(spark, zones.processed(entity)), entity)
+def read_valid(spark: SparkSession, zones: io.Zones, entity: str, schema: StructType | None = None) -> DataFrame:
+    """S2 + P13: the valid partition of a processed table, re-typed.
 
+    A processed table written from zero rows has no data files (partitioned
+    writes create none), so its schema comes from stage 1 when known, else
+    from the spec."""
+    path = zones.processed(entity)
+    if schema is None and not io.has_data_files(spark, path):
+        schema = io.partition_schema_last(StructType.fromDDL(ENTITIES[entity].processed_ddl()))
+    return io.retype(io.read_processed(spark, path, schema=schema), entity)
 
-def curate(spark: SparkSession, zones: io.Zones) -> StageResult:
+
+def curate(spark: SparkSession, zones: io.Zones, schemas: Mapping[str, StructType] | None = None) -> StageResult:
     """Dedup, referential integrity, enrichment, marts, star schema."""
     result = StageResult()
-    valid = {name: read_valid(spark, zones, name) for name in ENTITIES}
+    schemas = schemas or {}
+    valid = {name: read_valid(spark, zones, name, schemas.get(name)) for name in ENTITIES}
     result.frames["duplicate_summary_before"] = duplicate_summary(
         {n: (df, ENTITIES[n].key) for n, df in valid.items()}
     )
@@ -156,11 +167,12 @@ def run(spark: SparkSession, zones: io.Zones, *, show_summaries: bool = False) -
     first = process_raw(spark, raw, zones)
     if show_summaries:
         first.frames["validation_summary"].show(truncate=False)
-    second = curate(spark, zones)
+    second = curate(spark, zones, first.schemas)
     if show_summaries:
         second.frames["duplicate_summary_before"].show(truncate=False)
         second.frames["duplicate_summary_after"].show(truncate=False)
     return StageResult(
         outputs={**first.outputs, **second.outputs},
         frames={**first.frames, **second.frames},
+        schemas=first.schemas,
     )

@@ -122,6 +122,15 @@ class EntitySpec:
         """Columns whose processed type is not string."""
         return {f.name: f.dtype for f in self.fields if f.dtype != "string"}
 
+    def processed_ddl(self) -> str:
+        """Processed columns (for raw input with exactly ``raw_columns``):
+        raw columns in order, derived fields appended, then the verdict."""
+        typed = self.typed_columns
+        derived = [f.name for f in self.fields if f.raw != f.name]
+        cols = [*self.raw_columns, *derived]
+        parts = [f"`{c}` {typed.get(c, 'string')}" for c in cols]
+        return ", ".join([*parts, f"`{STATUS_COLUMN}` string", f"`{REASON_COLUMN}` string"])
+
 
 _money = partial(S.parse_decimal, remove=MONEY_REMOVE)
 _price = partial(S.parse_decimal, remove=PRICE_REMOVE)
