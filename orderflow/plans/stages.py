@@ -128,8 +128,12 @@ def curate(spark: SparkSession, zones: io.Zones, schemas: Mapping[str, StructTyp
     dim_c = io.read_parquet(spark, zones.curated("dim_customers"))
     dim_p = io.read_parquet(spark, zones.curated("dim_products"))
 
-    io.write_parquet(marts.tag_orders(deduped["orders"], dim_c, dim_p), zones.staging("tagged_orders"))
-    tagged = io.read_parquet(spark, zones.staging("tagged_orders"))
+    # Partitioned by the two presence flags: the orphan outputs and the marts
+    # each read only their own files.
+    tag_df = marts.tag_orders(deduped["orders"], dim_c, dim_p)
+    flags = (marts.HAS_CUSTOMER, marts.HAS_PRODUCT)
+    io.write_parquet(tag_df, zones.staging("tagged_orders"), partition_by=flags)
+    tagged = io.read_parquet(spark, zones.staging("tagged_orders"), tag_df.schema)
     order_cols = deduped["orders"].columns
 
     # Orphans before the curated tables; an order missing both parents lands
