@@ -24,6 +24,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -101,12 +102,17 @@ def read_valid(spark: SparkSession, zones: io.Zones, entity: str, schema: Struct
     """S2 + P13: the valid partition of a processed table, re-typed.
 
     A processed table written from zero rows has no data files (partitioned
-    writes create none), so its schema comes from stage 1 when known, else
-    from the spec."""
+    writes create none), so there is no schema to infer: it then comes from
+    stage 1 when known, else from the spec."""
     path = zones.processed(entity)
-    if schema is None and not io.has_data_files(spark, path):
-        schema = io.partition_schema_last(StructType.fromDDL(ENTITIES[entity].processed_ddl()))
-    return io.retype(io.read_processed(spark, path, schema=schema), entity)
+    try:
+        df = io.read_processed(spark, path, schema=schema)
+    except AnalysisException:
+        if schema is not None:
+            raise
+        spec_schema = io.partition_schema_last(StructType.fromDDL(ENTITIES[entity].processed_ddl()))
+        df = io.read_processed(spark, path, schema=spec_schema)
+    return io.retype(df, entity)
 
 
 def curate(spark: SparkSession, zones: io.Zones, schemas: Mapping[str, StructType] | None = None) -> StageResult:

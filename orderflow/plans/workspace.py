@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderflow.operators import marts
 from orderflow.operators.dedup import dedup
 from orderflow.operators.validate import validate
-from orderflow.session import new_work_dir
+from orderflow.session import app_id, default_parallelism, new_work_dir
 from orderflow.sources import fixtures, io
 from orderflow.specs import ENTITIES, INVALID, VALID
 
@@ -33,7 +33,7 @@ class Workspace:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        key = (app_id(spark), sf_dir.rstrip("/"))
         if key not in _CACHE:
             _CACHE[key] = cls(spark, sf_dir)
         return _CACHE[key]
@@ -52,7 +52,7 @@ class Workspace:
         path = self.zones.staging(f"landed_{entity}")
         if tag not in self._written:
             derived = fixtures.raw_table(self.spark, self.sf_dir, entity)
-            io.write_parquet(derived.repartition(self.spark.sparkContext.defaultParallelism), path)
+            io.write_parquet(derived.repartition(default_parallelism(self.spark)), path)
             self._written[tag] = derived.schema
         return io.read_parquet(self.spark, path, self._written[tag])  # type: ignore[arg-type]
 

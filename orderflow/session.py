@@ -18,25 +18,45 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        master = spark.sparkContext.master
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is unset; set it to a shared folder (HDFS, object store) on a cluster"
             )
-        app = spark.sparkContext.applicationId
+        app = app_id(spark)
         if app not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="orderflow-checkpoints-")
-            spark.sparkContext.setCheckpointDir(_LOCAL_ROOTS[app])
+            if sc is not None:
+                sc.setCheckpointDir(_LOCAL_ROOTS[app])
         root = _LOCAL_ROOTS[app]
     return root.rstrip("/")
 
 
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    app = spark.sparkContext.applicationId
-    return f"{checkpoint_root(spark)}/orderflow/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/orderflow/{app_id(spark)}/{label}-{uuid.uuid4().hex[:12]}"

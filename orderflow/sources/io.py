@@ -96,21 +96,6 @@ def status_before_reason(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def has_data_files(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder holds any data file (listing only, no scan)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    files = fs.listFiles(hpath, True)
-    while files.hasNext():
-        name = files.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return True
-    return False
-
-
 def write_processed(validated: DataFrame, path: str) -> None:
     """Valid and quarantined rows in one write job."""
     write_parquet(validated, path, partition_by=(STATUS_COLUMN,))
