@@ -1,10 +1,10 @@
 """Per-session access to the derived tables the registered queries share.
 
 A workspace derives the raw tables from a test-data folder and lands each
-once as Parquet under the shared checkpoint folder, spread over the
-session's default parallelism the way a raw zone arrives as many files (the
-test tables are single-row-group files, which Spark cannot split, so
-without this every narrow stage after them would run as one task). It then
+once as Parquet under the shared checkpoint folder, rebalanced into evenly
+sized files the way a raw zone arrives as many files (the test tables are
+single-row-group files, which Spark cannot split, so without this every
+narrow stage after them would run as one task). It then
 materialises the processed zone once (stage 1) and builds every later table
 lazily on top of it, so each query plan starts from plain Parquet scans
 (see ``plans.stages``).
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderflow.operators import marts
 from orderflow.operators.dedup import dedup
 from orderflow.operators.validate import validate
-from orderflow.session import app_id, default_parallelism, new_work_dir
+from orderflow.session import app_id, new_work_dir
 from orderflow.sources import fixtures, io
 from orderflow.specs import ENTITIES, INVALID, VALID
 
@@ -52,7 +52,9 @@ class Workspace:
         path = self.zones.staging(f"landed_{entity}")
         if tag not in self._written:
             derived = fixtures.raw_table(self.spark, self.sf_dir, entity)
-            io.write_parquet(derived.repartition(default_parallelism(self.spark)), path)
+            # AQE sizes the rebalanced partitions: split when large, merged
+            # when small, so the landing is parallel here and bounded at scale.
+            io.write_parquet(derived.hint("rebalance"), path)
             self._written[tag] = derived.schema
         return io.read_parquet(self.spark, path, self._written[tag])  # type: ignore[arg-type]
 
