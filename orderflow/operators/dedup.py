@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderflow.specs import REASON_COLUMN, STATUS_COLUMN, VALID, EntitySpec
+
 _SURVIVOR = "__survivor"
 
 
@@ -40,6 +42,20 @@ def dedup(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     return best.select(*[F.col(key) if c == key else picked.getField(c).alias(c) for c in df.columns])
 
 
+def dedup_valid(valid: DataFrame, spec: EntitySpec) -> DataFrame:
+    """D1 for the valid rows of a processed table.
+
+    ``record_status`` is ``Valid`` and ``error_reason`` null on every such
+    row, so they cannot change the survivor: they are left out of the
+    shuffle (smaller rows on the largest exchange of stage 2) and put back
+    as constants afterwards.
+    """
+    constants = {STATUS_COLUMN: F.lit(VALID), REASON_COLUMN: F.lit(None).cast("string")}
+    present = [c for c in constants if c in valid.columns]
+    survivors = dedup(valid.drop(*present), spec.key, spec.dedup_order)
+    return survivors.select(*[constants[c].alias(c) if c in present else F.col(c) for c in valid.columns])
+
+
 def dedup_by_window(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     """Same survivors via ``row_number() == 1`` over a key window.
 

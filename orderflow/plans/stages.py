@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from orderflow.operators import marts
-from orderflow.operators.dedup import dedup
+from orderflow.operators.dedup import dedup_valid
 from orderflow.operators.integrity import key_first
 from orderflow.operators.summary import duplicate_summary, status_counts_exprs, validation_summary_from_counts
 from orderflow.operators.validate import validate
@@ -123,7 +123,7 @@ def curate(spark: SparkSession, zones: io.Zones, schemas: Mapping[str, StructTyp
     result.frames["duplicate_summary_before"] = duplicate_summary(
         {n: (df, ENTITIES[n].key) for n, df in valid.items()}
     )
-    deduped = {n: dedup(df, ENTITIES[n].key, ENTITIES[n].dedup_order) for n, df in valid.items()}
+    deduped = {n: dedup_valid(df, ENTITIES[n]) for n, df in valid.items()}
 
     # Dimensions first: they are also the join inputs of the orders.
     dims = {

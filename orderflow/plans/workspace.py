@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.operators import marts
-from orderflow.operators.dedup import dedup
+from orderflow.operators.dedup import dedup_valid
 from orderflow.operators.validate import validate
 from orderflow.session import app_id, new_work_dir
 from orderflow.sources import fixtures, io
@@ -87,8 +87,7 @@ class Workspace:
 
     # -- stage 2, lazily over the processed zone ----------------------------
     def deduped(self, entity: str) -> DataFrame:
-        spec = ENTITIES[entity]
-        return dedup(self.valid(entity), spec.key, spec.dedup_order)
+        return dedup_valid(self.valid(entity), ENTITIES[entity])
 
     def parent(self, entity: str) -> DataFrame:
         """A deduplicated parent table (customers / products), written once
