@@ -68,8 +68,15 @@ class StageResult:
     schemas: dict[str, StructType] = field(default_factory=dict)
 
 
-def _write_all(outputs: Mapping[str, tuple[DataFrame, str]], result: StageResult) -> None:
-    run_concurrently({n: (lambda df=df, path=path: io.write_parquet(df, path)) for n, (df, path) in outputs.items()})
+def _write_all(
+    outputs: Mapping[str, tuple[DataFrame, str]],
+    result: StageResult,
+    partition_by: Mapping[str, tuple[str, ...]] | None = None,
+) -> None:
+    layout = partition_by or {}
+    run_concurrently(
+        {n: (lambda df=df, path=path, n=n: io.write_parquet(df, path, layout.get(n, ()))) for n, (df, path) in outputs.items()}
+    )
     for n, (_, path) in outputs.items():
         result.outputs[n] = path
 
@@ -115,8 +122,16 @@ def read_valid(spark: SparkSession, zones: io.Zones, entity: str, schema: Struct
     return io.retype(df, entity)
 
 
-def curate(spark: SparkSession, zones: io.Zones, schemas: Mapping[str, StructType] | None = None) -> StageResult:
-    """Dedup, referential integrity, enrichment, marts, star schema."""
+def curate(
+    spark: SparkSession,
+    zones: io.Zones,
+    schemas: Mapping[str, StructType] | None = None,
+    partition_by: Mapping[str, tuple[str, ...]] | None = None,
+) -> StageResult:
+    """Dedup, referential integrity, enrichment, marts, star schema.
+
+    Curated tables are unpartitioned unless ``partition_by`` names columns
+    for an output (e.g. ``{"sales_summary": ("order_date_cleaned",)}``)."""
     result = StageResult()
     schemas = schemas or {}
     valid = {name: read_valid(spark, zones, name, schemas.get(name)) for name in ENTITIES}
@@ -130,7 +145,7 @@ def curate(spark: SparkSession, zones: io.Zones, schemas: Mapping[str, StructTyp
         "dim_customers": marts.dim_customers(deduped["customers"]),
         "dim_products": marts.dim_products(deduped["products"]),
     }
-    _write_all({n: (df, zones.curated(n)) for n, df in dims.items()}, result)
+    _write_all({n: (df, zones.curated(n)) for n, df in dims.items()}, result, partition_by)
     dim_c = io.read_parquet(spark, zones.curated("dim_customers"))
     dim_p = io.read_parquet(spark, zones.curated("dim_products"))
 
@@ -158,7 +173,7 @@ def curate(spark: SparkSession, zones: io.Zones, schemas: Mapping[str, StructTyp
     outputs["product_metrics"] = (marts.product_metrics(measured), zones.curated("product_metrics"))
     outputs["sales_summary"] = (marts.sales_summary(measured), zones.curated("sales_summary"))
     outputs["fact_orders"] = (marts.fact_orders(measured), zones.curated("fact_orders"))
-    _write_all(outputs, result)
+    _write_all(outputs, result, partition_by)
 
     result.frames["duplicate_summary_after"] = duplicate_summary(
         {
@@ -170,14 +185,20 @@ def curate(spark: SparkSession, zones: io.Zones, schemas: Mapping[str, StructTyp
     return result
 
 
-def run(spark: SparkSession, zones: io.Zones, *, show_summaries: bool = False) -> StageResult:
+def run(
+    spark: SparkSession,
+    zones: io.Zones,
+    *,
+    show_summaries: bool = False,
+    partition_by: Mapping[str, tuple[str, ...]] | None = None,
+) -> StageResult:
     """Stage 1 over the raw CSV zone, then stage 2. An exception in stage
     1 stops the run before stage 2 starts."""
     raw = {name: io.read_csv(spark, zones.raw(name)) for name in ENTITIES}
     first = process_raw(spark, raw, zones)
     if show_summaries:
         first.frames["validation_summary"].show(truncate=False)
-    second = curate(spark, zones, first.schemas)
+    second = curate(spark, zones, first.schemas, partition_by)
     if show_summaries:
         second.frames["duplicate_summary_before"].show(truncate=False)
         second.frames["duplicate_summary_after"].show(truncate=False)

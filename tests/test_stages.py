@@ -1,5 +1,7 @@
 """E1-E3 end to end at sf0.001: expected counts and cross-table invariants."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +86,13 @@ def test_stage_one_failure_stops_the_run(spark):
     zones = io.Zones(new_work_dir(spark, "test-missing"))
     with pytest.raises(Exception):
         stages.run(spark, zones)
+
+
+def test_optional_partitioned_curated_output(spark, ws):
+    zones = io.Zones(new_work_dir(spark, "test-etl-partitioned"))
+    for n in ENTITIES:
+        io.write_csv(ws.raw(n), zones.raw(n))
+    result = stages.run(spark, zones, partition_by={"sales_summary": ("order_date_cleaned",)})
+    path = result.outputs["sales_summary"]
+    assert any(p.name.startswith("order_date_cleaned=") for p in pathlib.Path(path.replace("file:", "")).iterdir())
+    assert io.read_parquet(spark, path).count() == 838
