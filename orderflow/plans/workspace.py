@@ -12,6 +12,8 @@ lazily on top of it, so each query plan starts from plain Parquet scans
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.operators import marts
@@ -22,6 +24,7 @@ from orderflow.sources import fixtures, io
 from orderflow.specs import ENTITIES, INVALID, VALID
 
 _CACHE: dict[tuple[str, str], Workspace] = {}
+_CACHE_LOCK = threading.Lock()
 
 
 class Workspace:
@@ -30,13 +33,29 @@ class Workspace:
         self.sf_dir = sf_dir.rstrip("/")
         self.zones = io.Zones(new_work_dir(spark, "workspace"))
         self._written: dict[str, object] = {}
+        # One lock per table: callers on several threads write each table once.
+        self._locks: dict[str, threading.Lock] = {}
+        self._locks_guard = threading.Lock()
+
+    def _once(self, tag: str, write) -> object:
+        """Run ``write`` (returning the written schema) the first time ``tag``
+        is asked for; later callers get the recorded schema."""
+        if tag in self._written:
+            return self._written[tag]
+        with self._locks_guard:
+            lock = self._locks.setdefault(tag, threading.Lock())
+        with lock:
+            if tag not in self._written:
+                self._written[tag] = write()
+        return self._written[tag]
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
         key = (app_id(spark), sf_dir.rstrip("/"))
-        if key not in _CACHE:
-            _CACHE[key] = cls(spark, sf_dir)
-        return _CACHE[key]
+        with _CACHE_LOCK:
+            if key not in _CACHE:
+                _CACHE[key] = cls(spark, sf_dir)
+            return _CACHE[key]
 
     def prepare(self) -> None:
         """Land the raw tables, then write the processed zone, each for all
@@ -48,22 +67,20 @@ class Workspace:
 
     # -- raw --------------------------------------------------------------
     def raw(self, entity: str) -> DataFrame:
-        tag = f"landed:{entity}"
         path = self.zones.staging(f"landed_{entity}")
-        if tag not in self._written:
+
+        def land():
             derived = fixtures.raw_table(self.spark, self.sf_dir, entity)
             # AQE sizes the rebalanced partitions: split when large, merged
             # when small, so the landing is parallel here and bounded at scale.
             io.write_parquet(derived.hint("rebalance"), path)
-            self._written[tag] = derived.schema
-        return io.read_parquet(self.spark, path, self._written[tag])  # type: ignore[arg-type]
+            return derived.schema
+
+        return io.read_parquet(self.spark, path, self._once(f"landed:{entity}", land))  # type: ignore[arg-type]
 
     def raw_csv_path(self, entity: str) -> str:
         """The raw table written once as CSV into the raw zone."""
-        tag = f"csv:{entity}"
-        if tag not in self._written:
-            io.write_csv(self.raw(entity), self.zones.raw(entity))
-            self._written[tag] = True
+        self._once(f"csv:{entity}", lambda: io.write_csv(self.raw(entity), self.zones.raw(entity)))
         return self.zones.raw(entity)
 
     def validated(self, entity: str) -> DataFrame:
@@ -71,12 +88,12 @@ class Workspace:
 
     # -- processed zone (materialised) -----------------------------------
     def processed(self, entity: str, status: str | None = VALID) -> DataFrame:
-        tag = f"processed:{entity}"
-        if tag not in self._written:
+        def write():
             validated = self.validated(entity)
             io.write_processed(validated, self.zones.processed(entity))
-            self._written[tag] = io.partition_schema_last(validated.schema)
-        schema = self._written[tag]
+            return io.partition_schema_last(validated.schema)
+
+        schema = self._once(f"processed:{entity}", write)
         return io.read_processed(self.spark, self.zones.processed(entity), status, schema)  # type: ignore[arg-type]
 
     def valid(self, entity: str) -> DataFrame:
@@ -93,13 +110,14 @@ class Workspace:
         """A deduplicated parent table (customers / products), written once
         like the dimensions of stage 2, so joins against it see a plain scan
         (which also lets AQE split a skewed order partition)."""
-        tag = f"parent:{entity}"
         path = self.zones.staging(f"dedup_{entity}")
-        if tag not in self._written:
+
+        def write():
             deduped = self.deduped(entity)
             io.write_parquet(deduped, path)
-            self._written[tag] = deduped.schema
-        return io.read_parquet(self.spark, path, self._written[tag])  # type: ignore[arg-type]
+            return deduped.schema
+
+        return io.read_parquet(self.spark, path, self._once(f"parent:{entity}", write))  # type: ignore[arg-type]
 
     def tagged(self) -> DataFrame:
         return marts.tag_orders(self.deduped("orders"), self.parent("customers"), self.parent("products"))

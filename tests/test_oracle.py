@@ -33,3 +33,22 @@ def test_entry_smoke(spark):
         "order_date_cleaned", "country", "category", "total_orders", "total_quantity", "total_sales",
         "completed_orders", "returned_orders", "cancelled_orders",
     ]
+
+
+def test_queries_from_several_threads(spark, con):
+    """Callers on several threads share one workspace; each table is
+    materialised once and every answer still matches its oracle."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from orderflow.plans import workspace
+
+    sf = "/root/testdata/sf0.01"
+    with workspace._CACHE_LOCK:
+        workspace._CACHE.pop((spark.sparkContext.applicationId, sf), None)
+    names = ["valid_orders", "dedup_orders", "sales_summary", "orphan_customer_orders", "csv_roundtrip_orders", "quarantine_orders"]
+    duck_con = duck(sf)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        frames = dict(zip(names, pool.map(lambda n: entry.queries()[n](spark, sf), names)))
+    for n in names:
+        r = compare(spark, duck_con, sf, n, lambda s, d, df=frames[n]: df, entry.oracle_sql()[n])
+        assert r["values_ok"], r
