@@ -85,19 +85,20 @@ def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zon
     """Standardise, validate, split and summarise each raw entity."""
     result = StageResult()
 
-    def process(name: str, df: DataFrame) -> Callable[[], dict]:
-        def job() -> dict:
+    def process(name: str, df: DataFrame) -> Callable[[], tuple[dict, StructType]]:
+        def job() -> tuple[dict, StructType]:
             obs = Observation(f"validation_{name}")
-            validated = validate(df, ENTITIES[name]).observe(obs, *status_counts_exprs())
-            io.write_processed(validated, zones.processed(name))
-            return obs.get
+            validated = validate(df, ENTITIES[name])
+            io.write_processed(validated.observe(obs, *status_counts_exprs()), zones.processed(name))
+            return obs.get, io.partition_schema_last(validated.schema)
 
         return job
 
-    counts = run_concurrently({name: process(name, df) for name, df in raw.items()})
-    for name, df in raw.items():
+    done = run_concurrently({name: process(name, df) for name, df in raw.items()})
+    counts = {name: c for name, (c, _) in done.items()}
+    for name, (_, schema) in done.items():
         result.outputs[name] = zones.processed(name)
-        result.schemas[name] = io.partition_schema_last(validate(df, ENTITIES[name]).schema)
+        result.schemas[name] = schema
     summary = validation_summary_from_counts(spark, counts)
     io.write_parquet(summary.coalesce(1), zones.validation_summary)
     result.outputs["validation_summary"] = zones.validation_summary
