@@ -89,3 +89,36 @@ def test_category_synonyms_exact_after_title_case(spark):
 @pytest.mark.parametrize("value,expected", [("NA", None), ("N/A", None), ("NULL", None), ("NAN", None), ("", None), ("na", "na"), ("x", "x")])
 def test_null_sentinels_exact_case(spark, value, expected):
     assert _apply(spark, [value], lambda c: S.null_sentinels(c, ("NA", "N/A", "NULL", "NAN"))) == [expected]
+
+
+def test_date_guard_never_changes_the_result(spark):
+    """The separator guard only skips text the parser would reject."""
+    import random
+
+    rng = random.Random(7)
+    alphabet = "0123456789/- :T+"
+    samples = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    def width(usual: int) -> int:
+        return usual if rng.random() < 0.8 else rng.randint(1, usual + 1)
+
+    for _ in range(4000):  # mostly real dates, with near-misses of every part
+        d, m = rng.randint(0, 32), rng.randint(0, 13)
+        y = rng.randint(1000, 9999) if rng.random() < 0.8 else rng.randint(0, 99999)
+        sep1 = rng.choice("/-")
+        sep2 = sep1 if rng.random() < 0.8 else rng.choice("/-")
+        pad = " " * rng.randint(0, 1)
+        samples.append(f"{pad}{d:0{width(2)}d}{sep1}{m:0{width(2)}d}{sep2}{y:0{width(4)}d}{pad}")
+    df = spark.createDataFrame([(s,) for s in samples], "x string")
+    trimmed = F.trim(F.col("x"))
+    plain = F.coalesce(*[F.try_to_date(trimmed, f) for f in DATE_FORMATS])
+    bad = df.where(~S.parse_date(F.col("x"), DATE_FORMATS).eqNullSafe(plain)).count()
+    assert bad == 0
+    assert df.where(plain.isNotNull()).count() > 500  # the sample does exercise the parser
+
+
+def test_fixed_prefix_literals():
+    from orderflow.functions.standardize import _fixed_prefix_literals
+
+    assert _fixed_prefix_literals("dd/MM/yyyy") == [(3, "/"), (6, "/")]
+    assert _fixed_prefix_literals("yyyy-MM-dd") == []
+    assert _fixed_prefix_literals("dd'T'MM") == []
