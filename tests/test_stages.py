@@ -96,3 +96,15 @@ def test_optional_partitioned_curated_output(spark, ws):
     path = result.outputs["sales_summary"]
     assert any(p.name.startswith("order_date_cleaned=") for p in pathlib.Path(path.replace("file:", "")).iterdir())
     assert io.read_parquet(spark, path).count() == 838
+
+
+def test_fixture_sums_sf001(spark):
+    """The sf0.01 curated figures of FIXTURES.md (listed there as unchecked)."""
+    from orderflow.plans.catalog import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    fact = QUERIES["fact_orders"](spark, sf).agg(F.sum("order_amount"), F.sum("quantity")).first()
+    assert (str(fact[0]), fact[1]) == ("269180707.40", 229409)
+    assert str(QUERIES["sales_summary"](spark, sf).agg(F.sum("total_sales")).first()[0]) == "89720113.70"
+    counts = {n: QUERIES[n](spark, sf).count() for n in ("customer_metrics", "product_metrics", "sales_summary", "dim_customers", "dim_products")}
+    assert counts == {"customer_metrics": 1011, "product_metrics": 900, "sales_summary": 8665, "dim_customers": 1011, "dim_products": 971}
