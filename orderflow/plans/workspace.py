@@ -57,6 +57,12 @@ class Workspace:
                 _CACHE[key] = cls(spark, sf_dir)
             return _CACHE[key]
 
+    @staticmethod
+    def forget(spark: SparkSession, sf_dir: str) -> None:
+        """Drop the cached workspace of ``sf_dir`` (its tables stay on disk)."""
+        with _CACHE_LOCK:
+            _CACHE.pop((app_id(spark), sf_dir.rstrip("/")), None)
+
     def prepare(self) -> None:
         """Land the raw tables, then write the processed zone, each for all
         entities at once (independent jobs submitted concurrently)."""
@@ -124,3 +130,7 @@ class Workspace:
 
     def measured(self) -> DataFrame:
         return marts.add_measures(marts.enrich(self.tagged()))
+
+
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    Workspace.forget(spark, sf_dir)
