@@ -34,6 +34,7 @@ from orderflow.operators.dedup import dedup_valid
 from orderflow.operators.integrity import key_first
 from orderflow.operators.summary import duplicate_summary, status_counts_exprs, validation_summary_from_counts
 from orderflow.operators.validate import validate
+from orderflow.session import new_work_dir
 from orderflow.sources import io
 from orderflow.specs import ENTITIES, ORDERS
 
@@ -152,10 +153,12 @@ def curate(
 
     # Partitioned by the two presence flags: the orphan outputs and the marts
     # each read only their own files.
+    # The staged table lives in the shared checkpoint folder, not in a zone.
     tag_df = marts.tag_orders(deduped["orders"], dim_c, dim_p)
     flags = (marts.HAS_CUSTOMER, marts.HAS_PRODUCT)
-    io.write_parquet(tag_df, zones.staging("tagged_orders"), partition_by=flags)
-    tagged = io.read_parquet(spark, zones.staging("tagged_orders"), tag_df.schema)
+    staged = f"{new_work_dir(spark, 'curate')}/tagged_orders"
+    io.write_parquet(tag_df, staged, partition_by=flags)
+    tagged = io.read_parquet(spark, staged, tag_df.schema)
     order_cols = deduped["orders"].columns
 
     # Orphans before the curated tables; an order missing both parents lands

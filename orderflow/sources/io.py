@@ -61,28 +61,43 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
 # --- zones (S5-S8) --------------------------------------------------------
 @dataclass(frozen=True)
 class Zones:
-    """Folder layout of one run: raw CSV in, processed / curated Parquet out."""
+    """Folder layout of one run: raw CSV in, processed / curated Parquet out.
 
-    root: str
+    Each zone defaults to a sub-folder of ``root``; ``raw_root``,
+    ``processed_root`` and ``curated_root`` place zones elsewhere (e.g. one
+    bucket per zone).
+    """
+
+    root: str = ""
+    raw_root: str | None = None
+    processed_root: str | None = None
+    curated_root: str | None = None
+
+    def _zone(self, explicit: str | None, name: str) -> str:
+        if explicit:
+            return explicit.rstrip("/")
+        if not self.root:
+            raise ValueError(f"no location for the {name} zone")
+        return f"{self.root.rstrip('/')}/{name}"
 
     def raw(self, entity: str) -> str:
-        return f"{self.root}/raw/{entity}"
+        return f"{self._zone(self.raw_root, 'raw')}/{entity}"
 
     def processed(self, entity: str) -> str:
-        return f"{self.root}/processed/{entity}"
+        return f"{self._zone(self.processed_root, 'processed')}/{entity}"
 
     @property
     def validation_summary(self) -> str:
-        return f"{self.root}/processed/validation-summary"
+        return f"{self._zone(self.processed_root, 'processed')}/validation-summary"
 
     def orphans(self, parent: str) -> str:
-        return f"{self.root}/processed/quarantine/orphan_{parent}"
+        return f"{self._zone(self.processed_root, 'processed')}/quarantine/orphan_{parent}"
 
     def curated(self, name: str) -> str:
-        return f"{self.root}/curated/{name}"
+        return f"{self._zone(self.curated_root, 'curated')}/{name}"
 
     def staging(self, name: str) -> str:
-        return f"{self.root}/_staging/{name}"
+        return f"{self._zone(None, '_staging')}/{name}"
 
 
 def status_before_reason(df: DataFrame) -> DataFrame:

@@ -57,3 +57,10 @@ def test_zones_layout():
     assert z.processed("orders") == "s3a://bucket/run/processed/orders"
     assert z.orphans("customers") == "s3a://bucket/run/processed/quarantine/orphan_customers"
     assert z.curated("fact_orders") == "s3a://bucket/run/curated/fact_orders"
+
+
+def test_zones_with_one_root_per_zone():
+    z = io.Zones(raw_root="s3a://raw", processed_root="s3a://processed/", curated_root="s3a://curated")
+    assert z.raw("orders") == "s3a://raw/orders"
+    assert z.validation_summary == "s3a://processed/validation-summary"
+    assert z.curated("dim_products") == "s3a://curated/dim_products"

@@ -108,3 +108,16 @@ def test_fixture_sums_sf001(spark):
     assert str(QUERIES["sales_summary"](spark, sf).agg(F.sum("total_sales")).first()[0]) == "89720113.70"
     counts = {n: QUERIES[n](spark, sf).count() for n in ("customer_metrics", "product_metrics", "sales_summary", "dim_customers", "dim_products")}
     assert counts == {"customer_metrics": 1011, "product_metrics": 900, "sales_summary": 8665, "dim_customers": 1011, "dim_products": 971}
+
+
+def test_cli_runs_the_gated_pipeline(spark, ws, capsys):
+    from orderflow.cli import main
+
+    root = new_work_dir(spark, "test-cli")
+    for n in ENTITIES:
+        io.write_csv(ws.raw(n), f"{root}/raw/{n}")
+    assert main(["stage1", "--raw", f"{root}/raw", "--processed", f"{root}/p", "--curated", f"{root}/c"]) == 0
+    assert main(["stage2", "--raw", f"{root}/raw", "--processed", f"{root}/p", "--curated", f"{root}/c"]) == 0
+    out = capsys.readouterr().out
+    assert f"fact_orders\t{root}/c/fact_orders" in out
+    assert io.read_parquet(spark, f"{root}/c/fact_orders").count() == 841
