@@ -148,12 +148,12 @@ def curate(
         "dim_products": marts.dim_products(deduped["products"]),
     }
     _write_all({n: (df, zones.curated(n)) for n, df in dims.items()}, result, partition_by)
-    dim_c = io.read_parquet(spark, zones.curated("dim_customers"))
-    dim_p = io.read_parquet(spark, zones.curated("dim_products"))
+    dim_c = io.read_parquet(spark, zones.curated("dim_customers"), dims["dim_customers"].schema)
+    dim_p = io.read_parquet(spark, zones.curated("dim_products"), dims["dim_products"].schema)
 
-    # Partitioned by the two presence flags: the orphan outputs and the marts
-    # each read only their own files.
-    # The staged table lives in the shared checkpoint folder, not in a zone.
+    # Staged in the shared checkpoint folder (not a zone), partitioned by the
+    # two presence flags: the orphan outputs and the marts each read only
+    # their own files.
     tag_df = marts.tag_orders(deduped["orders"], dim_c, dim_p)
     flags = (marts.HAS_CUSTOMER, marts.HAS_PRODUCT)
     staged = f"{new_work_dir(spark, 'curate')}/tagged_orders"
