@@ -52,3 +52,18 @@ def test_queries_from_several_threads(spark, con):
     for n in names:
         r = compare(spark, duck_con, sf, n, lambda s, d, df=frames[n]: df, entry.oracle_sql()[n])
         assert r["values_ok"], r
+
+
+def test_results_do_not_depend_on_session_settings(spark, con):
+    """Same answers with ANSI off, AQE off and 200 shuffle partitions."""
+    conf = {"spark.sql.ansi.enabled": "false", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "200"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name in ("parse_quantity", "parse_price", "parse_order_date", "validate_orders", "dedup_orders", "sales_summary"):
+            r = compare(spark, con, SF_SMALL, name, entry.queries()[name], entry.oracle_sql()[name])
+            assert r["values_ok"], r
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
