@@ -63,14 +63,6 @@ class Workspace:
         with _CACHE_LOCK:
             _CACHE.pop((app_id(spark), sf_dir.rstrip("/")), None)
 
-    def prepare(self) -> None:
-        """Land the raw tables, then write the processed zone, each for all
-        entities at once (independent jobs submitted concurrently)."""
-        from orderflow.plans.stages import run_concurrently
-
-        run_concurrently({e: (lambda e=e: self.raw(e)) for e in ENTITIES})
-        run_concurrently({e: (lambda e=e: self.processed(e)) for e in ENTITIES})
-
     # -- raw --------------------------------------------------------------
     def raw(self, entity: str) -> DataFrame:
         path = self.zones.staging(f"landed_{entity}")

@@ -79,10 +79,6 @@ def raw_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return spark.sql(sql, **frames)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {e: raw_table(spark, sf_dir, e) for e in RAW_SQL}
-
-
 def oracle_sql(entity: str) -> str:
     """The same derivation for DuckDB over the pre-registered views."""
     sql, sources = RAW_SQL[entity]
