@@ -24,3 +24,21 @@ def test_stream_matches_batch_and_restarts_cleanly(spark, ws):
     q = start_processing(spark, CUSTOMERS, src, out, ckpt)
     q.awaitTermination(300)
     assert io.read_processed(spark, out, status=None).count() == raw.count()
+
+
+def test_stream_rejects_a_header_in_another_order(spark):
+    import os
+
+    import pytest
+
+    root = new_work_dir(spark, "test-stream-header")
+    src = f"{root}/raw".replace("file:", "")
+    os.makedirs(src)
+    cols = list(CUSTOMERS.raw_columns)
+    with open(os.path.join(src, "part-0.csv"), "w") as fh:
+        fh.write(",".join(reversed(cols)) + "\n" + ",".join(["x"] * len(cols)) + "\n")
+    q = start_processing(spark, CUSTOMERS, f"{root}/raw", f"{root}/processed", f"{root}/_checkpoint")
+    with pytest.raises(Exception):
+        q.awaitTermination(300)
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
