@@ -9,10 +9,13 @@ raw CSV zone. Prints one JSON line.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -31,14 +34,44 @@ HEADLINE = (
 PASSES = 2  # full passes on fresh workspaces; each step reports its best (the VM is noisy)
 
 
+def shuffle_megabytes(event_dir: str) -> dict[str, float]:
+    """Shuffle bytes written per job group, read from Spark's event log."""
+    stage_group: dict[int, str] = {}
+    written: dict[str, float] = defaultdict(float)
+    for path in glob.glob(os.path.join(event_dir, "**", "*"), recursive=True):
+        if not os.path.isfile(path) or os.path.basename(path).startswith("appstatus"):
+            continue
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        if group:
+                            stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    metrics = ev.get("Task Metrics") or {}
+                    shuffle = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    if group:
+                        written[group] += shuffle
+    return {g: round(b / 1e6, 2) for g, b in written.items()}
+
+
 def main() -> None:
     from pyspark.sql import SparkSession
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    event_dir = tempfile.mkdtemp(prefix="orderflow-bench-events-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("orderflow-bench")
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.dir", event_dir)
+        .config("spark.eventLog.rolling.enabled", "false")
+        .config("spark.eventLog.compress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
@@ -60,23 +93,30 @@ def main() -> None:
     def run(df) -> None:
         df.write.format("noop").mode("overwrite").save()
 
-    def measure(root: str) -> dict[str, float]:
+    sc = spark.sparkContext
+
+    def measure(root: str, tag: str) -> dict[str, float]:
         times: dict[str, float] = {}
         workspace.forget(spark, root)  # a fresh workspace: every step does its work
         ws = Workspace.of(spark, root)
+        sc.setJobGroup(f"{tag}:raw_zone", "raw_zone", False)
         t = time.perf_counter()
         run_concurrently({n: (lambda n=n: ws.raw(n)) for n in ENTITIES})
         times["raw_zone"] = time.perf_counter() - t
+        sc.setJobGroup(f"{tag}:processed_zone", "processed_zone", False)
         t = time.perf_counter()
         run_concurrently({n: (lambda n=n: ws.processed(n)) for n in ENTITIES})
         times["processed_zone"] = time.perf_counter() - t
         for name in HEADLINE:
+            sc.setJobGroup(f"{tag}:{name}", name, False)
             t = time.perf_counter()
             run(QUERIES[name](spark, root))
             times[name] = time.perf_counter() - t
+        sc.setJobGroup(f"{tag}:setup", "setup", False)
         zones = io.Zones(new_work_dir(spark, "bench-etl"))
         for n in ENTITIES:
             io.write_csv(ws.raw(n), zones.raw(n))
+        sc.setJobGroup(f"{tag}:etl_end_to_end", "etl_end_to_end", False)
         t = time.perf_counter()
         stages.run(spark, zones)
         times["etl_end_to_end"] = time.perf_counter() - t
@@ -87,10 +127,14 @@ def main() -> None:
     # scale reuse it). Not timed.
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
     if os.path.isdir(warm_dir) and warm_dir.rstrip("/") != sf_dir:
-        measure(warm_dir)
-    passes = [measure(sf_dir) for _ in range(PASSES)]
+        measure(warm_dir, "warmup")
+    passes = [measure(sf_dir, f"pass{i}") for i in range(PASSES)]
     times = {k: min(p[k] for p in passes) for k in passes[0]}
 
+    spark.stop()  # flushes the event log
+    shuffled = shuffle_megabytes(event_dir)
+    shuffle_mb = {k: shuffled.get(f"pass0:{k}", 0.0) for k in times}
+
     sf = os.path.basename(sf_dir).replace("sf", "")
     out = {
         "metric": "total_query_seconds",
@@ -99,9 +143,9 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
+        "shuffle_mb": shuffle_mb,
     }
     print(json.dumps(out))
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -24,6 +24,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,13 +53,15 @@ def run_concurrently(jobs: Mapping[str, Callable[[], object]]) -> dict[str, obje
     """Submit independent Spark actions from driver threads.
 
     The jobs share the cluster's task slots, so a small output does not wait
-    for a large one and per-job latency overlaps. An exception in any job is
-    re-raised after all of them finished.
+    for a large one and per-job latency overlaps. The caller's local
+    properties (job group, scheduler pool, description) carry over to the
+    worker threads. An exception in any job is re-raised after all of them
+    finished.
     """
     if len(jobs) <= 1:
         return {name: job() for name, job in jobs.items()}
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        futures = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
