@@ -101,11 +101,11 @@ def main() -> None:
         ws = Workspace.of(spark, root)
         sc.setJobGroup(f"{tag}:raw_zone", "raw_zone", False)
         t = time.perf_counter()
-        run_concurrently({n: (lambda n=n: ws.raw(n)) for n in ENTITIES})
+        run_concurrently({n: (lambda n=n: ws.raw(n)) for n in ENTITIES}, spark)
         times["raw_zone"] = time.perf_counter() - t
         sc.setJobGroup(f"{tag}:processed_zone", "processed_zone", False)
         t = time.perf_counter()
-        run_concurrently({n: (lambda n=n: ws.processed(n)) for n in ENTITIES})
+        run_concurrently({n: (lambda n=n: ws.processed(n)) for n in ENTITIES}, spark)
         times["processed_zone"] = time.perf_counter() - t
         for name in HEADLINE:
             sc.setJobGroup(f"{tag}:{name}", name, False)

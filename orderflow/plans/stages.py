@@ -49,7 +49,7 @@ CURATED_OUTPUTS = (
 )
 
 
-def run_concurrently(jobs: Mapping[str, Callable[[], object]]) -> dict[str, object]:
+def run_concurrently(jobs: Mapping[str, Callable[[], object]], spark: SparkSession | None = None) -> dict[str, object]:
     """Submit independent Spark actions from driver threads.
 
     The jobs share the cluster's task slots, so a small output does not wait
@@ -60,8 +60,9 @@ def run_concurrently(jobs: Mapping[str, Callable[[], object]]) -> dict[str, obje
     """
     if len(jobs) <= 1:
         return {name: job() for name, job in jobs.items()}
+    wrap = inheritable_thread_target(spark) if spark is not None else inheritable_thread_target
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        futures = {name: pool.submit(wrap(job)) for name, job in jobs.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
@@ -78,8 +79,10 @@ def _write_all(
     partition_by: Mapping[str, tuple[str, ...]] | None = None,
 ) -> None:
     layout = partition_by or {}
+    spark = next(iter(outputs.values()))[0].sparkSession if outputs else None
     run_concurrently(
-        {n: (lambda df=df, path=path, n=n: io.write_parquet(df, path, layout.get(n, ()))) for n, (df, path) in outputs.items()}
+        {n: (lambda df=df, path=path, n=n: io.write_parquet(df, path, layout.get(n, ()))) for n, (df, path) in outputs.items()},
+        spark,
     )
     for n, (_, path) in outputs.items():
         result.outputs[n] = path
@@ -98,7 +101,7 @@ def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zon
 
         return job
 
-    done = run_concurrently({name: process(name, df) for name, df in raw.items()})
+    done = run_concurrently({name: process(name, df) for name, df in raw.items()}, spark)
     counts = {name: c for name, (c, _) in done.items()}
     for name, (_, schema) in done.items():
         result.outputs[name] = zones.processed(name)
