@@ -20,6 +20,7 @@ and a lost executor costs a task retry, not a rerun of the stage.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -94,7 +95,7 @@ def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zon
 
     def process(name: str, df: DataFrame) -> Callable[[], tuple[dict, StructType]]:
         def job() -> tuple[dict, StructType]:
-            obs = Observation(f"validation_{name}")
+            obs = Observation(f"validation_{name}_{uuid.uuid4().hex[:8]}")  # unique per run
             validated = validate(df, ENTITIES[name])
             io.write_processed(validated.observe(obs, *status_counts_exprs()), zones.processed(name))
             return obs.get, io.partition_schema_last(validated.schema)
