@@ -121,3 +121,18 @@ def test_cli_runs_the_gated_pipeline(spark, ws, capsys):
     out = capsys.readouterr().out
     assert f"fact_orders\t{root}/c/fact_orders" in out
     assert io.read_parquet(spark, f"{root}/c/fact_orders").count() == 841
+
+
+def test_two_runs_at_once_in_one_session(spark, ws):
+    from orderflow.plans.stages import run_concurrently
+
+    zones = {}
+    for tag in ("a", "b"):
+        zones[tag] = io.Zones(new_work_dir(spark, f"test-concurrent-{tag}"))
+        for n in ENTITIES:
+            io.write_csv(ws.raw(n), zones[tag].raw(n))
+    results = run_concurrently({t: (lambda z=z: stages.run(spark, z)) for t, z in zones.items()}, spark)
+    for result in results.values():
+        got = {r["Dataset"]: r["Valid_count"] for r in result.frames["validation_summary"].collect()}
+        assert got == {"customers": 107, "products": 178, "orders": 5237}
+        assert io.read_parquet(spark, result.outputs["fact_orders"]).count() == 841
