@@ -50,13 +50,14 @@ def standardize(df: DataFrame, spec: EntitySpec) -> DataFrame:
         *passthrough,
         *[(S.null_sentinels(_col(tmp[f.name]), f.sentinels) if f.sentinels is not None else _col(tmp[f.name])).alias(tmp[f.name]) for f in spec.fields],
     )
-    in_place = {f.name: f for f in spec.fields if f.raw == f.name}
-    derived = [f for f in spec.fields if f.raw != f.name]
+    # Like withColumn: a field replaces a same-named column where it stands,
+    # otherwise it is appended.
+    by_name = {f.name: f for f in spec.fields}
     cols: list[Column] = []
     for c in df.columns:
-        f = in_place.get(c)
+        f = by_name.get(c)
         cols.append(_col(tmp[c]).cast(f.dtype).alias(c) if f else _col(c))
-    cols.extend(_col(tmp[f.name]).cast(f.dtype).alias(f.name) for f in derived)
+    cols.extend(_col(tmp[f.name]).cast(f.dtype).alias(f.name) for f in spec.fields if f.name not in df.columns)
     return step.select(*cols)
 
 
@@ -67,10 +68,18 @@ def error_reason(spec: EntitySpec) -> Column:
 
 
 def validate_standardized(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    with_reason = df.select("*", error_reason(spec).alias(REASON_COLUMN))
-    status = F.when(F.col(REASON_COLUMN).isNull(), F.lit(VALID)).otherwise(F.lit(INVALID))
-    out_cols = [_col(c) for c in df.columns]
-    return with_reason.select(*out_cols, status.alias(STATUS_COLUMN), F.col(REASON_COLUMN))
+    reason_tmp = "__error_reason"
+    with_reason = df.select("*", error_reason(spec).alias(reason_tmp))
+    reason = F.col(reason_tmp)
+    verdict = {
+        STATUS_COLUMN: F.when(reason.isNull(), F.lit(VALID)).otherwise(F.lit(INVALID)).alias(STATUS_COLUMN),
+        REASON_COLUMN: reason.alias(REASON_COLUMN),
+    }
+    # Like withColumn: an existing record_status / error_reason is replaced
+    # where it stands; otherwise both are appended.
+    out_cols = [verdict[c] if c in verdict else _col(c) for c in df.columns]
+    out_cols.extend(verdict[c] for c in (STATUS_COLUMN, REASON_COLUMN) if c not in df.columns)
+    return with_reason.select(*out_cols)
 
 
 def validate(df: DataFrame, spec: EntitySpec) -> DataFrame:

@@ -75,3 +75,14 @@ def test_all_28_codes_fire_at_sf0001(ws):
         rows = ws.validated(entity).select(F.explode(F.split("error_reason", ";")).alias("c")).distinct().collect()
         seen |= {(entity, r["c"]) for r in rows}
     assert len(seen) == 28
+
+
+def test_existing_derived_columns_are_replaced_in_place(spark):
+    df = spark.createDataFrame(
+        [("Invalid", "P001", "x", "Book", "$5", "3", "99.99")],
+        "record_status string, product_id string, product_name string, category string, price string, stock_qty string, price_cleaned string",
+    )
+    v = validate(df, PRODUCTS)
+    assert v.columns == ["record_status", "product_id", "product_name", "category", "price", "stock_qty", "price_cleaned", "error_reason"]
+    r = v.first()
+    assert r["record_status"] == "Valid" and str(r["price_cleaned"]) == "5.00"
