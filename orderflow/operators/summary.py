@@ -1,9 +1,10 @@
 """Single-pass summaries.
 
-Each summary is an aggregate DataFrame: nothing is counted on the driver and
-fed back through ``createDataFrame``. Per-table aggregates are global (one
-partial aggregate per task, one tiny merge), and the per-table rows are
-combined with ``unionByName``.
+Each summary is an aggregate DataFrame: per-table aggregates are global (one
+partial aggregate per task, one tiny merge) and the per-table rows are
+combined with ``unionByName``. The one exception is
+``validation_summary_from_counts``: stage 1 observes its counts while
+writing, so it only turns those three bounded sets of counts into rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from orderflow.specs import INVALID, STATUS_COLUMN, VALID
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """``unionByName`` of several frames."""
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -53,7 +55,7 @@ def validation_summary(validated: Mapping[str, DataFrame]) -> DataFrame:
                 invalid_percentage(F.col("Total_count"), F.col("Invalid_count")).alias("Invalid_percentage"),
             )
         )
-    return _union(rows)
+    return union_all(rows)
 
 
 def validation_summary_from_counts(spark, counts: Mapping[str, Mapping[str, int]]) -> DataFrame:
@@ -86,19 +88,19 @@ def duplicate_summary(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
                 F.count_if(F.col("n") > 1).alias("duplicate_id_count"),
             ).select(F.lit(name).alias("dataset"), "total_count", "distinct_id_count", "duplicate_id_count")
         )
-    return _union(rows)
+    return union_all(rows)
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """A2: dataset, row_count."""
-    return _union(
+    return union_all(
         [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("dataset"), "row_count") for n, df in tables.items()]
     )
 
 
 def distinct_key_counts(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """A3: dataset, distinct_id_count (nulls not counted)."""
-    return _union(
+    return union_all(
         [
             df.agg(F.count_distinct(key).alias("distinct_id_count")).select(F.lit(n).alias("dataset"), "distinct_id_count")
             for n, (df, key) in tables.items()
@@ -108,7 +110,7 @@ def distinct_key_counts(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFram
 
 def duplicate_keys(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """A5/F2: dataset, key_value, row_count for every key seen more than once."""
-    return _union(
+    return union_all(
         [
             df.groupBy(df[key].alias("key_value"))
             .agg(F.count(F.lit(1)).alias("row_count"))

@@ -33,13 +33,6 @@ NAME_COLUMNS = (("customers", "customer_name"), ("products", "product_name"))
 TITLE_COLUMNS = (("customers", "country"), ("products", "category"), ("orders", "order_status"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def _std_long(targets, upto: str) -> Query:
     """Long form (entity, column_name, raw_value, std_value) of one
     standardisation step over several columns."""
@@ -57,7 +50,7 @@ def _std_long(targets, upto: str) -> Query:
                     f.expr(upto).alias("std_value"),
                 )
             )
-        return _union(frames)
+        return summary.union_all(frames)
 
     return q
 
@@ -77,7 +70,7 @@ def _sentinels(entity: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = ENTITIES[entity]
         raw = Workspace.of(spark, sf_dir).raw(entity)
-        return _union(
+        return summary.union_all(
             [
                 raw.select(F.lit(f.name).alias("column_name"), F.col(f.raw).alias("raw_value"), f.expr().alias("std_value"))
                 for f in spec.fields
@@ -102,7 +95,7 @@ def _ws(fn: Callable[[Workspace], DataFrame]) -> Query:
     return q
 
 
-def _keyed(ws: Workspace, frames: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
+def _keyed(frames: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
     return {n: (df, ENTITIES[n].key) for n, df in frames.items()}
 
 
@@ -118,7 +111,7 @@ def _csv_roundtrip(entity: str) -> Query:
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan each processed table (both partitions): rows per status."""
     ws = Workspace.of(spark, sf_dir)
-    return _union(
+    return summary.union_all(
         [
             ws.processed(n, status=None)
             .groupBy(STATUS_COLUMN)
@@ -220,13 +213,13 @@ QUERIES: dict[str, Query] = {
     # A1-A5, U1-U2
     "validation_summary": _ws(lambda ws: summary.validation_summary({n: ws.validated(n) for n in ENTITIES})),
     "table_counts": _ws(lambda ws: summary.table_counts({n: ws.raw(n) for n in ENTITIES})),
-    "distinct_key_counts": _ws(lambda ws: summary.distinct_key_counts(_keyed(ws, {n: ws.valid(n) for n in ENTITIES}))),
-    "duplicate_keys": _ws(lambda ws: summary.duplicate_keys(_keyed(ws, {n: ws.valid(n) for n in ENTITIES}))),
+    "distinct_key_counts": _ws(lambda ws: summary.distinct_key_counts(_keyed({n: ws.valid(n) for n in ENTITIES}))),
+    "duplicate_keys": _ws(lambda ws: summary.duplicate_keys(_keyed({n: ws.valid(n) for n in ENTITIES}))),
     "duplicate_summary_before": _ws(
-        lambda ws: summary.duplicate_summary(_keyed(ws, {n: ws.valid(n) for n in ENTITIES}))
+        lambda ws: summary.duplicate_summary(_keyed({n: ws.valid(n) for n in ENTITIES}))
     ),
     "duplicate_summary_after": _ws(
-        lambda ws: summary.duplicate_summary(_keyed(ws, {n: ws.deduped(n) for n in ENTITIES}))
+        lambda ws: summary.duplicate_summary(_keyed({n: ws.deduped(n) for n in ENTITIES}))
     ),
     # D1
     "dedup_customers": _ws(lambda ws: ws.deduped("customers")),
