@@ -1,10 +1,11 @@
 """Standardise + validate an entity.
 
-``standardize`` is one projection and ``validate`` adds one more: every rule
-contributes a nullable code, the codes are joined with ``;`` in rule order,
-and ``record_status`` follows from whether any code fired. Both are narrow
-(no shuffle) and row-wise, so they pipeline with the scan inside one
-whole-stage-codegen stage and work on streaming DataFrames as well.
+``standardize`` is a short chain of projections (one per step of the
+fields) and ``validate`` adds the verdict: every rule contributes a nullable
+code, the codes are joined with ``;`` in rule order, and ``record_status``
+follows from whether any code fired. All of it is narrow (no shuffle) and
+row-wise, so it pipelines with the scan inside one whole-stage-codegen stage
+and works on streaming DataFrames as well.
 """
 
 from __future__ import annotations

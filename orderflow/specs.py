@@ -2,7 +2,7 @@
 
 Specs are data. Adding an entity (or changing a rule) means editing a spec,
 not writing a new column chain. Standardising and validating an entity is then
-one ``select`` each (see :mod:`orderflow.operators.validate`).
+a few fused projections (see :mod:`orderflow.operators.validate`).
 """
 
 from __future__ import annotations
