@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.operators import marts
@@ -49,6 +50,19 @@ class Workspace:
                 self._written[tag] = write()
         return self._written[tag]
 
+    def _materialised(self, tag: str, write, read) -> DataFrame:
+        """``read(schema)`` of a table written once by ``write``; if its files
+        were removed since (a cleaned shared folder), write it again."""
+        for attempt in (0, 1):
+            schema = self._once(tag, write)
+            try:
+                return read(schema)
+            except AnalysisException:
+                if attempt:
+                    raise
+                self._written.pop(tag, None)
+        raise AssertionError("unreachable")
+
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
         key = (app_id(spark), sf_dir.rstrip("/"))
@@ -74,7 +88,7 @@ class Workspace:
             io.write_parquet(derived.hint("rebalance"), path)
             return derived.schema
 
-        return io.read_parquet(self.spark, path, self._once(f"landed:{entity}", land))  # type: ignore[arg-type]
+        return self._materialised(f"landed:{entity}", land, lambda schema: io.read_parquet(self.spark, path, schema))
 
     def raw_csv_path(self, entity: str) -> str:
         """The raw table written once as CSV into the raw zone."""
@@ -91,8 +105,10 @@ class Workspace:
             io.write_processed(validated, self.zones.processed(entity))
             return io.partition_schema_last(validated.schema)
 
-        schema = self._once(f"processed:{entity}", write)
-        return io.read_processed(self.spark, self.zones.processed(entity), status, schema)  # type: ignore[arg-type]
+        path = self.zones.processed(entity)
+        return self._materialised(
+            f"processed:{entity}", write, lambda schema: io.read_processed(self.spark, path, status, schema)
+        )
 
     def valid(self, entity: str) -> DataFrame:
         return io.retype(self.processed(entity, VALID), entity)
@@ -115,7 +131,7 @@ class Workspace:
             io.write_parquet(deduped, path)
             return deduped.schema
 
-        return io.read_parquet(self.spark, path, self._once(f"parent:{entity}", write))  # type: ignore[arg-type]
+        return self._materialised(f"parent:{entity}", write, lambda schema: io.read_parquet(self.spark, path, schema))
 
     def tagged(self) -> DataFrame:
         return marts.tag_orders(self.deduped("orders"), self.parent("customers"), self.parent("products"))

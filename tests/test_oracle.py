@@ -67,3 +67,14 @@ def test_results_do_not_depend_on_session_settings(spark, con):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_workspace_rewrites_tables_removed_from_the_shared_folder(spark, con):
+    import shutil
+
+    from orderflow.plans.workspace import Workspace
+
+    ws = Workspace.of(spark, SF_SMALL)
+    before = ws.valid("products").count()
+    shutil.rmtree(ws.zones.processed("products").replace("file:", ""))
+    assert ws.valid("products").count() == before
