@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from orderflow.session import new_work_dir
 
@@ -37,6 +39,32 @@ def ids_and_bytes(docs: DataFrame, id_col: str, text_col: str, *more: Column) ->
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("data"), *more)
 
 
+def map_whole_rows(
+    docs: DataFrame,
+    text_col: str,
+    function: Callable[[Iterator[tuple[pa.RecordBatch, list[bytes | None]]]], Iterator[tuple[pa.RecordBatch, list[pa.Array]]]],
+    more: Sequence[StructField] = (),
+    limit: int = 1 << 21,
+) -> DataFrame:
+    """Run ``function`` over slices of whole rows and their texts as bytes; it
+    yields rows of the slice with the arrays of the ``more`` columns. Columns
+    travel by position, so no name of ``docs`` can clash."""
+    place = docs.columns.index(text_col)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    inner = StructType([StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields, strict=True)] + [StructField(f"m{i}", f.dataType) for i, f in enumerate(more)])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+        for batch in slices(batches, names[place], limit):
+            yield batch, batch.column(place).cast(pa.binary()).to_pylist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, arrays in function(pairs(batches)):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=inner.names)
+
+    done = docs.toDF(*names).mapInArrow(run, inner)
+    return done.toDF(*docs.columns, *(f.name for f in more))
+
+
 def words(data: bytes | None) -> list[bytes]:
     """Lower-case A-Z; words are runs of bytes other than space and
     ``\\x09-\\x0D`` (what ``bytes.split`` and ``bytes.lower`` do)."""
@@ -48,7 +76,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
     each (one row at least): bounds the memory of vectorised work."""
     for batch in batches:
         sizes = batch.column(column)
-        lengths = np.nan_to_num(np.asarray(pa.compute.binary_length(sizes).to_numpy(zero_copy_only=False), dtype=float))
+        lengths = np.nan_to_num(np.asarray(pc.binary_length(sizes).to_numpy(zero_copy_only=False), dtype=float))
         start, held = 0, 0.0
         for i, n in enumerate(lengths):
             if held and held + n > limit:

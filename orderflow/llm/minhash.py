@@ -7,9 +7,10 @@ circularly by ``k``. Bands of the signature give candidates; every link is
 confirmed by exact Jaccard on the full sets.
 
 Copies of one word sequence are folded into their smallest id before any
-banding. Inside a band bucket no pair list is made: the members are compared
-with a few pivots, and only buckets whose members still lie in different
-components go on with further (twice as many) pivots, until none is left.
+banding. Inside a band bucket no pair list is made: its members are compared
+with its smallest document. Those of buckets that still lie in several
+components meet again in buckets of rare shingles (an exact filter), and are
+compared with ever more pivots of these until every bucket is settled.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ from orderflow.llm.common import ids_and_bytes, mix64, slices, stage, words
 from orderflow.llm.components import connected_components
 
 SHINGLE_WORDS = 5
-BANDS, ROWS = 32, 4  # a pair at Jaccard 0.75 shares no band in 5 of a million cases
+BANDS, ROWS = 40, 5  # a pair at Jaccard 0.75 shares no band in 20 of a million cases
 THRESHOLD_PCT = 75
 CHUNK_BYTES = 1 << 19
-FIRST_PIVOTS = 8
+PIVOT_GROWTH = 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -151,6 +152,22 @@ def _links(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     return common.where(F.col("c") * 100 >= (F.col("na") + F.col("nb") - F.col("c")) * pct).select("a", "b").distinct()
 
 
+def _rare_buckets(ids: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """``(band, rep, n, at, lead)`` with a rare shingle in the place of the band.
+
+    In any one order of all shingles, here from the rarest on, two sets that
+    meet the threshold share a shingle that is among the first ``n - ceil(2 *
+    pct / (100 + pct) * n) + 1`` of the smaller one (``lead``) and the first
+    ``n - ceil(pct / 100 * n) + 1`` of the other: a passage that many
+    documents share makes no bucket unless it is most of them."""
+    held = ids.join(sets, ids["rep"] == sets["doc_id"]).select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    counted = held.join(held.groupBy("s").agg(F.count("*").alias("docs")), "s")
+    ordered = counted.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("docs", "s"))).alias("l"))
+    met, led = (F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1 for share in (pct / 100, 2 * pct / (100 + pct)))
+    first = ordered.select("rep", "n", led.alias("led"), F.posexplode(F.slice("l", F.lit(1), met.cast("int"))).alias("at", "e"))
+    return first.where("e.docs > 1").select(F.col("e.s").alias("band"), "rep", "n", "at", (F.col("at") < F.col("led")).alias("lead"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -183,23 +200,29 @@ def near_duplicates(
     sets = stage(rows_in.join(candidates, "doc_id", "left_semi").mapInArrow(_full_sets(width), f"doc_id {id_type}, shingles array<bigint>"), "sets")
 
     pivots, done, roots = 1, None, None
-    rest = members.withColumn("root", F.col("rep"))
+    rest = members.select("band", "rep", "n", F.lit(0).alias("at"), F.lit(True).alias("lead"), F.col("rep").alias("root"))
     while True:
-        # Buckets whose members lie in several components, without earlier pivots.
-        open_ = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
+        # Buckets with documents of several components and one to lead.
+        open_ = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("lead").alias("lead")).where("lo <> hi and lead").select("band")
         rest = stage(rest.join(open_, "band"), "rest")
         if rest.isEmpty():
             break
+        if pivots == PIVOT_GROWTH:
+            ids = stage(rest.select("rep", "root").distinct(), "ids")
+            rest = stage(_rare_buckets(ids.select("rep"), sets, threshold_pct).join(ids, "rep").select("band", "rep", "n", "at", "lead", "root"), "rare")
+        leads = rest.where("lead")
         if pivots == 1:
-            lead = rest.groupBy("band").agg(F.min(F.struct("rep", "n", "root")).alias("p")).select("band", "p.*")
+            lead = leads.groupBy("band").agg(F.min(F.struct("n", "rep", "at", "root")).alias("p")).select("band", "p.*")
         else:
-            order = Window.partitionBy("band").orderBy("rep")
-            lead = rest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= pivots).drop("rank")
-        lead = lead.select("band", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+            order = Window.partitionBy("band").orderBy("n", "rep")
+            lead = leads.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= pivots).drop("rank")
+        lead = lead.select("band", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("ata"), F.col("root").alias("ra"))
         pairs = (
             rest.join(lead, "band")
-            .where((F.col("rep") > F.col("a")) & (F.col("root") != F.col("ra")))
-            .where(F.least("n", "na") * 100 >= F.greatest("n", "na") * threshold_pct)
+            .where("(n > na or n = na and rep > a) and root <> ra")
+            # What follows the shared shingle in both must still make the overlap.
+            .where(F.least(F.col("na") - F.col("ata"), F.col("n") - F.col("at")) * (100 + threshold_pct) >= (F.col("na") + F.col("n")) * threshold_pct)
+            .where(F.col("na") * 100 >= F.col("n") * threshold_pct)
             .select("a", F.col("rep").alias("b"))
             .distinct()
         )
@@ -207,20 +230,22 @@ def near_duplicates(
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         done = pairs if done is None else done.unionByName(pairs)
-        links = _links(pairs, sets, threshold_pct)
-        if roots is not None:
-            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = stage(connected_components(links), "roots")
-        # Pivots have met every member of their bucket and leave it.
-        last = lead.groupBy("band").agg(F.max("a").alias("last"))
+        links = stage(_links(pairs, sets, threshold_pct), "links")
+        if roots is None:
+            roots = stage(connected_components(links), "roots")
+        elif not links.isEmpty():
+            earlier = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = stage(connected_components(links.unionByName(earlier)), "roots")
+        # Pivots have met every larger member of their bucket and leave it.
+        last = lead.groupBy("band").agg(F.max(F.struct("na", "a")).alias("last"))
         rest = (
-            rest.select("band", "rep", "n")
+            rest.drop("root")
             .join(last, "band")
-            .where("rep > last")
+            .where("n > last.na or n = last.na and rep > last.a")
             .join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
-            .select("rep", "n", "band", F.coalesce("root", "rep").alias("root"))
+            .select("band", "rep", "n", "at", "lead", F.coalesce("root", "rep").alias("root"))
         )
-        pivots = max(FIRST_PIVOTS, 2 * pivots)
+        pivots *= PIVOT_GROWTH
 
     reps = folded.select("content", "rep")
     if roots is not None:
@@ -230,3 +255,11 @@ def near_duplicates(
     return placed.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose document is kept, all columns, one row for
+    each id (rows without an id all stay)."""
+    gone = stage(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    left = docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    return left.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col]).unionByName(left.where(F.col(f"`{id_col}`").isNull()))

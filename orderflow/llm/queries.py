@@ -6,16 +6,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderflow.llm.common import table
+from orderflow.llm.common import id_remainder, table
+from orderflow.llm.decontaminate import contaminated_regions
+from orderflow.llm.langid import fit_languages, predict_languages
 from orderflow.llm.minhash import near_duplicates
+from orderflow.llm.pieces import encode_documents
+from orderflow.llm.severity import fit_severity, label_grades, score_severity
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every region of ``documents`` that holds a benchmark item."""
+    return contaminated_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document under a model of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return score_severity(docs, fit_severity(docs, label_grades(table(spark, sf_dir, "labels"))))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those whose crc32 remainder
+    modulo 3 is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
+    found = predict_languages(docs, fit_languages(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_minhash_near_dedup,)
+    for f in (op4_minhash_near_dedup, op5_benchmark_decontamination, op6_toxicity, op9_sentencepiece, op10_language_id)
 }
