@@ -10,10 +10,30 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.common import id_remainder, table
 from orderflow.llm.decontaminate import contaminated_regions
+from orderflow.llm.fuzzy_hash import compare_with_successors
+from orderflow.llm.html_text import extract_main_text
 from orderflow.llm.langid import fit_languages, predict_languages
 from orderflow.llm.minhash import near_duplicates
 from orderflow.llm.pieces import encode_documents
+from orderflow.llm.ppm import score_documents
+from orderflow.llm.preference import branches, format_preferences
 from orderflow.llm.severity import fit_severity, label_grades, score_severity
+from orderflow.llm.warc import archive_round_trip
+
+
+def op1_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; those whose crc32 remainder modulo 7 is 2 are
+    not learned from."""
+    return score_documents(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) != 2)
+
+
+def op2_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against its branch with another last reply."""
+    return format_preferences(*branches(table(spark, sf_dir, "conversations")))
+
+
+def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +51,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_severity(docs, fit_severity(docs, label_grades(table(spark, sf_dir, "labels"))))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_successors(table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
@@ -46,5 +74,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_minhash_near_dedup, op5_benchmark_decontamination, op6_toxicity, op9_sentencepiece, op10_language_id)
+    for f in (
+        op1_ppm_scores,
+        op2_preference_formatting,
+        op3_warc_archives,
+        op4_minhash_near_dedup,
+        op5_benchmark_decontamination,
+        op6_toxicity,
+        op7_html_extraction,
+        op8_document_fingerprints,
+        op9_sentencepiece,
+        op10_language_id,
+    )
 }
