@@ -202,9 +202,10 @@ def near_duplicates(
     pivots, done, roots = 1, None, None
     rest = members.select("band", "rep", "n", F.lit(0).alias("at"), F.lit(True).alias("lead"), F.col("rep").alias("root"))
     while True:
-        # Buckets with documents of several components and one to lead.
-        open_ = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("lead").alias("lead")).where("lo <> hi and lead").select("band")
-        rest = stage(rest.join(open_, "band"), "rest")
+        if pivots > 1:
+            # Buckets with documents of several components and one to lead.
+            open_ = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("lead").alias("lead")).where("lo <> hi and lead").select("band")
+            rest = stage(rest.join(open_, "band"), "rest")
         if rest.isEmpty():
             break
         if pivots == PIVOT_GROWTH:
@@ -232,10 +233,10 @@ def near_duplicates(
         done = pairs if done is None else done.unionByName(pairs)
         links = stage(_links(pairs, sets, threshold_pct), "links")
         if roots is None:
-            roots = stage(connected_components(links), "roots")
+            roots = connected_components(links)
         elif not links.isEmpty():
             earlier = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = stage(connected_components(links.unionByName(earlier)), "roots")
+            roots = connected_components(links.unionByName(earlier))
         # Pivots have met every larger member of their bucket and leave it.
         last = lead.groupBy("band").agg(F.max(F.struct("na", "a")).alias("last"))
         rest = (

@@ -1,0 +1,68 @@
+"""The q-gram filter and banded alignment against full edit distance."""
+
+import random
+
+from orderflow.llm.decontaminate import contaminated_ids, contaminated_regions, edit_budget, fold, item_blocks, matches
+
+from .helpers import docs
+
+
+def least_edits(item, text):
+    """Edits between the item and the nearest substring of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item):
+        new = [i + 1]
+        for j, d in enumerate(text):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def edited(rng, data, times, letters):
+    out = list(data)
+    for _ in range(times):
+        k, how = rng.randrange(len(out)), rng.random()
+        if how < 1 / 3:
+            out[k] = rng.choice(letters)
+        elif how < 2 / 3:
+            del out[k]
+        else:
+            out.insert(k, rng.choice(letters))
+    return bytes(out)
+
+
+def test_every_item_within_its_budget_is_found_and_no_other():
+    rng, letters = random.Random(1), b"abcde fghij"
+    some = lambda n: bytes(rng.choice(letters) for _ in range(n))
+    positive = 0
+    for _ in range(150):
+        item = fold(some(rng.randint(20, 90)))
+        text = fold(some(rng.randint(0, 60)) + edited(rng, item, rng.randint(0, 8), letters) + some(rng.randint(0, 60)))
+        block = next(item_blocks([(1, item)], 8, 0.08, 1 << 20))
+        found, want, budget = matches(text, block), least_edits(item, text), edit_budget(len(item))
+        positive += want <= budget
+        assert bool(found) == (want <= budget)
+        if found:
+            assert min(f[3] for f in found) == want
+    assert 30 < positive < 140
+
+
+def test_regions_blocks_and_odd_rows(spark):
+    items = ["The quick brown fox jumps over the lazy dog", "Pack my box with five dozen liquor jugs", "short", None, "", "pack  MY box with five dozen liquor jugs"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [
+        (1, "before. the quick\nbrown fox jumps over the lazy dog! after"),
+        (2, "pack my bax with five dozen liquor jug"),
+        (3, "the quick brown fox sleeps beside the lazy dog"),
+        (4, None),
+        (5, ""),
+        (6, "x" * 200_000 + " pack my box with five dozen liquor jugs " + "y" * 1000 + " pack my box with five dozen liquor jugs"),
+        (None, "Pack my box with five dozen liquor jugs"),
+    ]
+    frame = docs(spark, rows)
+    for block_bytes in (1 << 20, 10):  # one block; a block for each item
+        found = contaminated_regions(frame, bench, block_bytes=block_bytes)
+        assert sorted((r.doc_id or 0, r.item_id) for r in found.collect()) == [(0, 1), (1, 0), (2, 1), (6, 1), (6, 1)]
+        assert sorted(r.doc_id for r in contaminated_ids(found).collect()) == [1, 2, 6]
+    assert contaminated_regions(frame, bench.limit(0)).count() == 0
+    assert contaminated_regions(docs(spark, []), bench).count() == 0

@@ -1,0 +1,74 @@
+"""PPM scores against a brute-force model."""
+
+import collections
+import math
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderflow.llm.common import id_remainder
+from orderflow.llm.ppm import score_documents
+
+from .helpers import docs
+
+
+def brute(rows, order):
+    split = lambda t: (t or "").encode().lower().split()
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    after, count = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, t in rows:
+        if held(i):
+            continue
+        w = split(t)
+        count.update([*w, b"\n"])
+        z = b"\n" * order + b" ".join(w) + b"\n"
+        for p in range(order, len(z)):
+            for k in range(order + 1):
+                after[z[p - k : p]][z[p]] += 1
+    total, kinds = sum(count.values()), len(count)
+    out = []
+    for i, t in rows:
+        w = split(t)
+        z = b"\n" * order + b" ".join(w) + b"\n"
+        score = 0.0
+        for p in range(order, len(z)):
+            excluded = set()
+            for k in range(order, -1, -1):
+                left = {b: n for b, n in after.get(z[p - k : p], {}).items() if b not in excluded}
+                if not left:
+                    continue
+                mass = sum(left.values()) + len(left)
+                if z[p] in left:
+                    score += math.log10(left[z[p]] / mass)
+                    break
+                score += math.log10(len(left) / mass)
+                excluded |= set(left)
+            else:
+                score -= math.log10(256 - len(excluded))
+        tokens = [*w, b"\n"]
+        base = sum(math.log10((count[x] + 1) / (total + kinds + 1)) for x in tokens)
+        out.append((i, held(i), len(tokens), sum(count[x] > 0 for x in tokens), total, base, score))
+    return out
+
+
+@pytest.mark.parametrize("order, block_bytes", [(5, 1 << 20), (2, 600)])
+def test_scores_match_brute_force(spark, order, block_bytes):
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choice("ab cd\n e") for _ in range(rng.randint(0, 60))) + "Zé" * (i % 9 == 0)) for i in range(60)]
+    rows += [(100, None), (101, ""), (3, "dup row"), (None, "x y"), (200, "long " * 3000)]
+    got = score_documents(docs(spark, rows), F.coalesce(id_remainder("doc_id", 7) != 2, F.lit(True)), max_order=order, block_bytes=block_bytes).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
+    got, want = sorted(map(tuple, got), key=key), sorted(brute(rows, order), key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, want, strict=True):
+        assert g[:5] == w[:5]
+        assert g[5] == pytest.approx(w[5], abs=1e-9) and g[6] == pytest.approx(w[6], abs=1e-8)
+
+
+def test_empty_and_untrained(spark):
+    assert score_documents(docs(spark, []), F.lit(True)).count() == 0
+    row = score_documents(docs(spark, [(1, "ab")]), F.lit(False)).first()
+    assert row.held_out and row.n_known == 0 and row.train_tokens == 0
+    assert row.score == pytest.approx(-3 * math.log10(256))
