@@ -10,6 +10,8 @@ and works on streaming DataFrames as well.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,16 @@ from orderflow.functions import standardize as S
 from orderflow.specs import INVALID, REASON_COLUMN, STATUS_COLUMN, VALID, EntitySpec
 
 
+def _name_key(df: DataFrame) -> Callable[[str], str]:
+    """How the session compares column names."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    return (lambda name: name) if sensitive else str.lower
+
+
 def _check_columns(df: DataFrame, spec: EntitySpec) -> None:
-    missing = [c for c in spec.raw_columns if c not in df.columns]
+    key = _name_key(df)
+    present = {key(c) for c in df.columns}
+    missing = [c for c in spec.raw_columns if key(c) not in present]
     if missing:
         raise ValueError(f"{spec.name}: missing required column(s) {missing}; got {df.columns}")
 
@@ -53,12 +63,14 @@ def standardize(df: DataFrame, spec: EntitySpec) -> DataFrame:
     )
     # Like withColumn: a field replaces a same-named column where it stands,
     # otherwise it is appended.
-    by_name = {f.name: f for f in spec.fields}
+    key = _name_key(df)
+    by_name = {key(f.name): f for f in spec.fields}
     cols: list[Column] = []
     for c in df.columns:
-        f = by_name.get(c)
-        cols.append(_col(tmp[c]).cast(f.dtype).alias(c) if f else _col(c))
-    cols.extend(_col(tmp[f.name]).cast(f.dtype).alias(f.name) for f in spec.fields if f.name not in df.columns)
+        f = by_name.get(key(c))
+        cols.append(_col(tmp[f.name]).cast(f.dtype).alias(f.name) if f else _col(c))
+    present = {key(c) for c in df.columns}
+    cols.extend(_col(tmp[f.name]).cast(f.dtype).alias(f.name) for f in spec.fields if key(f.name) not in present)
     return step.select(*cols)
 
 
@@ -78,8 +90,10 @@ def validate_standardized(df: DataFrame, spec: EntitySpec) -> DataFrame:
     }
     # Like withColumn: an existing record_status / error_reason is replaced
     # where it stands; otherwise both are appended.
-    out_cols = [verdict[c] if c in verdict else _col(c) for c in df.columns]
-    out_cols.extend(verdict[c] for c in (STATUS_COLUMN, REASON_COLUMN) if c not in df.columns)
+    key = _name_key(df)
+    out_cols = [verdict.get(key(c), _col(c)) for c in df.columns]
+    present = {key(c) for c in df.columns}
+    out_cols.extend(verdict[c] for c in (STATUS_COLUMN, REASON_COLUMN) if c not in present)
     return with_reason.select(*out_cols)
 
 

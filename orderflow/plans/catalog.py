@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators import integrity, marts, summary
-from orderflow.operators.validate import rule_codes
+from orderflow.operators.validate import rule_codes, validate
 from orderflow.plans import stages
 from orderflow.plans.workspace import Workspace
 from orderflow.session import new_work_dir
 from orderflow.sources import io
-from orderflow.specs import ENTITIES, INVALID, STATUS_COLUMN, VALID
+from orderflow.specs import ENTITIES, INVALID, STATUS_COLUMN
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,11 +109,11 @@ def _csv_roundtrip(entity: str) -> Query:
 
 
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan each processed table (both partitions): rows per status."""
+    """Scan each processed table (both splits): rows per status."""
     ws = Workspace.of(spark, sf_dir)
     return summary.union_all(
         [
-            ws.processed(n, status=None)
+            ws.processed(n, split=None)
             .groupBy(STATUS_COLUMN)
             .agg(F.count(F.lit(1)).alias("row_count"))
             .select(F.lit(n).alias("dataset"), STATUS_COLUMN, "row_count")
@@ -133,20 +133,48 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def etl_output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E3 (+ S1, S4-S8): raw CSV zone -> stage 1 -> stage 2 into a fresh
-    folder; rows of every written dataset."""
-    ws = Workspace.of(spark, sf_dir)
-    zones = io.Zones(new_work_dir(spark, "etl"))
-    for n in ENTITIES:
-        io.write_csv(ws.raw(n), zones.raw(n))
-    result = stages.run(spark, zones)
-    frames = {}
-    for n in ENTITIES:
-        frames[f"valid_{n}"] = io.read_processed(spark, result.outputs[n], VALID, result.schemas[n])
-        frames[f"invalid_{n}"] = io.read_processed(spark, result.outputs[n], INVALID, result.schemas[n])
-    for name in ("validation_summary", "orphan_customers", "orphan_products", *stages.CURATED_OUTPUTS):
-        frames[name] = io.read_parquet(spark, result.outputs[name])
-    return summary.table_counts(frames)
+    """E3 (+ S1, S4-S8): raw CSV zone -> stage 1 -> stage 2; rows of every
+    written dataset."""
+    outputs = Workspace.of(spark, sf_dir).etl()
+    return summary.table_counts({name: io.read_parquet(spark, path) for name, path in outputs.items()})
+
+
+def _etl(name: str) -> Query:
+    """A dataset that the end-to-end run has written, read as any consumer would."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(Workspace.of(spark, sf_dir).etl()[name])
+
+    return q
+
+
+def curate_plain_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 over processed tables that have no verdict columns."""
+    zones = Workspace.of(spark, sf_dir).plain_processed()
+    return spark.read.parquet(stages.curate(spark, zones).outputs["sales_summary"])
+
+
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers in two folders whose headers differ in order and
+    case, bound by name and validated."""
+    raw = Workspace.of(spark, sf_dir).raw("customers")
+    root = new_work_dir(spark, "mixed-headers")
+    first = F.pmod(F.xxhash64(*raw.columns), F.lit(2)) == 0
+    io.write_csv(raw.where(first), f"{root}/a")
+    io.write_csv(raw.where(~first).select(*[F.col(c).alias(c.upper()) for c in reversed(raw.columns)]), f"{root}/b")
+    return validate(io.read_csv(spark, [f"{root}/b", f"{root}/a"]), ENTITIES["customers"]).select(*validate(raw, ENTITIES["customers"]).columns)
+
+
+def _retype(entity: str) -> Query:
+    """P13 over a copy of the valid rows that is all text."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        valid = Workspace.of(spark, sf_dir).valid(entity)
+        path = f"{new_work_dir(spark, 'text-copy')}/{entity}"
+        io.write_parquet(valid.select(*[F.col(c).cast("string") for c in valid.columns]), path)
+        return io.retype(io.read_parquet(spark, path), entity)
+
+    return q
 
 
 # --- curated ----------------------------------------------------------------
@@ -184,6 +212,10 @@ QUERIES: dict[str, Query] = {
     "quarantine_products": _ws(lambda ws: ws.quarantine("products")),
     "quarantine_orders": _ws(lambda ws: ws.quarantine("orders")),
     "etl_output_counts": etl_output_counts,
+    **{f"etl_{name}": _etl(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS)},
+    **{f"published_{kind}_{n}": _etl(f"{kind}_{n}") for kind in ("valid", "invalid") for n in ENTITIES},
+    "curate_plain_processed": curate_plain_processed,
+    "csv_mixed_headers": csv_mixed_headers,
     # P1-P13
     "std_ids": _std_long(ID_COLUMNS, "normalize"),
     "std_names": _std_long(NAME_COLUMNS, "normalize"),
@@ -201,7 +233,9 @@ QUERIES: dict[str, Query] = {
     "null_sentinels_customers": _sentinels("customers"),
     "null_sentinels_products": _sentinels("products"),
     "null_sentinels_orders": _sentinels("orders"),
-    "retype_processed": _ws(lambda ws: ws.valid("orders")),
+    "retype_processed": _retype("orders"),
+    "retype_customers": _retype("customers"),
+    "retype_products": _retype("products"),
     # V1-V18, F1
     **{r.name: _rule(spec.name, r.name) for spec in ENTITIES.values() for r in spec.rules},
     "validate_customers": _ws(lambda ws: ws.validated("customers")),

@@ -371,6 +371,19 @@ ORACLE: dict[str, str] = {
     "quarantine_products": _with(f"SELECT {PRODUCT_COLS} FROM val_products WHERE record_status = 'Invalid'"),
     "quarantine_orders": _with(f"SELECT {ORDER_COLS} FROM val_orders WHERE record_status = 'Invalid'"),
     "etl_output_counts": _with(_ETL_COUNTS),
+    "etl_orphan_customers": _with("SELECT * FROM orphan_c"),
+    "etl_orphan_products": _with("SELECT * FROM orphan_p"),
+    **{
+        f"etl_{t}": _with(f"SELECT * FROM {t}")
+        for t in ("customer_metrics", "product_metrics", "sales_summary", "dim_customers", "dim_products", "fact_orders")
+    },
+    **{
+        f"published_{kind}_{e}": _with(f"SELECT {cols} FROM val_{e} WHERE record_status = '{kind.title()}'")
+        for kind in ("valid", "invalid")
+        for e, cols in (("customers", CUSTOMER_COLS), ("products", PRODUCT_COLS), ("orders", ORDER_COLS))
+    },
+    "curate_plain_processed": _with("SELECT * FROM sales_summary"),
+    "csv_mixed_headers": _with(f"SELECT {CUSTOMER_COLS} FROM val_customers"),
     # P1-P13
     "std_ids": _with(_long(_IDS)),
     "std_names": _with(
@@ -408,6 +421,8 @@ ORACLE: dict[str, str] = {
     "null_sentinels_products": _with(_sentinel_query("products")),
     "null_sentinels_orders": _with(_sentinel_query("orders")),
     "retype_processed": _with(f"SELECT {ORDER_COLS} FROM valid_orders"),
+    "retype_customers": _with(f"SELECT {CUSTOMER_COLS} FROM valid_customers"),
+    "retype_products": _with(f"SELECT {PRODUCT_COLS} FROM valid_products"),
     # V1-V18, F1
     **{rule: _with(_rule_query(rule)) for rule in RULE_CODES},
     "validate_customers": _with(f"SELECT {CUSTOMER_COLS} FROM val_customers"),

@@ -1,16 +1,17 @@
 """The two batch stages and the gated end-to-end run.
 
 Stage 1 (raw -> processed): one scan and one write job per entity. The
-validated rows are written partitioned by ``record_status`` while an
+validated rows are written into the valid and the quarantine folder while an
 ``Observation`` counts total / valid / invalid rows in the same job, so the
 validation summary needs no further pass over the data.
 
 Stage 2 (processed -> curated): every intermediate that more than one
-output needs is written once and read back instead of being recomputed per
-output: the deduplicated dimensions (which are the curated ``dim_*``
-tables) and the tagged orders (deduplicated orders + dimension attributes +
-presence flags). The orphan quarantines, the fact table and the three metric
-tables are then narrow reads of those.
+output needs is staged once in a work folder and read back: the deduplicated
+parents and the tagged orders (the order columns, the three parent attributes
+that the marts need, and presence flags). The orphan quarantines are written
+before any curated table; the fact table and the metric tables are narrow
+reads of the tagged orders, and customer and product names join the metrics
+after the aggregation. The work folder is deleted at the end.
 
 Stage boundaries are Parquet: Catalyst plans stage 2 against plain scans,
 not against the validation expressions of stage 1 (planning a filter,
@@ -26,20 +27,19 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from orderflow.operators import marts
 from orderflow.operators.dedup import dedup_valid
 from orderflow.operators.integrity import key_first
 from orderflow.operators.summary import duplicate_summary, status_counts_exprs, validation_summary_from_counts
 from orderflow.operators.validate import validate
-from orderflow.session import new_work_dir
+from orderflow.session import new_work_dir, remove_dir
 from orderflow.sources import io
-from orderflow.specs import ENTITIES, ORDERS
+from orderflow.specs import ENTITIES, ORDERS, REASON_COLUMN, STATUS_COLUMN, VALID
 
+ORPHAN_OUTPUTS = ("orphan_customers", "orphan_products")
 CURATED_OUTPUTS = (
     "customer_metrics",
     "product_metrics",
@@ -71,7 +71,6 @@ def run_concurrently(jobs: Mapping[str, Callable[[], object]], spark: SparkSessi
 class StageResult:
     outputs: dict[str, str] = field(default_factory=dict)
     frames: dict[str, DataFrame] = field(default_factory=dict)
-    schemas: dict[str, StructType] = field(default_factory=dict)
 
 
 def _write_all(
@@ -81,10 +80,14 @@ def _write_all(
 ) -> None:
     layout = partition_by or {}
     spark = next(iter(outputs.values()))[0].sparkSession if outputs else None
-    run_concurrently(
-        {n: (lambda df=df, path=path, n=n: io.write_parquet(df, path, layout.get(n, ()))) for n, (df, path) in outputs.items()},
-        spark,
-    )
+
+    def write(name: str, df: DataFrame, path: str) -> None:
+        if layout.get(name):
+            io.write_partitioned(df, path, layout[name])
+        else:
+            io.write_parquet(df, path)
+
+    run_concurrently({n: (lambda n=n, df=df, path=path: write(n, df, path)) for n, (df, path) in outputs.items()}, spark)
     for n, (_, path) in outputs.items():
         result.outputs[n] = path
 
@@ -93,20 +96,19 @@ def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zon
     """Standardise, validate, split and summarise each raw entity."""
     result = StageResult()
 
-    def process(name: str, df: DataFrame) -> Callable[[], tuple[dict, StructType]]:
-        def job() -> tuple[dict, StructType]:
+    def process(name: str, df: DataFrame) -> Callable[[], dict]:
+        def job() -> dict:
             obs = Observation(f"validation_{name}_{uuid.uuid4().hex[:8]}")  # unique per run
             validated = validate(df, ENTITIES[name])
             io.write_processed(validated.observe(obs, *status_counts_exprs()), zones.processed(name))
-            return obs.get, io.partition_schema_last(validated.schema)
+            return obs.get
 
         return job
 
-    done = run_concurrently({name: process(name, df) for name, df in raw.items()}, spark)
-    counts = {name: c for name, (c, _) in done.items()}
-    for name, (_, schema) in done.items():
-        result.outputs[name] = zones.processed(name)
-        result.schemas[name] = schema
+    counts = run_concurrently({name: process(name, df) for name, df in raw.items()}, spark)
+    for name in counts:
+        result.outputs[f"valid_{name}"] = zones.valid(name)
+        result.outputs[f"invalid_{name}"] = zones.quarantine(name)
     summary = validation_summary_from_counts(spark, counts)
     io.write_parquet(summary.coalesce(1), zones.validation_summary)
     result.outputs["validation_summary"] = zones.validation_summary
@@ -114,27 +116,9 @@ def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zon
     return result
 
 
-def read_valid(spark: SparkSession, zones: io.Zones, entity: str, schema: StructType | None = None) -> DataFrame:
-    """S2 + P13: the valid partition of a processed table, re-typed.
-
-    A processed table written from zero rows has no data files (partitioned
-    writes create none), so there is no schema to infer: it then comes from
-    stage 1 when known, else from the spec."""
-    path = zones.processed(entity)
-    try:
-        df = io.read_processed(spark, path, schema=schema)
-    except AnalysisException:
-        if schema is not None:
-            raise
-        spec_schema = io.partition_schema_last(StructType.fromDDL(ENTITIES[entity].processed_ddl()))
-        df = io.read_processed(spark, path, schema=spec_schema)
-    return io.retype(df, entity)
-
-
 def curate(
     spark: SparkSession,
     zones: io.Zones,
-    schemas: Mapping[str, StructType] | None = None,
     partition_by: Mapping[str, tuple[str, ...]] | None = None,
 ) -> StageResult:
     """Dedup, referential integrity, enrichment, marts, star schema.
@@ -142,31 +126,35 @@ def curate(
     Curated tables are unpartitioned unless ``partition_by`` names columns
     for an output (e.g. ``{"sales_summary": ("order_date_cleaned",)}``)."""
     result = StageResult()
-    schemas = schemas or {}
-    valid = {name: read_valid(spark, zones, name, schemas.get(name)) for name in ENTITIES}
-    result.frames["duplicate_summary_before"] = duplicate_summary(
-        {n: (df, ENTITIES[n].key) for n, df in valid.items()}
-    )
+    work = new_work_dir(spark, "curate")
+    try:
+        _curate_in(spark, zones, work, result, partition_by)
+    finally:
+        remove_dir(spark, work)
+    return result
+
+
+def _curate_in(spark: SparkSession, zones: io.Zones, work: str, result: StageResult, partition_by: Mapping[str, tuple[str, ...]] | None) -> None:
+    valid = {name: io.read_valid(spark, zones.processed(name), name) for name in ENTITIES}
+    result.frames["duplicate_summary_before"] = duplicate_summary({n: (df, ENTITIES[n].key) for n, df in valid.items()})
     deduped = {n: dedup_valid(df, ENTITIES[n]) for n, df in valid.items()}
 
-    # Dimensions first: they are also the join inputs of the orders.
-    dims = {
-        "dim_customers": marts.dim_customers(deduped["customers"]),
-        "dim_products": marts.dim_products(deduped["products"]),
-    }
-    _write_all({n: (df, zones.curated(n)) for n, df in dims.items()}, result, partition_by)
-    dim_c = io.read_parquet(spark, zones.curated("dim_customers"), dims["dim_customers"].schema)
-    dim_p = io.read_parquet(spark, zones.curated("dim_products"), dims["dim_products"].schema)
-
-    # Staged in the shared checkpoint folder (not a zone), partitioned by the
-    # two presence flags: the orphan outputs and the marts each read only
-    # their own files.
-    tag_df = marts.tag_orders(deduped["orders"], dim_c, dim_p)
-    flags = (marts.HAS_CUSTOMER, marts.HAS_PRODUCT)
-    staged = f"{new_work_dir(spark, 'curate')}/tagged_orders"
-    io.write_parquet(tag_df, staged, partition_by=flags)
-    tagged = io.read_parquet(spark, staged, tag_df.schema)
+    # The parents are the join inputs of the orders and the curated dims.
+    dims = {"customers": marts.dim_customers(deduped["customers"]), "products": marts.dim_products(deduped["products"])}
+    run_concurrently({n: (lambda df=df, n=n: io.write_parquet(df, f"{work}/{n}")) for n, df in dims.items()}, spark)
+    customers, products = (io.read_parquet(spark, f"{work}/{n}", dims[n].schema) for n in dims)
+
+    # Partitioned by the two presence flags: the orphan outputs and the marts
+    # each read only their own files. The verdict is the same on every row and
+    # is put back where it is published.
     order_cols = deduped["orders"].columns
+    verdict = {STATUS_COLUMN: F.lit(VALID), REASON_COLUMN: F.lit(None).cast("string")}
+    tag_df = marts.tag_orders(
+        deduped["orders"].drop(*verdict), customers, products, marts.ORDER_CUSTOMER_ATTRS, marts.ORDER_PRODUCT_ATTRS
+    )
+    flags = (marts.HAS_CUSTOMER, marts.HAS_PRODUCT)
+    io.write_partitioned(tag_df, f"{work}/tagged", flags)
+    tagged = io.read_parquet(spark, f"{work}/tagged", tag_df.schema)
 
     # Orphans before the curated tables; an order missing both parents lands
     # in both quarantines.
@@ -175,25 +163,26 @@ def curate(
         ("customers", "customer_id", marts.HAS_CUSTOMER),
         ("products", "product_id", marts.HAS_PRODUCT),
     ):
-        orphans[f"orphan_{parent}"] = (key_first(tagged.where(~F.col(flag)), key, order_cols), zones.orphans(parent))
+        lost = tagged.where(~F.col(flag)).withColumns(verdict)
+        orphans[f"orphan_{parent}"] = (key_first(lost, key, order_cols), zones.orphans(parent))
     _write_all(orphans, result)
 
-    measured = marts.add_measures(marts.enrich(tagged))
-    outputs: dict[str, tuple[DataFrame, str]] = {}
-    outputs["customer_metrics"] = (marts.customer_metrics(measured), zones.curated("customer_metrics"))
-    outputs["product_metrics"] = (marts.product_metrics(measured), zones.curated("product_metrics"))
-    outputs["sales_summary"] = (marts.sales_summary(measured), zones.curated("sales_summary"))
-    outputs["fact_orders"] = (marts.fact_orders(measured), zones.curated("fact_orders"))
-    _write_all(outputs, result, partition_by)
-
-    result.frames["duplicate_summary_after"] = duplicate_summary(
-        {
-            "customers": (dim_c, ENTITIES["customers"].key),
-            "products": (dim_p, ENTITIES["products"].key),
-            "orders": (tagged, ORDERS.key),
-        }
+    measured = marts.add_measures(marts.retained(tagged))
+    curated = {
+        "dim_customers": customers,
+        "dim_products": products,
+        "customer_metrics": marts.customer_metrics(measured, customers),
+        "product_metrics": marts.product_metrics(measured, products),
+        "sales_summary": marts.sales_summary(measured),
+        "fact_orders": marts.fact_orders(measured),
+    }
+    _write_all({n: (df, zones.curated(n)) for n, df in curated.items()}, result, partition_by)
+
+    # Read now: three rows, from tables that go with the work folder.
+    after = duplicate_summary(
+        {"customers": (customers, ENTITIES["customers"].key), "products": (products, ENTITIES["products"].key), "orders": (tagged, ORDERS.key)}
     )
-    return result
+    result.frames["duplicate_summary_after"] = spark.createDataFrame(after.collect(), after.schema)
 
 
 def run(
@@ -209,12 +198,11 @@ def run(
     first = process_raw(spark, raw, zones)
     if show_summaries:
         first.frames["validation_summary"].show(truncate=False)
-    second = curate(spark, zones, first.schemas, partition_by)
+    second = curate(spark, zones, partition_by)
     if show_summaries:
         second.frames["duplicate_summary_before"].show(truncate=False)
         second.frames["duplicate_summary_after"].show(truncate=False)
     return StageResult(
         outputs={**first.outputs, **second.outputs},
         frames={**first.frames, **second.frames},
-        schemas=first.schemas,
     )

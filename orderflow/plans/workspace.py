@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from orderflow.operators import marts
 from orderflow.operators.dedup import dedup_valid
 from orderflow.operators.validate import validate
+from orderflow.plans import stages
 from orderflow.session import app_id, new_work_dir
 from orderflow.sources import fixtures, io
-from orderflow.specs import ENTITIES, INVALID, VALID
+from orderflow.specs import ENTITIES, REASON_COLUMN, STATUS_COLUMN
 
 _CACHE: dict[tuple[str, str], Workspace] = {}
 _CACHE_LOCK = threading.Lock()
@@ -99,22 +100,44 @@ class Workspace:
         return validate(self.raw(entity), ENTITIES[entity])
 
     # -- processed zone (materialised) -----------------------------------
-    def processed(self, entity: str, status: str | None = VALID) -> DataFrame:
+    def processed(self, entity: str, split: str | None = io.VALID_SPLIT) -> DataFrame:
+        path = self.zones.processed(entity)
+
         def write():
             validated = self.validated(entity)
-            io.write_processed(validated, self.zones.processed(entity))
-            return io.partition_schema_last(validated.schema)
+            io.write_processed(validated, path)
+            return validated.schema
 
-        path = self.zones.processed(entity)
-        return self._materialised(
-            f"processed:{entity}", write, lambda schema: io.read_processed(self.spark, path, status, schema)
-        )
+        return self._materialised(f"processed:{entity}", write, lambda schema: io.read_processed(self.spark, path, split, schema))
 
     def valid(self, entity: str) -> DataFrame:
-        return io.retype(self.processed(entity, VALID), entity)
+        return io.retype(self.processed(entity), entity)
 
     def quarantine(self, entity: str) -> DataFrame:
-        return self.processed(entity, INVALID)
+        return self.processed(entity, io.QUARANTINE_SPLIT)
+
+    # -- one end-to-end run over the written raw zone ------------------------
+    def etl(self) -> dict[str, str]:
+        """Paths of everything that a run of both stages writes."""
+        zones = io.Zones(f"{self.zones.root}/etl")
+
+        def run():
+            for n in ENTITIES:
+                io.write_csv(self.raw(n), zones.raw(n))
+            return stages.run(self.spark, zones).outputs
+
+        return self._once("etl", run)
+
+    def plain_processed(self) -> io.Zones:
+        """Processed tables of valid rows only, without verdict columns."""
+        zones = io.Zones(f"{self.zones.root}/plain")
+
+        def write():
+            for n in ENTITIES:
+                io.write_parquet(self.valid(n).drop(STATUS_COLUMN, REASON_COLUMN), zones.processed(n))
+
+        self._once("plain", write)
+        return zones
 
     # -- stage 2, lazily over the processed zone ----------------------------
     def deduped(self, entity: str) -> DataFrame:

@@ -30,13 +30,6 @@ def app_id(spark: SparkSession) -> str:
     return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None)
     sc = _context(spark)
@@ -44,15 +37,13 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = sc.getCheckpointDir()
     if not root:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is unset; set it to a shared folder (HDFS, object store) on a cluster"
             )
         app = app_id(spark)
         if app not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="orderflow-checkpoints-")
-            if sc is not None:
-                sc.setCheckpointDir(_LOCAL_ROOTS[app])
         root = _LOCAL_ROOTS[app]
     return root.rstrip("/")
 
@@ -60,3 +51,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/orderflow/{app_id(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it, if it is there."""
+    sc = _context(spark)
+    if sc is None:
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

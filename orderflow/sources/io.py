@@ -3,33 +3,45 @@
 Locations are plain Hadoop paths (``s3a://``, ``hdfs://``, ``file:``), passed
 as arguments; nothing is read from the environment.
 
-Processed zone layout: one Parquet table per entity, partitioned by
-``record_status``. Validating an entity is then a single scan of its raw
-input and a single write job; the valid rows are the ``record_status=Valid``
-partition and the quarantine is the ``record_status=Invalid`` partition, and
-readers of either touch only that partition's files (partition pruning).
+Processed zone layout: each entity's folder holds its valid rows under
+``split=valid`` and its quarantine under ``split=quarantine``. Validating an
+entity is a single scan of its raw input and a single write job, and either
+folder reads as a plain table in processed column order (``record_status`` is
+in the files, the split is not).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orderflow.specs import ENTITIES, INVALID, REASON_COLUMN, STATUS_COLUMN, VALID
+from orderflow.specs import ENTITIES, REASON_COLUMN, STATUS_COLUMN, VALID
+
+SPLIT_COLUMN = "split"
+VALID_SPLIT, QUARANTINE_SPLIT = "valid", "quarantine"
 
 
 # --- S1: CSV -------------------------------------------------------------
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """All-string CSV with a header row. Columns bind by header name; types
-    are never inferred. Empty and quoted-empty fields read as null."""
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
+    """All-string CSV with a header row. Types are never inferred; empty and
+    quoted-empty fields read as null.
+
+    Every file's header is checked against the columns read: a folder whose
+    files differ in the order or the names of their columns fails instead of
+    binding by position. Folders that differ from each other are given as a
+    list and are bound by name (in the first one's order; ``Customer_ID`` and
+    ``customer_id`` are one name unless the session is case-sensitive)."""
+    if not isinstance(path, str):
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read_csv(spark, p, schema) for p in path])
     reader = spark.read.option("header", True).option("inferSchema", False)
-    if schema is not None:
-        # Binds by header name too: Spark checks the header against it.
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    known = schema or reader.csv(path).schema
+    return reader.schema(known).option("enforceSchema", False).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -51,13 +63,20 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Whole-directory overwrite, snappy Parquet."""
-    writer = df.write.mode("overwrite")
+    """Whole-directory overwrite, whatever the session's overwrite mode."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
+def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Partitioned overwrite with the rows of a partition brought together
+    first, so that not every task writes a file for every value; AQE splits a
+    value that is too large."""
+    write_parquet(df.hint("rebalance", *partition_by), path, partition_by)
+
+
 # --- zones (S5-S8) --------------------------------------------------------
 @dataclass(frozen=True)
 class Zones:
@@ -86,6 +105,12 @@ class Zones:
     def processed(self, entity: str) -> str:
         return f"{self._zone(self.processed_root, 'processed')}/{entity}"
 
+    def valid(self, entity: str) -> str:
+        return split_path(self.processed(entity), VALID_SPLIT)
+
+    def quarantine(self, entity: str) -> str:
+        return split_path(self.processed(entity), QUARANTINE_SPLIT)
+
     @property
     def validation_summary(self) -> str:
         return f"{self._zone(self.processed_root, 'processed')}/validation-summary"
@@ -100,50 +125,69 @@ class Zones:
         return f"{self._zone(None, '_staging')}/{name}"
 
 
-def status_before_reason(df: DataFrame) -> DataFrame:
-    """Partition columns come back last; put ``record_status`` back before
-    ``error_reason``."""
-    cols = [c for c in df.columns if c != STATUS_COLUMN]
-    if REASON_COLUMN in cols:
-        cols.insert(cols.index(REASON_COLUMN), STATUS_COLUMN)
-    else:
-        cols.append(STATUS_COLUMN)
-    return df.select(*cols)
+def split_path(path: str, split: str) -> str:
+    return f"{path.rstrip('/')}/{SPLIT_COLUMN}={split}"
 
 
-def write_processed(validated: DataFrame, path: str) -> None:
-    """Valid and quarantined rows in one write job."""
-    write_parquet(validated, path, partition_by=(STATUS_COLUMN,))
+def with_split(validated: DataFrame) -> DataFrame:
+    valid = F.col(STATUS_COLUMN) == VALID
+    return validated.withColumn(SPLIT_COLUMN, F.when(valid, VALID_SPLIT).otherwise(QUARANTINE_SPLIT))
 
 
-def read_processed(
-    spark: SparkSession,
-    path: str,
-    status: str | None = VALID,
-    schema: StructType | None = None,
-) -> DataFrame:
-    """Rows of one ``record_status`` partition (``None`` = all), columns in
-    processed order."""
-    df = read_parquet(spark, path, schema)
-    if status is not None:
-        df = df.where(F.col(STATUS_COLUMN) == F.lit(status))
-    return status_before_reason(df)
-
-
-def read_quarantine(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    return read_processed(spark, path, INVALID, schema)
+def write_processed(validated: DataFrame, path: str) -> None:
+    """Valid and quarantined rows in one write job; a side without rows
+    is written as an empty table."""
+    write_parquet(with_split(validated), path, partition_by=(SPLIT_COLUMN,))
+    spark = validated.sparkSession
+    for split in (VALID_SPLIT, QUARANTINE_SPLIT):
+        if _try_read(spark, split_path(path, split), "PATH_NOT_FOUND") is None:
+            write_parquet(spark.createDataFrame([], validated.schema), split_path(path, split))
+
+
+def _try_read(spark: SparkSession, path: str, *absent: str) -> DataFrame | None:
+    """The table at ``path``, or None for the error conditions ``absent``."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in absent:
+            raise
+        return None
+
+
+def read_processed(spark: SparkSession, path: str, split: str | None = VALID_SPLIT, schema: StructType | None = None) -> DataFrame:
+    """One split of a processed table written here (``None``: both)."""
+    if split is not None:
+        return read_parquet(spark, split_path(path, split), schema)
+    return read_processed(spark, path, VALID_SPLIT, schema).unionByName(read_processed(spark, path, QUARANTINE_SPLIT, schema))
+
+
+def read_valid(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """S2 + P13: the valid rows of a processed table, re-typed.
+
+    ``path`` holds a table written by :func:`write_processed`, or any Parquet
+    table of the entity: without a ``record_status`` all its rows are valid
+    and the two verdict columns are added. A folder without data files has no
+    rows; a folder that is not there, or lacks a column, is an error."""
+    df = _try_read(spark, split_path(path, VALID_SPLIT), "PATH_NOT_FOUND")
+    if df is None:
+        df = _try_read(spark, path, "UNABLE_TO_INFER_SCHEMA")
+    spec = ENTITIES[entity]
+    if df is None:
+        return spark.createDataFrame([], StructType.fromDDL(spec.processed_ddl()))
+    needed = {spec.key, *(f.name for f in spec.fields)}
+    if missing := sorted(needed - set(df.columns)):
+        raise ValueError(f"{path}: no processed {entity} table, column(s) {missing} are missing")
+    if STATUS_COLUMN in df.columns:
+        df = df.where(F.col(STATUS_COLUMN) == VALID)
+    else:
+        df = df.withColumn(STATUS_COLUMN, F.lit(VALID))
+    if REASON_COLUMN not in df.columns:
+        df = df.withColumn(REASON_COLUMN, F.lit(None).cast("string"))
+    return retype(df.drop(SPLIT_COLUMN), entity)
 
 
 def retype(df: DataFrame, entity: str) -> DataFrame:
-    """Re-assert processed types (no-ops on Parquet written here, as
-    Catalyst drops casts to the same type)."""
+    """Re-assert processed types, for instance of a table kept as text
+    (no-ops on Parquet written here: Catalyst drops casts to the same type)."""
     typed = ENTITIES[entity].typed_columns
     return df.select(*[F.col(c).cast(typed[c]).alias(c) if c in typed else F.col(c) for c in df.columns])
-
-
-def partition_schema_last(schema: StructType) -> StructType:
-    """The schema Spark reports when reading a table partitioned by
-    ``record_status`` (partition column last)."""
-    fields = [f for f in schema.fields if f.name != STATUS_COLUMN]
-    status = [f for f in schema.fields if f.name == STATUS_COLUMN]
-    return StructType(fields + status)

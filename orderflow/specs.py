@@ -49,6 +49,16 @@ RETURNED_STATUS = "Returned"
 CANCELLED_STATUS = "Cancelled"
 VALID = "Valid"
 INVALID = "Invalid"
+# Columns of the curated tables, in output order.
+ENRICHED_COLUMNS = (
+    "order_id", "customer_id", "customer_name", "email", "country", "product_id", "product_name", "category",
+    "price_cleaned", "quantity", "order_date_cleaned", "order_status",
+)
+FACT_COLUMNS = ("order_id", "customer_id", "product_id", "order_date_cleaned", "order_status", "quantity")
+DIM_CUSTOMER_COLUMNS = ("customer_id", "customer_name", "email", "country", "signup_date_cleaned", "lifetime_value_cleaned")
+DIM_PRODUCT_COLUMNS = ("product_id", "product_name", "category", "price_cleaned", "stock_qty")
+# The error codes, rule order and raw columns of the entity specs below are
+# fixed values as well.
 # ---------------------------------------------------------------------------
 
 STATUS_COLUMN = "record_status"

@@ -21,7 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from orderflow.operators.validate import validate
-from orderflow.specs import STATUS_COLUMN, EntitySpec
+from orderflow.sources.io import SPLIT_COLUMN, with_split
+from orderflow.specs import EntitySpec
 
 
 def raw_schema(spec: EntitySpec) -> StructType:
@@ -54,10 +55,10 @@ def start_processing(
     ``available_now`` processes every file present at start and stops (an
     incremental batch job); otherwise the query keeps running.
     """
-    validated = validate(read_raw_stream(spark, spec, source_dir, max_files_per_trigger), spec)
+    validated = with_split(validate(read_raw_stream(spark, spec, source_dir, max_files_per_trigger), spec))
     writer = (
         validated.writeStream.format("parquet")
-        .partitionBy(STATUS_COLUMN)
+        .partitionBy(SPLIT_COLUMN)
         .option("path", processed_path)
         .option("checkpointLocation", checkpoint_path)
         .outputMode("append")

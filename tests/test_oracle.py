@@ -8,7 +8,9 @@ from tests.oracle_compare import compare, duck
 
 from .conftest import SF_SMALL
 
-NAMES = sorted(entry.queries())
+from orderflow.plans.catalog import QUERIES  # noqa: E402
+
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +19,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

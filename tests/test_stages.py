@@ -136,3 +136,26 @@ def test_two_runs_at_once_in_one_session(spark, ws):
         got = {r["Dataset"]: r["Valid_count"] for r in result.frames["validation_summary"].collect()}
         assert got == {"customers": 107, "products": 178, "orders": 5237}
         assert io.read_parquet(spark, result.outputs["fact_orders"]).count() == 841
+
+
+def test_work_folder_is_gone_after_a_run(run):
+    spark, _ = run
+    from orderflow.session import app_id, checkpoint_root
+
+    root = pathlib.Path(f"{checkpoint_root(spark)}/orderflow/{app_id(spark)}".replace("file:", ""))
+    assert not [p for p in root.iterdir() if p.name.startswith("curate-")]
+
+
+def test_stage_one_write_does_not_sort(spark, ws):
+    """Under the documented setting the split needs no sort of the rows."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.set(key, "8")
+    try:
+        df = io.with_split(ws.validated("orders"))
+        df.write.mode("overwrite").partitionBy(io.SPLIT_COLUMN).parquet(f"{new_work_dir(spark, 'test-nosort')}/t")
+        store = spark._jsparkSession.sharedState().statusStore()
+        last = store.executionsList().last()
+        assert "partitionBy" in last.physicalPlanDescription() or "split" in last.physicalPlanDescription()
+        assert "Sort" not in last.physicalPlanDescription()
+    finally:
+        spark.conf.unset(key)

@@ -17,13 +17,13 @@ def test_stream_matches_batch_and_restarts_cleanly(spark, ws):
     io.write_csv(raw, src)
     q = start_processing(spark, CUSTOMERS, src, out, ckpt)
     q.awaitTermination(300)
-    streamed = io.read_processed(spark, out, status=None)
-    batch = ws.processed("customers", status=None)
+    streamed = io.read_processed(spark, out, split=None)
+    batch = ws.processed("customers", split=None)
     assert _rows(streamed.select(*batch.columns)) == _rows(batch)
     # Restart over the same input: nothing is reprocessed.
     q = start_processing(spark, CUSTOMERS, src, out, ckpt)
     q.awaitTermination(300)
-    assert io.read_processed(spark, out, status=None).count() == raw.count()
+    assert io.read_processed(spark, out, split=None).count() == raw.count()
 
 
 def test_stream_rejects_a_header_in_another_order(spark):
