@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import id_remainder, stage, table
+from orderflow.llm.common import stage, table
 from orderflow.llm.decontaminate import contaminated_ids, contaminated_regions
 from orderflow.llm.langid import fit_languages, keep_recognised
 from orderflow.llm.minhash import keep_one_of_each
@@ -28,9 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unrecognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language model of the documents that came in; rows it rejects go."""
-    model = fit_languages(docs, id_remainder("doc_id", 3) != 1)
-    return keep_recognised(docs, model)
+    """Language model of the labelled documents; rows it rejects go."""
+    return keep_recognised(docs, fit_languages(table(spark, sf_dir, "documents")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,7 @@ def map_whole_rows(
     function: Callable[[Iterator[tuple[pa.RecordBatch, list[bytes | None]]]], Iterator[tuple[pa.RecordBatch, list[pa.Array]]]],
     more: Sequence[StructField] = (),
     limit: int = 1 << 21,
+    rows: int = 1 << 30,
 ) -> DataFrame:
     """Run ``function`` over slices of whole rows and their texts as bytes; it
     yields rows of the slice with the arrays of the ``more`` columns. Columns
@@ -54,7 +55,7 @@ def map_whole_rows(
     inner = StructType([StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields, strict=True)] + [StructField(f"m{i}", f.dataType) for i, f in enumerate(more)])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-        for batch in slices(batches, names[place], limit):
+        for batch in slices(batches, names[place], limit, rows):
             yield batch, batch.column(place).cast(pa.binary()).to_pylist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,15 +72,16 @@ def words(data: bytes | None) -> list[bytes]:
     return data.lower().split() if data else []
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes in
-    each (one row at least): bounds the memory of vectorised work."""
+    each (one row at least, ``rows`` at most): bounds the memory of vectorised
+    work."""
     for batch in batches:
         sizes = batch.column(column)
         lengths = np.nan_to_num(np.asarray(pc.binary_length(sizes).to_numpy(zero_copy_only=False), dtype=float))
         start, held = 0, 0.0
         for i, n in enumerate(lengths):
-            if held and held + n > limit:
+            if i > start and (held + n > limit or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0.0
             held += n

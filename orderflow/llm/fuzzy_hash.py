@@ -183,9 +183,12 @@ def compare_with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: s
     # Range p holds the ids from cut p - 1 up to cut p; null ids are in the first.
     at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
     placed = rows.select(F.coalesce(F.when(F.col("doc_id").isNotNull(), at), F.lit(0)).cast("int").alias("part"), "doc_id", "data")
-    order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "data")
-    first = placed.groupBy("part").agg(F.min(order).alias("f"))
-    heads = first.select("part", "f.doc_id", "f.data").orderBy("part").collect()  # a document for each range
+    # The first document of each range: its id, then the text of that id.
+    firsts = placed.groupBy("part").agg(F.min("doc_id").alias("least"), F.count_if(F.col("doc_id").isNull()).alias("unnamed")).orderBy("part").collect()
+    least = [r.least for r in firsts if not r.unnamed]
+    wanted = F.col("doc_id").isin(least) if all(r.unnamed == 0 for r in firsts) else F.col("doc_id").isin(least) | F.col("doc_id").isNull()
+    heads = placed.where(wanted).groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "data")).alias("f"))
+    heads = heads.select("part", "f.doc_id", "f.data").orderBy("part").collect()  # a document for each range
     if not heads:
         return spark.createDataFrame([], schema).withColumns({"near_edited": F.lit(0.0), "near_next": F.lit(0.0)}).drop("next_fingerprint")
     used = [h.part for h in heads]

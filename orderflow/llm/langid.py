@@ -28,7 +28,7 @@ MAX_ROWS = 400
 MAX_LANGUAGES = 1_000
 KMEANS_ROUNDS = 12
 RADIUS_FACTOR = 0.15
-SLICE_BYTES = 1 << 19
+SLICE_BYTES, SLICE_ROWS = 1 << 19, 256
 UNKNOWN = "und"
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _HAS_LETTER = regex.compile(r"\p{L}")
@@ -107,7 +107,7 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = KMEANS_ROUNDS) -> np.ndar
 def _document_frequency(dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(dims, np.int64), 0
-        for batch in slices(batches, "data", SLICE_BYTES):
+        for batch in slices(batches, "data", SLICE_BYTES, SLICE_ROWS):
             texts = [t for t in map(letters_only, batch.column("data").to_pylist()) if t]
             seen += (gram_counts(texts, dims) > 0).sum(axis=0)
             n += len(texts)
@@ -164,7 +164,7 @@ def fit_languages(
 
 def _vectors(idf: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "data", SLICE_BYTES):
+        for batch in slices(batches, "data", SLICE_BYTES, SLICE_ROWS):
             texts = [letters_only(d) for d in batch.column("data").to_pylist()]
             some = np.array([bool(t) for t in texts], bool)
             if not some.any():
@@ -197,7 +197,7 @@ def _predictions(model: LanguageModel):
     names = np.array([*model.langs, UNKNOWN], object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "data", SLICE_BYTES):
+        for batch in slices(batches, "data", SLICE_BYTES, SLICE_ROWS):
             best, score, far = nearest(model, batch.column("data").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score), pa.array(far)], names=["doc_id", "lang_pred", "score", "rejected"]
@@ -223,4 +223,4 @@ def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = "text
         for batch, texts in parts:
             yield batch.filter(pa.array(~nearest(model, texts)[2])), []
 
-    return map_whole_rows(docs, text_col, run, limit=SLICE_BYTES)
+    return map_whole_rows(docs, text_col, run, limit=SLICE_BYTES, rows=SLICE_ROWS)
