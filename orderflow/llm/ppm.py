@@ -10,14 +10,17 @@ empty context the bytes left over are equally likely.
 
 The trie is a table (:func:`train_trie`), counted over all training texts and
 as large as they make it; it is never collected or broadcast. Texts are dealt
-into blocks of about ``block_bytes``; every block asks for the code lengths of
-its distinct contexts and words only, by joins that put each of them once in
-each block.
+into blocks of about ``block_bytes``, and a block needs the values of its own
+distinct contexts and words only. These go to a superblock of ``RANGE`` blocks
+in ``SHARDS`` parts, packed and sorted; there they are merged, so that joins
+see each of them once for each superblock, and the values come back the same
+way. Every group is of a bounded number of blocks.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,10 +30,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import stage, words
+from orderflow.llm.common import slices, stage, words
 
 MAX_ORDER = 5
 BLOCK_BYTES = 16 << 20
+RANGE = SHARDS = 64
+PACK_BYTES = 48 << 20
 CHUNK = 1 << 20
 END = b"\n"  # no word holds it
 ALPHABET = 256
@@ -63,42 +68,144 @@ def _positions(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.
         yield gram[scored], text[scored]
 
 
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(blob: bytes) -> pa.Table:
+    with pa.ipc.open_stream(blob) as source:
+        return source.read_all()
+
+
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows to packed rows, one for each block met in ``PACK_BYTES`` of texts."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        block = table.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        block = block[order]
+        first = _runs(block)
+        table = table.drop_columns("block").take(order)
+        stops = [*first[1:], len(block)]
+        blobs = [_packed(table.slice(a, z - a).combine_chunks()) for a, z in zip(first, stops, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(block[first]), pa.array(blobs, pa.binary())], names=["block", "texts"])
+
+    for batch in slices(batches, "data", PACK_BYTES):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= PACK_BYTES:
+            yield flush()
+            held, size = [], 0
+    if held:
+        yield flush()
+
+
+def _texts(table: pa.Table) -> pa.Table:
+    return pa.concat_tables(map(_unpacked, table.column("texts").to_pylist()))
+
+
 def _block_counts(order: int):
-    """Distinct grams and words of one block with their training counts."""
+    """Distinct grams and words of one block with their training counts,
+    sorted and packed by shard."""
 
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        texts = _plain(table.column("data"))
-        train = np.asarray(table.column("train").to_numpy(zero_copy_only=False), bool)
+        rows = _texts(table)
+        texts = _plain(rows.column("data"))
+        train = np.asarray(rows.column("train").to_numpy(zero_copy_only=False), bool)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         for gram, text in _positions(texts, order):
             both = np.sort((gram << 1) | train[text])
             gram = both >> 1
-            first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
-            parts.append((gram[first], np.add.reduceat(both & 1, first)))
-        if parts:
-            gram, back = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-            count = np.bincount(back, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
-        else:
-            gram = count = np.empty(0, np.int64)
+            first = _runs(gram)
+            parts.append((gram[first], np.add.reduceat(both & 1, first) if len(first) else gram))
+        gram, count = _merged(parts)
         seen: Counter[bytes] = Counter()
         known = set()
         for t, own in zip(texts, train, strict=True):
             (seen if own else known).update(t.split())
-        names = [*seen, *(known - seen.keys())]
-        n, m = len(gram), len(names)
+        by_shard: list[list[bytes]] = [[] for _ in range(SHARDS)]
+        for w in {*seen, *known}:
+            by_shard[zlib.crc32(w) % SHARDS].append(w)
+        of = gram % SHARDS
+        order_ = np.argsort(of, kind="stable")
+        cuts = np.searchsorted(of[order_], np.arange(SHARDS + 1))
+        grams, names = [], []
+        for shard in range(SHARDS):
+            own = order_[cuts[shard] : cuts[shard + 1]]
+            grams.append(_packed(pa.table({"key": gram[own], "n": count[own]})))
+            held = sorted(by_shard[shard])
+            names.append(_packed(pa.table({"key": pa.array(held, pa.binary()), "n": pa.array([seen[w] for w in held], pa.int64())})))
         return pa.table(
             {
-                "block": pa.array(np.full(n + m, block, np.int32)),
-                "gram": pa.concat_arrays([pa.array(gram), pa.nulls(m, pa.int64())]),
-                "word": pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(names, pa.binary())]),
-                "n": pa.array(np.concatenate((count, np.fromiter((seen[w] for w in names), np.int64, m)))),
+                "block": pa.array(np.full(SHARDS, block, np.int32)),
+                "super": pa.array(np.full(SHARDS, block // RANGE, np.int32)),
+                "shard": pa.array(np.arange(SHARDS, dtype=np.int32)),
+                "grams": pa.array(grams, pa.binary()),
+                "words": pa.array(names, pa.binary()),
             }
         )
 
     return run
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of all parts and their summed counts."""
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    key, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    first = _runs(key)
+    return key[first], np.add.reduceat(count, first) if len(first) else count
+
+
+def _super_counts(table: pa.Table) -> pa.Table:
+    """The counts of one shard over all blocks of a superblock."""
+    parts = [(t.column("key").to_numpy(), t.column("n").to_numpy()) for t in map(_unpacked, table.column("grams").to_pylist())]
+    gram, count = _merged(parts)
+    words_ = pa.concat_tables(map(_unpacked, table.column("words").to_pylist())).group_by("key").aggregate([("n", "sum")])
+    n, m = len(gram), words_.num_rows
+    same = {c: pa.array(np.full(n + m, table.column(c)[0].as_py(), np.int32)) for c in ("super", "shard")}
+    return pa.table(
+        same
+        | {
+            "gram": pa.concat_arrays([pa.array(gram), pa.nulls(m, pa.int64())]),
+            "word": pa.concat_arrays([pa.nulls(n, pa.binary()), words_.column("key").combine_chunks()]),
+            "n": pa.concat_arrays([pa.array(count), words_.column("n_sum").combine_chunks()]),
+        }
+    )
+
+
+def _block_values(counts: pa.Table, values: pa.Table) -> pa.Table:
+    """For each block of a superblock's shard its keys with their values."""
+    is_gram = values.column("gram").is_valid()
+    held = values.filter(is_gram)
+    gram, value = held.column("gram").to_numpy(), held.column("value").to_numpy()
+    order = np.argsort(gram)
+    gram, value = gram[order], value[order]
+    rest = values.filter(pc.invert(is_gram))
+    of_word = dict(zip(rest.column("word").to_pylist(), rest.column("value").to_pylist(), strict=True))
+    grams, names = [], []
+    for blob_g, blob_w in zip(counts.column("grams").to_pylist(), counts.column("words").to_pylist(), strict=True):
+        key = _unpacked(blob_g).column("key").to_numpy()
+        grams.append(_packed(pa.table({"key": key, "value": value[np.searchsorted(gram, key)]})))
+        own = _unpacked(blob_w).column("key")
+        names.append(_packed(pa.table({"key": own, "value": pa.array([int(of_word[w]) for w in own.to_pylist()], pa.int64())})))
+    return pa.table({"block": counts.column("block"), "grams": pa.array(grams, pa.binary()), "words": pa.array(names, pa.binary())})
+
+
 def _mask(level: int) -> int:
     """The last ``level`` bytes of the context and the byte."""
     return (1 << (8 * (level + 1))) - 1
@@ -165,11 +272,11 @@ def code_lengths(asked: DataFrame, levels: list[DataFrame]) -> DataFrame:
 def _score_block(order: int, n_train: int, n_kinds: int, end_count: int):
     floor = math.log10(n_train + n_kinds + 1)
 
-    def run(texts: pa.Table, asked: pa.Table) -> pa.Table:
+    def run(dealt: pa.Table, asked: pa.Table) -> pa.Table:
+        texts = _texts(dealt)
         plain = _plain(texts.column("data"))
-        kind = asked.column("gram").is_valid()
-        grams = asked.filter(kind)
-        gram, logp = grams.column("gram").to_numpy(), grams.column("logp").to_numpy()
+        parts = pa.concat_tables(map(_unpacked, asked.column("grams").to_pylist()))
+        gram, logp = parts.column("key").to_numpy(), parts.column("value").to_numpy()
         order_ = np.argsort(gram)
         gram, logp = gram[order_], logp[order_]
         score = np.zeros(len(plain))
@@ -187,8 +294,8 @@ def _score_block(order: int, n_train: int, n_kinds: int, end_count: int):
             first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
             value = np.repeat(logp[np.searchsorted(gram, g[first])], np.diff(np.append(first, len(g))))
             score += np.bincount(text, value, len(plain))
-        rest = asked.filter(pc.invert(kind))
-        count = dict(zip(rest.column("word").to_pylist(), rest.column("n").to_pylist(), strict=True))
+        rest = pa.concat_tables(map(_unpacked, asked.column("words").to_pylist()))
+        count = dict(zip(rest.column("key").to_pylist(), rest.column("value").to_pylist(), strict=True))
         gain = {w: math.log10(c + 1) for w, c in count.items()}
         end_gain = math.log10(end_count + 1)
         n, known, base = [], [], []
@@ -236,21 +343,23 @@ def score_documents(
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), data.alias("data"), F.coalesce(train, F.lit(True)).alias("train"))
     size, n_rows, n_texts = rows.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0)), F.count("*"), F.count_if("train")).first()
     n_blocks = max(1, math.ceil(size / block_bytes), math.ceil(n_rows / (block_bytes >> 4)))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "data"), F.lit(n_blocks)).cast("int"))
-    pairs = stage(
-        dealt.groupBy("block").applyInArrow(_block_counts(max_order), "block int, gram bigint, word binary, n bigint"),
-        "block_counts",
+    block = F.pmod(F.xxhash64("doc_id", "data"), F.lit(n_blocks)).cast("int")
+    dealt = rows.withColumn("block", block).mapInArrow(_deal, "block int, texts binary")
+    counts = stage(
+        dealt.groupBy("block").applyInArrow(_block_counts(max_order), "block int, super int, shard int, grams binary, words binary"), "block_counts"
     )
-    grams, names = pairs.where("gram is not null").select("block", "gram", "n"), pairs.where("gram is null").select("block", "word", "n")
+    merged = stage(counts.groupBy("super", "shard").applyInArrow(_super_counts, "super int, shard int, gram bigint, word binary, n bigint"), "super_counts")
+    grams, names = merged.where("gram is not null"), merged.where("gram is null")
     levels = train_trie(grams.select("gram", "n"), max_order)
     codes = code_lengths(grams.select("gram").distinct(), levels)
-    counts = stage(names.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    n_words, n_kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    asked_grams = grams.select("block", "gram").join(codes, "gram").select("block", "gram", "logp", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("n"))
-    asked_words = names.select("block", "word").join(counts, "word").select("block", F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("logp"), "word", "n")
-    asked = asked_grams.unionByName(asked_words)
+    known = stage(names.groupBy(F.col("word").alias("w")).agg(F.sum("n").alias("total")), "words")
+    n_words, n_kinds = known.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count_if(F.col("total") > 0)).first()
+    of_grams = grams.join(codes, "gram").select("super", "shard", "gram", "word", F.col("logp").alias("value"))
+    of_words = names.join(known, F.col("word") == F.col("w")).select("super", "shard", "gram", "word", F.col("total").cast("double").alias("value"))
+    values = of_grams.unionByName(of_words)
+    back = counts.groupBy("super", "shard").cogroup(values.groupBy("super", "shard")).applyInArrow(_block_values, "block int, grams binary, words binary")
     scored = _score_block(max_order, n_words + n_texts, n_kinds + (n_texts > 0), n_texts)
-    return dealt.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
+    return dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         scored,
         f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint",
     )
