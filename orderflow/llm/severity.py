@@ -6,6 +6,10 @@ word beginning (inflected forms share it) and counts the document's distinct
 words that carry it. Weights are sparse and not negative: words raise the
 severity, and no amount of clean text hides them.
 
+The cut from which a text is rejected is the one that errs least on the sample:
+with clean rows that carry no weight at all, the thresholds alone would ask for
+more words than the labels do.
+
 Fitting works on a bounded sample of the labelled rows (``max_rows``, those
 with the smallest hash of the id) and on the ``max_features`` features that
 stand out most from chance; both are parameters. Scoring covers every whole text, and a
@@ -14,6 +18,7 @@ task needs the sparse weights only.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,10 +44,12 @@ _LETTERS = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
 
 @dataclass(frozen=True)
 class SeverityModel:
-    """Sparse weights by feature hash, and one threshold per grade above 0."""
+    """Sparse weights by feature hash, one threshold per grade above 0, and the
+    sum of weights from which a text is rejected."""
 
     weights: dict[int, float]
     thresholds: tuple[float, ...]
+    cut: float = math.inf
 
 
 def distinct_words(data: bytes | None) -> set[bytes]:
@@ -84,6 +91,21 @@ def fit_cumulative_link(rows: np.ndarray, cols: np.ndarray, values: np.ndarray,
     return w, theta
 
 
+def best_cut(sums: np.ndarray, high: np.ndarray) -> float:
+    """The positive cut between two sums that puts the fewest rows on the wrong
+    side, a clean row counting twice; of equally good ones the middle of the
+    widest gap."""
+    values = np.unique(np.append(sums, 0.0))
+    if len(values) < 2:
+        return math.inf
+    middle = (values[1:] + values[:-1]) / 2
+    over = len(sums) - np.searchsorted(np.sort(sums), middle)
+    high_over = high.sum() - np.searchsorted(np.sort(sums[high]), middle)
+    wrong = 2 * (over - high_over) + (high.sum() - high_over)
+    best = np.flatnonzero(wrong == wrong.min())
+    return float(middle[best[np.argmax((values[1:] - values[:-1])[best])]])
+
+
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     high, all_ = Counter(), Counter()
     for batch in slices(batches, "data", SLICE_BYTES):
@@ -152,8 +174,11 @@ def fit_severity(
     per_row = pc.list_value_length(table.column("cols")).to_numpy()
     cols = table.column("cols").combine_chunks().flatten().to_numpy()
     values = table.column("counts").combine_chunks().flatten().to_numpy().astype(float)
-    w, theta = fit_cumulative_link(np.repeat(np.arange(len(grades)), per_row), cols, values, grades, len(chosen))
-    return SeverityModel({f: float(w[i]) for f, i in chosen.items() if w[i] > 1e-6}, tuple(map(float, theta)))
+    row = np.repeat(np.arange(len(grades)), per_row)
+    w, theta = fit_cumulative_link(row, cols, values, grades, len(chosen))
+    w[w <= 1e-6] = 0
+    cut = best_cut(np.bincount(row, values * w[cols], len(grades)), grades > 0)
+    return SeverityModel({f: float(w[i]) for f, i in chosen.items() if w[i]}, tuple(map(float, theta)), cut)
 
 
 class _WordScores(dict):
@@ -168,22 +193,20 @@ class _WordScores(dict):
         return value
 
 
-def grade_chances(model: SeverityModel, scores: _WordScores, texts: list[bytes | None]) -> np.ndarray:
-    """``P(grade >= k)`` of each text, ``(texts, K)``; one column of zeros
-    under a model without thresholds."""
-    z = np.array([sum(map(scores.__getitem__, distinct_words(d))) for d in texts], float)
-    return _sigmoid(z[:, None] - np.array(model.thresholds)) if model.thresholds else np.zeros((len(z), 1))
+def weight_sums(scores: _WordScores, texts: list[bytes | None]) -> np.ndarray:
+    """The summed weights of each text's distinct words."""
+    return np.array([sum(map(scores.__getitem__, distinct_words(d))) for d in texts], float)
 
 
 def _scores(model: SeverityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = _WordScores(model.weights)
+        scores, theta = _WordScores(model.weights), np.array(model.thresholds)
         for batch in slices(batches, "data", SLICE_BYTES):
-            above = grade_chances(model, scores, batch.column("data").to_pylist())
-            expected = above.sum(axis=1)
-            grade = (above >= 0.5).sum(axis=1)
+            z = weight_sums(scores, batch.column("data").to_pylist())
+            above = _sigmoid(z[:, None] - theta) if len(theta) else np.zeros((len(z), 1))
+            grade = np.where(z >= model.cut, np.maximum((above >= 0.5).sum(axis=1), 1), 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(expected), pa.array(grade.astype(np.int32)), pa.array(above[:, 0])],
+                [batch.column("doc_id"), pa.array(above.sum(axis=1)), pa.array(grade.astype(np.int32)), pa.array(above[:, 0])],
                 names=["doc_id", "severity", "grade", "p_toxic"],
             )
 
@@ -192,8 +215,9 @@ def _scores(model: SeverityModel):
 
 def score_severity(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row, in any order: ``doc_id``, ``severity`` (expected
-    grade), ``grade`` (the highest that is as likely as not), ``p_toxic``
-    (chance of a grade above 0), ``rejected`` (grade above 0). A null or
+    grade), ``grade`` (the highest that is as likely as not, at least 1 from the
+    model's cut on and 0 below it), ``p_toxic`` (chance of a grade above 0),
+    ``rejected`` (grade above 0). A null or
     wordless text scores as no evidence; ids may be null or repeat."""
     id_type = docs.schema[id_col].dataType.simpleString()
     scored = ids_and_bytes(docs, id_col, text_col).mapInArrow(_scores(model), f"doc_id {id_type}, severity double, grade int, p_toxic double")
@@ -206,7 +230,7 @@ def keep_clean(docs: DataFrame, model: SeverityModel, text_col: str = "text") ->
     def run(parts):
         scores = _WordScores(model.weights)
         for batch, texts in parts:
-            yield batch.filter(pa.array(grade_chances(model, scores, texts)[:, 0] < 0.5)), []
+            yield batch.filter(pa.array(weight_sums(scores, texts) < model.cut)), []
 
     return map_whole_rows(docs, text_col, run, limit=SLICE_BYTES)
 
