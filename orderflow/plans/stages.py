@@ -178,11 +178,13 @@ def _curate_in(spark: SparkSession, zones: io.Zones, work: str, result: StageRes
     }
     _write_all({n: (df, zones.curated(n)) for n, df in curated.items()}, result, partition_by)
 
-    # Read now: three rows, from tables that go with the work folder.
+    # Written now: three rows, from tables that go with the work folder.
     after = duplicate_summary(
         {"customers": (customers, ENTITIES["customers"].key), "products": (products, ENTITIES["products"].key), "orders": (tagged, ORDERS.key)}
     )
-    result.frames["duplicate_summary_after"] = spark.createDataFrame(after.collect(), after.schema)
+    path = f"{new_work_dir(spark, 'summary')}/duplicate_summary_after"
+    io.write_parquet(after, path)
+    result.frames["duplicate_summary_after"] = io.read_parquet(spark, path, after.schema)
 
 
 def run(
