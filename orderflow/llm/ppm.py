@@ -35,8 +35,8 @@ from orderflow.llm.common import slices, stage, words
 MAX_ORDER = 5
 BLOCK_BYTES = 16 << 20
 RANGE = SHARDS = 64
-PACK_BYTES = 48 << 20
-CHUNK = 1 << 20
+PACK_BYTES = 24 << 20
+CHUNK = 1 << 19
 END = b"\n"  # no word holds it
 ALPHABET = 256
 
@@ -141,6 +141,7 @@ def _block_counts(order: int):
         of = gram % SHARDS
         order_ = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order_], np.arange(SHARDS + 1))
+        pa.default_memory_pool().release_unused()
         grams, names = [], []
         for shard in range(SHARDS):
             own = order_[cuts[shard] : cuts[shard + 1]]
@@ -294,16 +295,19 @@ def _score_block(order: int, n_train: int, n_kinds: int, end_count: int):
             first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
             value = np.repeat(logp[np.searchsorted(gram, g[first])], np.diff(np.append(first, len(g))))
             score += np.bincount(text, value, len(plain))
-        rest = pa.concat_tables(map(_unpacked, asked.column("words").to_pylist()))
-        count = dict(zip(rest.column("key").to_pylist(), rest.column("value").to_pylist(), strict=True))
-        gain = {w: math.log10(c + 1) for w, c in count.items()}
+        del parts, gram, logp, order_
+        gain: dict[bytes, float] = {}  # log10 of the count and one: above 0 for known words
+        for blob in asked.column("words").to_pylist():
+            own = _unpacked(blob)
+            gain.update(zip(own.column("key").to_pylist(), np.log10(own.column("value").to_numpy() + 1.0).tolist(), strict=True))
         end_gain = math.log10(end_count + 1)
         n, known, base = [], [], []
         for t in plain:
-            own = t.split()
-            n.append(len(own) + 1)
-            known.append(sum(map(bool, map(count.__getitem__, own))) + (end_count > 0))
-            base.append(math.fsum(map(gain.__getitem__, own)) + end_gain - n[-1] * floor)
+            gains = [*map(gain.__getitem__, t.split()), end_gain]
+            n.append(len(gains))
+            known.append(len(gains) - gains.count(0.0))
+            base.append(math.fsum(gains) - n[-1] * floor)
+        pa.default_memory_pool().release_unused()
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
