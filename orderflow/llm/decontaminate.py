@@ -35,12 +35,13 @@ _TABLE_BITS = 20
 
 @dataclass(frozen=True)
 class ItemBlock:
-    """Prepared items: texts, edit budgets, and the sorted q-grams with the
-    item and the place of each."""
+    """Prepared items: texts, edit budgets, the shared q-grams these ask for,
+    and the sorted q-grams with the item and the place of each."""
 
     ids: tuple
     texts: tuple[bytes, ...]
     budgets: np.ndarray
+    needs: np.ndarray
     grams: np.ndarray
     item: np.ndarray
     place: np.ndarray
@@ -108,9 +109,10 @@ def _block(items: list[tuple[object, bytes]], q: int, error_rate: float) -> Item
     order = np.argsort(grams, kind="stable")
     table = np.zeros(1 << _TABLE_BITS, bool)
     table[_slot(grams)] = True
-    return ItemBlock(
-        tuple(i for i, _ in items), tuple(t for _, t in items), np.array([edit_budget(len(t), q, error_rate) for _, t in items]), grams[order], item[order], place[order], table
-    )
+    lengths = np.array([len(t) for _, t in items])
+    budgets = np.array([edit_budget(n, q, error_rate) for n in lengths.tolist()])
+    needs = lengths + 1 - q - budgets * q
+    return ItemBlock(tuple(i for i, _ in items), tuple(t for _, t in items), budgets, needs, grams[order], item[order], place[order], table)
 
 
 def banded_distance(item: bytes, region: bytes, offset: int, width: int, budget: int) -> int:
@@ -154,28 +156,30 @@ def matches(text: bytes, block: ItemBlock, q: int = Q, positions: tuple[np.ndarr
     n = np.searchsorted(block.grams, grams, "right") - lo
     if not n.any():
         return []
-    source = np.repeat(np.arange(len(at)), n)
+    need = np.maximum(block.needs, 1)
     index = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-    item, place, where = block.item[index], block.place[index], at[source]
-    budget = block.budgets[item]
-    diagonal = where - place  # may be negative
-    stride = budget + 1
-    band = np.floor_divide(diagonal, stride)
-    # Every hit counts in the two bands that overlap on its diagonal.
-    item2, band2 = np.concatenate((item, item)), np.concatenate((band, band - 1))
-    place2, where2 = np.concatenate((place, place)), np.concatenate((where, where))
-    need = np.array([len(t) for t in block.texts]) + 1 - q - block.budgets * q
-    order = np.lexsort((where2, place2, band2, item2))
-    item2, band2, place2 = item2[order], band2[order], place2[order]
-    new_band = np.concatenate(([True], (item2[1:] != item2[:-1]) | (band2[1:] != band2[:-1])))
+    item = block.item[index]
+    enough = np.bincount(item, minlength=len(need))[item] >= need[item]  # over all bands
+    if not enough.any():
+        return []
+    item, place, where = item[enough], block.place[index[enough]], np.repeat(at, n)[enough]
+    stride = block.budgets[item] + 1
+    band = np.floor_divide(where - place, stride)  # a diagonal may be negative
+    # Every hit counts in the two bands that overlap on its diagonal; one sort
+    # of (item, band, place) in a number brings a band's places together.
+    least, most = int(band.min()) - 1, int(place.max()) + 1
+    bands = int(band.max()) - least + 1
+    both = np.sort(np.concatenate([((item * bands) + (band - less - least)) * most + place for less in (0, 1)]))
     # A q-gram of the item counts once in a band, however often it hits.
-    new_place = new_band | np.concatenate(([True], place2[1:] != place2[:-1]))
-    group = np.cumsum(new_band) - 1
-    shared = np.bincount(group, weights=new_place)
+    both = both[np.concatenate(([True], both[1:] != both[:-1]))]
+    group = both // most
+    new_band = np.concatenate(([True], group[1:] != group[:-1]))
     first = np.flatnonzero(new_band)
+    shared = np.diff(np.append(first, len(group)))
+    item2, band2 = np.divmod(group[first], bands)
     found: dict[int, list[tuple[int, int, int, int]]] = {}
-    for g in np.flatnonzero(shared >= np.maximum(need[item2[first]], 1)):
-        i, b = int(item2[first[g]]), int(band2[first[g]])
+    for g in np.flatnonzero(shared >= need[item2]):
+        i, b = int(item2[g]), int(band2[g]) + least
         k = int(block.budgets[i])
         low, width = b * (k + 1), 2 * (k + 1)
         start, end = max(0, low), min(len(text), low + width + len(block.texts[i]))
