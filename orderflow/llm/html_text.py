@@ -7,7 +7,9 @@ all to its parent, half to the next, then a third and so on; ``article`` and
 discounted by the share of its text that is in links. The best container is
 the article, together with those of its siblings that score well. Menus,
 headers, adverts and the like are left out by element and by the words of
-their class, id or role.
+their class, id or role. A class or id that says only that (``cookie-notice``)
+takes its element out, unless that wraps most of the page; one that says more
+(``social-impact``, ``has-sidebar``) only if most of the text is links.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ MAX_LENGTH_POINTS = 3.0
 SIBLING_SHARE = 0.2
 SIBLING_LEAST = 10.0
 SIBLING_CHARS = 80
+WRAPPER_SHARE = 0.5
+MOSTLY_LINKS = 0.5
 
 # Fixed values of the HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,11 +51,18 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related recommended respond share sharing sidebar skip social sponsor sponsored subscribe toolbar widget".split()
 )
+# Words of place and shape beside which a boilerplate word still says it all.
+FRAME_WORDS = frozenset(
+    "area article articles bar block blog body bottom box button buttons center col column container content count desktop entry fixed form global group heading icon icons inner item items left link links list main mobile outer overlay page panel post posts primary right row secondary section signup site slot stories story sticky sub text thread title top unit wrap wrapper".split()
+)
+# What readers write: it may well be longer than the article.
+DISCUSSION_WORDS = frozenset("comment comments disqus respond".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_UNMARKED, _HINTED, _MARKED, _DISCUSSION = range(4)
 
 
 @dataclass(slots=True)
@@ -59,6 +70,7 @@ class Element:
     tag: str
     parent: Element | None
     dropped: bool
+    mark: int = _UNMARKED
     points: float = 0.0
     chars: int = 0
     link_chars: int = 0
@@ -71,26 +83,104 @@ class Element:
 class Block:
     text: str
     above: Element
+    link_chars: int
 
+    def points(self) -> float:
+        return 1 + self.text.count(",") + self.text.count("，") + min(len(self.text) / CHARS_PER_POINT, MAX_LENGTH_POINTS)
 
-def _is_boilerplate(tag: str, attributes: str) -> bool:
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        value, name = "".join(values), name.lower()
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role":
-            if value.lower() in BOILERPLATE_ROLES:
-                return True
-        elif tag not in ("html", "body", "article", "main") and any(w.lower() in BOILERPLATE_WORDS for w in _WORDS.findall(value)):
-            return True
-    return False
+
+def _attributes(text: str) -> dict[str, str]:
+    """Values by lower-case name; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _token_mark(token: str) -> int:
+    said = [w.lower() for w in _WORDS.findall(token)]
+    if BOILERPLATE_WORDS.isdisjoint(said):
+        return _UNMARKED
+    if any(len(w) > 1 and not w.isdigit() and w not in BOILERPLATE_WORDS and w not in FRAME_WORDS for w in said):
+        return _HINTED
+    return _MARKED if DISCUSSION_WORDS.isdisjoint(said) else _DISCUSSION
+
+
+def _hidden_and_mark(tag: str, text: str) -> tuple[bool, int]:
+    """Whether the attributes take the element out whatever it holds, and what
+    its class and id say. The id of a heading is made from its words."""
+    if not text or text.isspace():
+        return False, _UNMARKED
+    has = _attributes(text)
+    if "hidden" in has or has.get("aria-hidden", "").lower() == "true" or has.get("role", "").lower() in BOILERPLATE_ROLES:
+        return True, _UNMARKED
+    if tag in ("html", "body", "article", "main"):
+        return False, _UNMARKED
+    tokens = has.get("class", "").split() + (has.get("id", "").split() if tag not in HEADING else [])
+    return False, max(map(_token_mark, tokens), default=_UNMARKED)
+
+
+def _above(e: Element | None) -> Iterator[Element]:
+    """The element and all above it."""
+    while e is not None:
+        yield e
+        e = e.parent
+
+
+def _without_marked(found: list[Block], wholes: list[Element]) -> list[Block]:
+    """The blocks outside of elements whose mark decides. A hint decides if
+    most of the text is links. Any other mark does, unless the element wraps
+    the page: most of all paragraph points, few links, a text of some length,
+    and every article or main that has text. Discussions stay only if there is
+    nothing else."""
+    marked: dict[int, Element] = {}
+    held: dict[int, list[Block]] = {}
+    total = 0.0
+    for b in found:
+        total += b.points()
+        for e in _above(b.above):
+            if e.mark:
+                marked.setdefault(id(e), e)
+                held.setdefault(id(e), []).append(b)
+    gone = set()
+    for key, e in marked.items():
+        own = held[key]
+        chars, link_chars = sum(len(b.text) for b in own), sum(b.link_chars for b in own)
+        if e.mark == _HINTED:
+            if link_chars > MOSTLY_LINKS * chars:
+                gone.add(key)
+            continue
+        wraps = (
+            (len(own) == len(found) if e.mark == _DISCUSSION else sum(b.points() for b in own) > WRAPPER_SHARE * total)
+            and link_chars < 0.25 * chars
+            and any(len(b.text) > SIBLING_CHARS for b in own)
+            and all(any(a is e for a in _above(w)) for w in wholes)
+        )
+        if not wraps:
+            gone.add(key)
+    return [b for b in found if not any(id(e) in gone for e in _above(b.above))] if gone else found
+
+
+def _score(found: list[Block]) -> None:
+    """Leave the blocks' points and text lengths on the elements above them."""
+    for b in found:
+        own: Element | None = b.above
+        above = own.parent if own.tag in PARAGRAPH and own.parent is not None else own
+        points, level = b.points(), 1
+        while above is not None:
+            above.points += points if above.tag in WHOLE else points / level
+            above, level = above.parent, level + 1
+        while own is not None:
+            own.chars += len(b.text)
+            own.link_chars += b.link_chars
+            own = own.parent
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, without boilerplate; points and text
     lengths are left on the elements above them."""
     root = Element("html", None, False)
-    top, links, held, held_links, out = root, 0, [], 0, []
+    top, links, held, held_links, out, marks = root, 0, [], 0, [], False
 
     def flush() -> None:
         nonlocal held_links
@@ -104,17 +194,7 @@ def blocks(page: str) -> list[Block]:
         own = top
         while own.tag not in BLOCK and own.parent is not None:
             own = own.parent
-        out.append(Block(text, own))
-        points = 1 + text.count(",") + text.count("，") + min(len(text) / CHARS_PER_POINT, MAX_LENGTH_POINTS)
-        above = own.parent if own.tag in PARAGRAPH and own.parent is not None else own
-        level = 1
-        while above is not None:
-            above.points += points if above.tag in WHOLE else points / level
-            above, level = above.parent, level + 1
-        while own is not None:
-            own.chars += len(text)
-            own.link_chars += min(in_links, len(text))
-            own = own.parent
+        out.append(Block(text, own, min(in_links, len(text))))
 
     def close(names: set[str] | frozenset[str], stop: set[str] | frozenset[str]) -> None:
         """End the nearest open element of those names, unless ``stop`` is nearer."""
@@ -164,7 +244,11 @@ def blocks(page: str) -> list[Block]:
             close({"p"}, {"article", "main", "section", "div", "td", "th", "li", "blockquote", "body", "table"})
         if tag in SAME_ENDS:
             close(SAME_ENDS[tag], SCOPE[tag])
-        dropped = top.dropped or tag in DROPPED or _is_boilerplate(tag, attributes) or tag == "header" and not _inside(top, WHOLE)
+        dropped, mark = top.dropped or tag in DROPPED or tag == "header" and not _inside(top, WHOLE), _UNMARKED
+        if not dropped:
+            dropped, mark = _hidden_and_mark(tag, attributes)
+            if mark and tag not in BLOCK:  # in a line of text there is nothing to weigh
+                dropped, mark = mark > _HINTED, _UNMARKED
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -173,11 +257,16 @@ def blocks(page: str) -> list[Block]:
             continue
         if dropped and not top.dropped:
             flush()
-        top = Element(tag, top, dropped)
+        top = Element(tag, top, dropped, mark)
+        marks = marks or mark > _UNMARKED
         links += tag == "a"
     if at < len(page) and not top.dropped:
         held.append(page[at:])
     flush()
+    if marks:
+        wholes = {id(e): e for b in out for e in _above(b.above) if e.tag in WHOLE}
+        out = _without_marked(out, list(wholes.values()))
+    _score(out)
     return out
 
 

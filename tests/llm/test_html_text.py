@@ -52,3 +52,44 @@ def test_odd_rows(spark):
     got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text int"))
     assert sorted(((r.page_id or 0), r.n_chars) for r in got.collect()) == [(0, len(main_text(PAGE))), (1, 0), (1, 0), (2, 299_999)]
     assert extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+LONG = "A paragraph of the article that is long enough, has commas, and says what the page is about in so many words."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<article style="overflow:hidden" data-hidden="false" title="hidden gems"><p>{LONG}</article>',
+        f'<p>{LONG[:50]}<a href="/hidden-valley">{LONG[50:]}</a>',
+        f'<p>{LONG[:50]}<a href="/p?id=ad" data-class="nav">{LONG[50:]}</a>',
+        f'<p>{LONG[:50]}<span class="ad-hoc">{LONG[50:]}</span>',
+        f'<div class="has-sidebar"><div><p>{LONG}</div><div class="sidebar"><p>side</div></div>',
+        f'<div class="banner"><article><p>{LONG}</article></div><div class="ad"><p>{LONG[:60]}</div>',
+        f'<div class=hidden-valley aria-hidden=false><p>{LONG}</div>',
+    ],
+)
+def test_words_inside_attributes_do_not_decide(page):
+    assert main_text(page) == LONG
+
+
+def test_sections_and_headings_named_by_their_subject():
+    page = f'<article><p>{LONG}<h2 id="related-work">Related work</h2><p>Short.<section id="social-impact"><h3 id="comments">On comments</h3><p>Jobs</section></article>'
+    assert main_text(page) == f"{LONG}\nRelated work\nShort.\nOn comments\nJobs"
+
+
+@pytest.mark.parametrize(
+    "extra",
+    [
+        f"<div hidden><p>{LONG}</div>",
+        f"<div HIDDEN=''><p>{LONG}</div>",
+        f"<div aria-hidden=true><p>{LONG}</div>",
+        f"<div role='navigation'><p>{LONG}</div>",
+        f"<div id=ad-slot-3><p>{LONG}</div>",
+        f"<div class='x siteSidebar'><p>{LONG}</div>",
+        f"<div id=comments>{f'<p>{LONG}' * 9}</div>",
+        f"<div class='acme-related'><a href=/x>{LONG}</a></div>",
+    ],
+)
+def test_marked_parts_still_go(extra):
+    assert main_text(f"<div><p>{LONG}<p>{LONG}{extra}</div>") == f"{LONG}\n{LONG}"
