@@ -5,7 +5,9 @@ points for its length and commas and passes them to the elements above it:
 all to its parent, half to the next, then a third and so on; ``article`` and
 ``main`` get all points of what they hold. A container's points are
 discounted by the share of its text that is in links. The best container is
-the article, together with those of its siblings that score well. Menus,
+the article, together with its siblings that score well or have few links;
+on pages without article or main also the siblings of what it lies in, if
+they hold a paragraph. Menus,
 headers, adverts and the like are left out by element and by the words of
 their class, id or role. A class or id that says only that (``cookie-notice``)
 takes its element out, unless that wraps most of the page; one that says more
@@ -290,23 +292,53 @@ def main_text(page: str | None) -> str:
             if e.points > 0:
                 containers.setdefault(id(e), e)
             e = e.parent
-    best = max(containers.values(), key=Element.score)
-    limit = max(SIBLING_LEAST, SIBLING_SHARE * best.score())
-    kept = []
-    for b in found:
+    most = max(e.score() for e in containers.values())
+    # Equal but for rounding: the outermost, of these the first.
+    best = min((e for e in containers.values() if e.score() >= most * (1 - 1e-9)), key=lambda e: sum(1 for _ in _above(e)))
+    limit = max(SIBLING_LEAST, SIBLING_SHARE * most)
+    # What the best container lies in, up to the article or main.
+    around: dict[int, Element] = {}
+    e = best
+    while e.parent is not None and (e is best or e.tag not in WHOLE):
+        e = e.parent
+        around[id(e)] = e
+        if best.tag in WHOLE:
+            break
+    sides: dict[int, Element] = {}  # by block: the sibling of best, or of what it lies in
+    held: dict[int, list[Block]] = {}
+    for i, b in enumerate(found):
         e = b.above
-        while e is not None and e is not best and e.parent is not best.parent:
+        while e is not None and e is not best and id(e) not in around and (e.parent is None or id(e.parent) not in around):
             e = e.parent
-        if e is best or best.parent is None or e is not None and _good_sibling(e, b, limit):
+        if e is not None:
+            sides[i] = e
+            held.setdefault(id(e), []).append(b)
+    kept = []
+    for i, b in enumerate(found):
+        e = sides.get(i)
+        if e is best or e is not None and _good_sibling(e, b, held[id(e)], e.parent is best.parent, id(e) in around, limit):
             kept.append(b.text)
     return "\n".join(kept)
 
 
-def _good_sibling(e: Element, block: Block, limit: float) -> bool:
+def _is_paragraph(b: Block) -> bool:
+    return b.link_chars < 0.25 * len(b.text) and (len(b.text) > SIBLING_CHARS or b.text.endswith("."))
+
+
+def _good_sibling(e: Element, block: Block, own: list[Block], beside: bool, around: bool, limit: float) -> bool:
+    """Whether a block outside the best container stays. ``e`` is the sibling
+    that holds it, with the blocks ``own``, beside the best container or
+    farther out; or, for text of its own, an element around the best."""
+    if around:
+        return block.above.tag in HEADING or _is_paragraph(block)
     if e.score() >= limit or e.tag in HEADING:
         return True
-    few_links = e.chars > 0 and e.link_chars < 0.25 * e.chars
-    return e.tag in PARAGRAPH and few_links and (e.chars > SIBLING_CHARS or block.text.endswith("."))
+    if e.link_chars < 0.25 * e.chars:
+        if e.tag in PARAGRAPH:
+            return e.chars > SIBLING_CHARS or block.text.endswith(".")
+        if beside or any(map(_is_paragraph, own)):
+            return True
+    return _is_paragraph(block)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

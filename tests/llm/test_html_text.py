@@ -93,3 +93,20 @@ def test_sections_and_headings_named_by_their_subject():
 )
 def test_marked_parts_still_go(extra):
     assert main_text(f"<div><p>{LONG}<p>{LONG}{extra}</div>") == f"{LONG}\n{LONG}"
+
+
+def test_sections_without_article():
+    part = "Words of a section, with two commas, " + "and more " * 12 + "to its end."  # about 150 characters
+    many, two = "\n".join(f"{i} {part}" for i in range(7)), f"x {part}\ny {part}"
+    as_paragraphs = lambda text: "".join(f"<p>{line}" for line in text.split("\n"))
+    first, second = as_paragraphs(many), as_paragraphs(two)
+    want = f"{many}\n{two}"
+    assert main_text(f"<div><div>{first}</div><div>{second}</div></div>") == want
+    assert main_text(f"<div><div>{second}</div><div>{first}</div></div>") == f"{two}\n{many}"
+    assert main_text(f"<div><div>{second}</div><div>{second}</div></div>") == f"{two}\n{two}"  # equal sections
+    nested = f"<section><div>{first}</div></section><section><h2>Next</h2><div>{second}<ul><li>one<li>two</ul></div></section>"
+    assert main_text(f"<div>{nested}</div>") == f"{want[: len(many)]}\nNext\n{two}\none\ntwo"
+    menu, ad = "<div><a href=/a>Home, sweet</a> <a href=/b>About, all, of, us</a></div>", f'<div class="ad">{second}</div>'
+    assert main_text(f"<div>{menu}<div>{first}</div>{ad}<div>{second}</div>{menu}</div>") == want
+    assert main_text(f"<div><div>{first}</div><div><a href=/c>{part}</a>{second}</div></div>") == want
+    assert main_text(f"<div>{menu}<article>{first}</article></div><div>{second}</div>") == many
