@@ -11,10 +11,9 @@ of ``docs``, and only rows of ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orderflow.llm.common import stage, table
-from orderflow.llm.decontaminate import contaminated_ids, contaminated_regions
+from orderflow.llm.decontaminate import keep_uncontaminated
 from orderflow.llm.langid import fit_languages, keep_recognised
 from orderflow.llm.minhash import keep_one_of_each
 from orderflow.llm.pieces import with_token_ids
@@ -33,14 +32,14 @@ def drop_unrecognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each linked group stays."""
+    """The document with the smallest id of each linked group stays; rows
+    without an id all stay, of rows that repeat one that with the least text."""
     return keep_one_of_each(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds a benchmark item within its edit budget go."""
-    leaks = stage(contaminated_ids(contaminated_regions(docs, table(spark, sf_dir, "benchmark"))), "leaks")
-    return docs.join(leaks.withColumnRenamed("doc_id", "__leak"), F.col("doc_id") == F.col("__leak"), "left_anti")
+    return keep_uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import ids_and_bytes, slices
+from orderflow.llm.common import ids_and_bytes, map_whole_rows, slices
 
 Q = 8  # at most 8: one q-gram fills one 64-bit word
 ERROR_RATE = 0.08
@@ -196,26 +196,34 @@ def matches(text: bytes, block: ItemBlock, q: int = Q, positions: tuple[np.ndarr
     return sorted(out)
 
 
+def _matches_of_each(data: list[bytes | None], block: ItemBlock, q: int) -> Iterator[tuple[int, list[tuple[int, int, int, int]]]]:
+    """The place of every text with :func:`matches` of it, and these."""
+    texts = [fold(d) for d in data]
+    flat = b"\n".join(texts)  # a folded text holds no line break, nor does an item
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    grams = qgrams(flat, q)
+    at = np.flatnonzero(block.table[_slot(grams)])
+    kept = grams[at]
+    # The table passes more than the grams of the block: look them up.
+    spot = np.minimum(np.searchsorted(block.grams, kept), len(block.grams) - 1)
+    true = block.grams[spot] == kept
+    at, kept = at[true], kept[true]
+    ends = np.searchsorted(at, starts)
+    for t in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
+        own = slice(ends[t], ends[t + 1])
+        if found := matches(texts[t], block, q, (at[own] - starts[t], kept[own])):
+            yield t, found
+
+
 def _search(block: ItemBlock, q: int, with_text_id: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data", SLICE_BYTES):
-            texts = [fold(d) for d in batch.column("data").to_pylist()]
-            flat = b"\n".join(texts)  # a folded text holds no line break, nor does an item
-            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-            grams = qgrams(flat, q)
-            at = np.flatnonzero(block.table[_slot(grams)])
-            kept = grams[at]
-            # The table passes more than the grams of the block: look them up.
-            spot = np.minimum(np.searchsorted(block.grams, kept), len(block.grams) - 1)
-            true = block.grams[spot] == kept
-            at, kept = at[true], kept[true]
-            ends = np.searchsorted(at, starts)
             ids = batch.column("doc_id").to_pylist()
-            rows = []
-            for t in np.flatnonzero(ends[1:] > ends[:-1]):
-                own = slice(ends[t], ends[t + 1])
-                for i, start, end, edits in matches(texts[t], block, q, (at[own] - starts[t], kept[own])):
-                    rows.append((ids[t], block.ids[i], start, end, edits))
+            rows = [
+                (ids[t], block.ids[i], start, end, edits)
+                for t, found in _matches_of_each(batch.column("data").to_pylist(), block, q)
+                for i, start, end, edits in found
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], batch.schema.field("doc_id").type),
@@ -227,6 +235,11 @@ def _search(block: ItemBlock, q: int, with_text_id: str):
     return run
 
 
+def _blocks_of(benchmark: DataFrame, item_col: str, item_type: str, item_text_col: str, q: int, error_rate: float, block_bytes: int) -> Iterator[ItemBlock]:
+    items = ((r[0], bytes(r[1]) if r[1] is not None else None) for r in benchmark.select(F.col(f"`{item_col}`").cast(item_type), F.col(f"`{item_text_col}`").cast("string").cast("binary")).toLocalIterator())
+    return item_blocks(list(items), q, error_rate, block_bytes)
+
+
 def contaminated_regions(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -251,11 +264,39 @@ def contaminated_regions(
     item_type = "string" if benchmark.schema[item_col].dataType.simpleString() == "string" else "bigint"
     schema = f"doc_id {id_type}, item_id {item_type}, region_start bigint, region_end bigint, edits int"
     rows = ids_and_bytes(docs, id_col, text_col).where("data is not null")
-    items = ((r[0], bytes(r[1]) if r[1] is not None else None) for r in benchmark.select(F.col(f"`{item_col}`").cast(item_type), F.col(f"`{item_text_col}`").cast("string").cast("binary")).toLocalIterator())
-    searched = [rows.mapInArrow(_search(b, q, item_type), schema) for b in item_blocks(list(items), q, error_rate, block_bytes)]
+    searched = [rows.mapInArrow(_search(b, q, item_type), schema) for b in _blocks_of(benchmark, item_col, item_type, item_text_col, q, error_rate, block_bytes)]
     return reduce(DataFrame.unionByName, searched) if searched else docs.sparkSession.createDataFrame([], schema)
 
 
 def contaminated_ids(regions: DataFrame) -> DataFrame:
     """The distinct ids of documents with at least one region."""
     return regions.where("doc_id is not null").select("doc_id").distinct()
+
+
+def keep_uncontaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    q: int = Q,
+    error_rate: float = ERROR_RATE,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` in which :func:`contaminated_regions` finds
+    nothing, all columns. Each row is judged by its own text, so ids may be
+    null or repeat."""
+    item_type = "string" if benchmark.schema[item_col].dataType.simpleString() == "string" else "bigint"
+    for block in _blocks_of(benchmark, item_col, item_type, item_text_col, q, error_rate, block_bytes):
+        docs = map_whole_rows(docs, text_col, _clean_rows(block, q), limit=SLICE_BYTES)
+    return docs
+
+
+def _clean_rows(block: ItemBlock, q: int):
+    def run(parts):
+        for batch, data in parts:
+            clean = np.ones(len(data), bool)
+            clean[[t for t, _ in _matches_of_each(data, block, q)]] = False
+            yield batch.filter(pa.array(clean)), []
+
+    return run

@@ -260,7 +260,11 @@ def near_duplicates(
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document is kept, all columns, one row for
-    each id (rows without an id all stay)."""
+    each id (rows without an id all stay): of rows that repeat an id that with
+    the least text, of equal texts that with the least other columns."""
     gone = stage(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
     left = docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
-    return left.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col]).unionByName(left.where(F.col(f"`{id_col}`").isNull()))
+    more = [f.name for f in docs.schema.fields if f.name not in (id_col, text_col) and not f.dataType.simpleString().count("map<")]
+    order = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(*(F.col(f"`{c}`").asc_nulls_last() for c in (text_col, *more)))
+    first = left.where(F.col(f"`{id_col}`").isNotNull()).withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
+    return first.unionByName(left.where(F.col(f"`{id_col}`").isNull()))

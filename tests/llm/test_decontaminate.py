@@ -2,9 +2,10 @@
 
 import random
 
-from orderflow.llm.decontaminate import contaminated_ids, contaminated_regions, edit_budget, fold, item_blocks, matches
+import corpus_pipeline
+from orderflow.llm.decontaminate import contaminated_ids, contaminated_regions, edit_budget, fold, item_blocks, keep_uncontaminated, matches
 
-from .helpers import docs
+from .helpers import SF, docs
 
 
 def least_edits(item, text):
@@ -66,3 +67,17 @@ def test_regions_blocks_and_odd_rows(spark):
         assert sorted(r.doc_id for r in contaminated_ids(found).collect()) == [1, 2, 6]
     assert contaminated_regions(frame, bench.limit(0)).count() == 0
     assert contaminated_regions(docs(spark, []), bench).count() == 0
+
+
+def test_rows_are_kept_by_their_own_text(spark):
+    bench = spark.createDataFrame([(0, "The quick brown fox jumps over the lazy dog"), (1, "Pack my box with five dozen liquor jugs"), (2, None)], "item_id long, text string")
+    clean = [(None, None), (None, ""), (1, "nothing here"), (2, "the quick brown fox sleeps beside the lazy dog"), (None, "clean too")]
+    leaks = [(None, "Pack my box with five dozen liquor jugs"), (1, "so the quick brown fax jumps over the lazy dog"), (7, "x" * 99 + " pack  my box with five dozen liquor jugs")]
+    frame = docs(spark, [*clean, *leaks])
+    for block_bytes in (1 << 20, 10):
+        kept = keep_uncontaminated(frame, bench, block_bytes=block_bytes)
+        assert kept.columns == frame.columns
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
+    stage = corpus_pipeline.drop_benchmark_leaks(spark, docs(spark, [(None, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]), SF)
+    assert stage.where("octet_length(text) >= 8").count() == 0
+    assert keep_uncontaminated(frame, bench.limit(0)).count() == len(clean) + len(leaks)

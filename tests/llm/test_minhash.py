@@ -77,3 +77,12 @@ def test_components_of_a_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     got = by_id(connected_components(spark.createDataFrame(edges, "a long, b long")), "node")
     assert {n: r.root for n, r in got.items()} == {**{i: 0 for i in range(1, 31)}, **{i: 100 for i in range(101, 150)}}
+
+
+def test_least_text_of_a_repeated_id_stays(spark):
+    texts = [f"{c} is a text of its own {c * 3}" for c in "dbca"]
+    for rows in ([(1, t) for t in texts] + [(1, None), (2, "x")], [(2, "x"), (1, None)] + [(1, t) for t in reversed(texts)]):
+        frame = docs(spark, rows)
+        for parts in (1, 4):
+            kept = keep_one_of_each(frame.repartition(parts))
+            assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, texts[3]), (2, "x")]
