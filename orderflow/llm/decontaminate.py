@@ -6,7 +6,8 @@ at most ``k``. The shared q-grams of a text and an item are counted in
 overlapping bands of diagonals (width ``2k + 2``, one every ``k + 1``, so that
 each set of ``k + 1`` neighbouring diagonals lies whole in one band); bands
 that meet the bound are verified by banded alignment of the item with the
-region, both lower-cased with white space runs made one space.
+region, both lower-cased with white space runs made one space. Items shorter
+than a q-gram are found exactly.
 
 The items are a stated query set: they are laid out in blocks of at most
 ``block_bytes`` (one item at least) that are sent to the tasks one after the
@@ -35,10 +36,10 @@ _TABLE_BITS = 20
 
 @dataclass(frozen=True)
 class ItemBlock:
-    """Prepared items: texts, edit budgets, the shared q-grams these ask for,
+    """Prepared items: the ids of each, least first, texts, edit budgets, the shared q-grams these ask for,
     and the sorted q-grams with the item and the place of each."""
 
-    ids: tuple
+    ids: tuple[tuple, ...]
     texts: tuple[bytes, ...]
     budgets: np.ndarray
     needs: np.ndarray
@@ -82,26 +83,26 @@ def _slot(grams: np.ndarray) -> np.ndarray:
 
 
 def item_blocks(items: list[tuple[object, bytes | None]], q: int, error_rate: float, block_bytes: int) -> Iterator[ItemBlock]:
-    """Items with one folded text are one, under the smallest id; items
-    without a q-gram cannot be searched and are left out."""
-    folded: dict[bytes, object] = {}
+    """Items with one folded text are one, with all their ids; empty ones are
+    left out."""
+    folded: dict[bytes, dict] = {}
     for item_id, data in sorted(items, key=lambda x: (x[0] is None, x[0] if x[0] is not None else 0)):
         text = fold(data)
-        if len(text) >= q:
-            folded.setdefault(text, item_id)
-    block: list[tuple[object, bytes]] = []
+        if text:
+            folded.setdefault(text, {})[item_id] = None
+    block: list[tuple[tuple, bytes]] = []
     held = 0
-    for text, item_id in folded.items():
+    for text, ids in folded.items():
         if block and held + len(text) > block_bytes:
             yield _block(block, q, error_rate)
             block, held = [], 0
-        block.append((item_id, text))
+        block.append((tuple(ids), text))
         held += len(text)
     if block:
         yield _block(block, q, error_rate)
 
 
-def _block(items: list[tuple[object, bytes]], q: int, error_rate: float) -> ItemBlock:
+def _block(items: list[tuple[tuple, bytes]], q: int, error_rate: float) -> ItemBlock:
     per_item = [qgrams(t, q) for _, t in items]
     grams = np.concatenate(per_item)
     item = np.repeat(np.arange(len(items), dtype=np.int64), [len(g) for g in per_item])
@@ -115,37 +116,43 @@ def _block(items: list[tuple[object, bytes]], q: int, error_rate: float) -> Item
     return ItemBlock(tuple(i for i, _ in items), tuple(t for _, t in items), budgets, needs, grams[order], item[order], place[order], table)
 
 
-def banded_distance(item: bytes, region: bytes, offset: int, width: int, budget: int) -> int:
-    """Least edits between the whole item and any substring of the region
-    whose alignment stays on the diagonals ``offset .. offset + width - 1``
-    (region place minus item place); ``budget + 1`` if it takes more."""
+def banded_alignment(item: bytes, region: bytes, offset: int, width: int, budget: int) -> tuple[int, int, int]:
+    """``(edits, start, end)`` of the alignment of the whole item with a
+    substring of the region that takes the least edits and stays on the
+    diagonals ``offset .. offset + width - 1`` (region place minus item
+    place), of equal ones that with the last start; ``budget + 1`` edits if it takes more."""
     if not item:
-        return 0
-    far = budget + 1
+        return 0, 0, 0
+    size = len(region) + 1
+    far = (budget + 2) * size - 1
     r = np.frombuffer(region, np.uint8).astype(np.int16)
     padded = np.concatenate((np.full(len(item) + width + max(0, -offset), -1, np.int16), r, np.full(len(item) + width + max(0, offset), -2, np.int16)))
     base = len(item) + width + max(0, -offset)
     steps = np.arange(width)
-    # Cell d of row i: item[:i] against a substring that ends at i + offset + d.
+    # Cell d of row i: item[:i] against a substring that ends at i + offset + d:
+    # its edits times size, plus how far its start is from the region's end.
     ends = offset + steps
-    row = np.where((ends >= 0) & (ends <= len(region)), 0, far).astype(np.int64)
+    row = np.where((ends >= 0) & (ends <= len(region)), len(region) - ends, far).astype(np.int64)
     for i, c in enumerate(item):
         at = base + i + offset
-        change = row + (padded[at : at + width] != c)
-        drop = np.append(row[1:] + 1, far)
+        change = row + size * (padded[at : at + width] != c)
+        drop = np.append(row[1:] + size, far)
         best = np.minimum(change, drop)
         ends = i + 1 + offset + steps
         best[(ends < 0) | (ends > len(region))] = far
         # Insertions run along the row: a running minimum of best - d.
-        row = np.minimum(np.minimum.accumulate(best - steps) + steps, far)
-        if row.min() >= far:
-            return far
-    return int(row.min())
+        row = np.minimum(np.minimum.accumulate(best - size * steps) + size * steps, far)
+        if row.min() // size > budget:
+            return budget + 1, 0, 0
+    d = int(row.argmin())
+    edits, back = divmod(int(row[d]), size)
+    return edits, len(region) - back, int(ends[d])
 
 
 def matches(text: bytes, block: ItemBlock, q: int = Q, positions: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, int, int]]:
     """``(item, start, end, edits)`` of every item found in the folded text,
-    one region for each verified band; the best of overlapping ones."""
+    one for each verified band, start and end of its alignment; the best of
+    those that overlap."""
     if positions is None:
         grams = qgrams(text, q)
         at = np.flatnonzero(block.table[_slot(grams)])
@@ -183,9 +190,9 @@ def matches(text: bytes, block: ItemBlock, q: int = Q, positions: tuple[np.ndarr
         k = int(block.budgets[i])
         low, width = b * (k + 1), 2 * (k + 1)
         start, end = max(0, low), min(len(text), low + width + len(block.texts[i]))
-        edits = banded_distance(block.texts[i], text[start:end], low - start, width, k)
+        edits, first_byte, last_byte = banded_alignment(block.texts[i], text[start:end], low - start, width, k)
         if edits <= k:
-            found.setdefault(i, []).append((edits, start, end, i))
+            found.setdefault(i, []).append((edits, start + first_byte, start + last_byte, i))
     out = []
     for i, regions in found.items():
         taken: list[tuple[int, int]] = []
@@ -197,8 +204,16 @@ def matches(text: bytes, block: ItemBlock, q: int = Q, positions: tuple[np.ndarr
 
 
 def _matches_of_each(data: list[bytes | None], block: ItemBlock, q: int) -> Iterator[tuple[int, list[tuple[int, int, int, int]]]]:
-    """The place of every text with :func:`matches` of it, and these."""
+    """The place of every text with :func:`matches` or short items, and these."""
     texts = [fold(d) for d in data]
+    short: dict[int, list[tuple[int, int, int, int]]] = {}
+    for i in np.flatnonzero(block.budgets < 0).tolist():
+        item = block.texts[i]
+        for t, text in enumerate(texts):
+            at = text.find(item)
+            while at >= 0:
+                short.setdefault(t, []).append((i, at, at + len(item), 0))
+                at = text.find(item, at + len(item))
     flat = b"\n".join(texts)  # a folded text holds no line break, nor does an item
     starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
     grams = qgrams(flat, q)
@@ -209,20 +224,21 @@ def _matches_of_each(data: list[bytes | None], block: ItemBlock, q: int) -> Iter
     true = block.grams[spot] == kept
     at, kept = at[true], kept[true]
     ends = np.searchsorted(at, starts)
-    for t in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
+    for t in sorted({*np.flatnonzero(ends[1:] > ends[:-1]).tolist(), *short}):
         own = slice(ends[t], ends[t + 1])
-        if found := matches(texts[t], block, q, (at[own] - starts[t], kept[own])):
+        if found := matches(texts[t], block, q, (at[own] - starts[t], kept[own])) + short.get(t, []):
             yield t, found
 
 
-def _search(block: ItemBlock, q: int, with_text_id: str):
+def _search(block: ItemBlock, q: int, with_text_id: str, all_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data", SLICE_BYTES):
             ids = batch.column("doc_id").to_pylist()
             rows = [
-                (ids[t], block.ids[i], start, end, edits)
+                (ids[t], item_id, start, end, edits)
                 for t, found in _matches_of_each(batch.column("data").to_pylist(), block, q)
                 for i, start, end, edits in found
+                for item_id in block.ids[i][: None if all_ids else 1]
             ]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -250,13 +266,15 @@ def contaminated_regions(
     q: int = Q,
     error_rate: float = ERROR_RATE,
     block_bytes: int = BLOCK_BYTES,
+    all_ids: bool = False,
 ) -> DataFrame:
     """One row per document, item and region (bytes of the folded text) that
     holds the item within its edit budget: ``doc_id, item_id, region_start,
     region_end, edits``.
 
-    Null or empty texts hold nothing; items of fewer than ``q`` bytes are not
-    searched; items that fold to one text count under the smallest id; an
+    Null or empty texts hold nothing; items of fewer than ``q`` bytes are
+    found exactly; items that fold to one text count under the smallest id, or
+    with ``all_ids`` under each; of occurrences that overlap the best counts; an
     empty benchmark or document table gives no rows. The benchmark passes the
     driver a block at a time.
     """
@@ -264,7 +282,7 @@ def contaminated_regions(
     item_type = "string" if benchmark.schema[item_col].dataType.simpleString() == "string" else "bigint"
     schema = f"doc_id {id_type}, item_id {item_type}, region_start bigint, region_end bigint, edits int"
     rows = ids_and_bytes(docs, id_col, text_col).where("data is not null")
-    searched = [rows.mapInArrow(_search(b, q, item_type), schema) for b in _blocks_of(benchmark, item_col, item_type, item_text_col, q, error_rate, block_bytes)]
+    searched = [rows.mapInArrow(_search(b, q, item_type, all_ids), schema) for b in _blocks_of(benchmark, item_col, item_type, item_text_col, q, error_rate, block_bytes)]
     return reduce(DataFrame.unionByName, searched) if searched else docs.sparkSession.createDataFrame([], schema)
 
 

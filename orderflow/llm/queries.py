@@ -41,8 +41,9 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every region of ``documents`` that holds a benchmark item."""
-    return contaminated_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Every region of ``documents`` that holds a benchmark item, under each
+    id of the item."""
+    return contaminated_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), all_ids=True)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

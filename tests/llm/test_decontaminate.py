@@ -81,3 +81,20 @@ def test_rows_are_kept_by_their_own_text(spark):
     stage = corpus_pipeline.drop_benchmark_leaks(spark, docs(spark, [(None, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]), SF)
     assert stage.where("octet_length(text) >= 8").count() == 0
     assert keep_uncontaminated(frame, bench.limit(0)).count() == len(clean) + len(leaks)
+
+
+def test_neighbouring_occurrences_equal_items_and_short_ones(spark):
+    item = " ".join(f"word{i} of item" for i in range(18))  # a band is wider than the gap between occurrences
+    other = item.replace("word3 ", "wrd3 ")
+    text = f"before {item}\n{item}\n{other} 42 x42 after 42"
+    bench = spark.createDataFrame([(3, item), (5, item.upper()), (9, "42"), (10, "absent")], "item_id long, text string")
+    frame = docs(spark, [(1, text), (2, "nothing")])
+    n = len(item)
+    places = [(7, 7 + n, 0), (8 + n, 8 + 2 * n, 0), (9 + 2 * n, 8 + 3 * n, 1)]
+    short = [(9, at, at + 2, 0) for at in (9 + 3 * n, 13 + 3 * n, 22 + 3 * n)]
+    for all_ids, ids in ((False, [3]), (True, [3, 5])):
+        for block_bytes in (1 << 20, 10):
+            found = contaminated_regions(frame, bench, block_bytes=block_bytes, all_ids=all_ids).collect()
+            assert sorted(tuple(r)[1:] for r in found) == sorted([(i, *p) for i in ids for p in places] + short)
+            assert {r.doc_id for r in found} == {1}
+    assert [r.doc_id for r in keep_uncontaminated(frame, bench.where("item_id = 9")).collect()] == [2]
