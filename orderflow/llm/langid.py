@@ -20,12 +20,11 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import ids_and_bytes, map_whole_rows, slices
+from orderflow.llm.common import ids_and_bytes, map_whole_rows, slices, stage
 
 DIMS = 1 << 12
 CENTROIDS = 4
 MAX_ROWS = 400
-MAX_LANGUAGES = 1_000
 KMEANS_ROUNDS = 12
 RADIUS_FACTOR = 0.15
 SLICE_BYTES, SLICE_ROWS = 1 << 19, 256
@@ -129,8 +128,8 @@ def fit_languages(
 ) -> LanguageModel:
     """Learn from the rows where ``train`` holds, the language is not null and
     the text has a letter. ``max_rows`` texts a language shape the centroids;
-    document frequencies count every such row. The driver gets ``dims``
-    counts and the sample, never a corpus."""
+    document frequencies count every such row. Each language is clustered in
+    a task of its own; the driver gets ``dims`` counts and the centroids."""
     rows = ids_and_bytes(docs.where(F.coalesce(train, F.lit(False))) if train is not None else docs, id_col, text_col, F.col(f"`{lang_col}`").alias("lang"))
     rows = rows.where("lang is not null and data is not null")
     frequency = rows.mapInArrow(_document_frequency(dims), "cell int, docs bigint").groupBy("cell").agg(F.sum("docs").alias("docs")).toPandas()
@@ -141,25 +140,36 @@ def fit_languages(
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     ranked = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("rank", F.row_number().over(order))
     chosen = ranked.where(F.col("rank") <= max_rows).select("doc_id", "lang")
-    held = chosen.limit(max_rows * MAX_LANGUAGES).distinct().collect()
-    if not held:
-        return LanguageModel((), np.zeros((dims, 0), np.float32), np.zeros(0, np.float32), idf)
-    ids = docs.sparkSession.createDataFrame(held, chosen.schema)
-    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"]).mapInArrow(_vectors(idf), "lang string, vector array<float>").toArrow()
-    langs = np.array(sample.column("lang").to_pylist(), object)
-    vectors = sample.column("vector").combine_chunks().flatten().to_numpy().reshape(len(langs), dims) if len(langs) else np.zeros((0, dims), np.float32)
-    names, centres, radius = [], [], []
-    for lang in sorted(set(langs)):
-        own = vectors[langs == lang]
+    ids = stage(chosen.distinct(), "sample")
+    vectors = rows.join(ids, ["doc_id", "lang"]).mapInArrow(_vectors(idf), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang string, vector array<float>")
+    found = vectors.groupBy("lang").applyInArrow(_clusters(centroids, dims), "lang string, place int, centroid array<float>, radius float").toArrow()
+    found = found.sort_by([("lang", "ascending"), ("place", "ascending")])
+    columns = found.column("centroid").combine_chunks().flatten().to_numpy().reshape(-1, dims)
+    return LanguageModel(tuple(found.column("lang").to_pylist()), columns.T.astype(np.float32, order="C"), found.column("radius").to_numpy().astype(np.float32), idf)
+
+
+def _clusters(centroids: int, dims: int):
+    """The centroids and radii of one language."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("doc_id")
+        own = rows.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, dims)
         found = cluster(own, centroids)
         likeness = own @ found.T
         owner = likeness.argmax(axis=1)
-        for c in range(len(found)):
-            members = likeness[owner == c, c]
-            names.append(lang)
-            centres.append(found[c])
-            radius.append(RADIUS_FACTOR * float(np.median(members)) if len(members) else 0.0)
-    return LanguageModel(tuple(names), np.array(centres, np.float32).reshape(len(names), dims).T.copy(), np.array(radius, np.float32), idf)
+        members = [likeness[owner == c, c] for c in range(len(found))]
+        radius = [RADIUS_FACTOR * float(np.median(m)) if len(m) else 0.0 for m in members]
+        offsets = np.arange(len(found) + 1, dtype=np.int32) * dims
+        return pa.table(
+            {
+                "lang": pa.array([rows.column("lang")[0].as_py()] * len(found), pa.string()),
+                "place": pa.array(range(len(found)), pa.int32()),
+                "centroid": pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.astype(np.float32).ravel())),
+                "radius": pa.array(radius, pa.float32()),
+            }
+        )
+
+    return run
 
 
 def _vectors(idf: np.ndarray):
@@ -172,7 +182,8 @@ def _vectors(idf: np.ndarray):
             v = unit_vectors(gram_counts([t for t in texts if t], len(idf)), idf)
             offsets = np.arange(len(v) + 1, dtype=np.int32) * len(idf)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang").filter(pa.array(some)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(v.ravel()))], names=["lang", "vector"]
+                [*(batch.column(c).filter(pa.array(some)) for c in ("doc_id", "lang")), pa.ListArray.from_arrays(pa.array(offsets), pa.array(v.ravel()))],
+                names=["doc_id", "lang", "vector"],
             )
 
     return run

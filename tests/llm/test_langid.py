@@ -48,3 +48,10 @@ def test_odd_rows(spark):
     empty = fit_languages(train.limit(0))
     assert {r.lang_pred for r in predict_languages(odd, empty).collect()} == {"und"}
     assert predict_languages(docs(spark, []), model).count() == 0
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(i, f"words of language number {chr(97 + i % 26) * 9} {chr(97 + i // 26) * 9}", f"l{i}") for i in range(1_100)]
+    model = fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), dims=64, centroids=1, max_rows=1)
+    assert list(model.langs) == sorted(lang for _, _, lang in rows)
+    assert model.centroids.shape == (64, 1_100) and len(model.radius) == 1_100
