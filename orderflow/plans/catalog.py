@@ -122,14 +122,18 @@ def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _parquet_roundtrip(entity: str) -> Query:
     """Overwrite twice (the second write must replace, not append)."""
-    ws = Workspace.of(spark, sf_dir)
-    path = f"{new_work_dir(spark, 'roundtrip')}/customers"
-    validated = ws.validated("customers")
-    io.write_parquet(validated.where(F.col(STATUS_COLUMN) == INVALID), path)
-    io.write_parquet(validated, path)
-    return io.read_parquet(spark, path)
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ws = Workspace.of(spark, sf_dir)
+        path = f"{new_work_dir(spark, 'roundtrip')}/{entity}"
+        validated = ws.validated(entity)
+        io.write_parquet(validated.where(F.col(STATUS_COLUMN) == INVALID), path)
+        io.write_parquet(validated, path)
+        return io.read_parquet(spark, path)
+
+    return q
 
 
 def etl_output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,15 +158,19 @@ def curate_plain_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(stages.curate(spark, zones).outputs["sales_summary"])
 
 
-def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customers in two folders whose headers differ in order and
-    case, bound by name and validated."""
-    raw = Workspace.of(spark, sf_dir).raw("customers")
-    root = new_work_dir(spark, "mixed-headers")
-    first = F.pmod(F.xxhash64(*raw.columns), F.lit(2)) == 0
-    io.write_csv(raw.where(first), f"{root}/a")
-    io.write_csv(raw.where(~first).select(*[F.col(c).alias(c.upper()) for c in reversed(raw.columns)]), f"{root}/b")
-    return validate(io.read_csv(spark, [f"{root}/b", f"{root}/a"]), ENTITIES["customers"]).select(*validate(raw, ENTITIES["customers"]).columns)
+def _csv_mixed_headers(entity: str) -> Query:
+    """A table in two folders whose headers differ in order and case,
+    bound by name and validated."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = Workspace.of(spark, sf_dir).raw(entity)
+        root = new_work_dir(spark, "mixed-headers")
+        first = F.pmod(F.xxhash64(*raw.columns), F.lit(2)) == 0
+        io.write_csv(raw.where(first), f"{root}/a")
+        io.write_csv(raw.where(~first).select(*[F.col(c).alias(c.upper()) for c in reversed(raw.columns)]), f"{root}/b")
+        return validate(io.read_csv(spark, [f"{root}/b", f"{root}/a"]), ENTITIES[entity]).select(*validate(raw, ENTITIES[entity]).columns)
+
+    return q
 
 
 def _retype(entity: str) -> Query:
@@ -207,7 +215,9 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip_products": _csv_roundtrip("products"),
     "csv_roundtrip_orders": _csv_roundtrip("orders"),
     "parquet_scan": parquet_scan,
-    "parquet_roundtrip": parquet_roundtrip,
+    "parquet_roundtrip": _parquet_roundtrip("customers"),
+    "parquet_roundtrip_products": _parquet_roundtrip("products"),
+    "parquet_roundtrip_orders": _parquet_roundtrip("orders"),
     "quarantine_customers": _ws(lambda ws: ws.quarantine("customers")),
     "quarantine_products": _ws(lambda ws: ws.quarantine("products")),
     "quarantine_orders": _ws(lambda ws: ws.quarantine("orders")),
@@ -215,7 +225,9 @@ QUERIES: dict[str, Query] = {
     **{f"etl_{name}": _etl(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS)},
     **{f"published_{kind}_{n}": _etl(f"{kind}_{n}") for kind in ("valid", "invalid") for n in ENTITIES},
     "curate_plain_processed": curate_plain_processed,
-    "csv_mixed_headers": csv_mixed_headers,
+    "csv_mixed_headers": _csv_mixed_headers("customers"),
+    "csv_mixed_headers_products": _csv_mixed_headers("products"),
+    "csv_mixed_headers_orders": _csv_mixed_headers("orders"),
     # P1-P13
     "std_ids": _std_long(ID_COLUMNS, "normalize"),
     "std_names": _std_long(NAME_COLUMNS, "normalize"),

@@ -367,6 +367,8 @@ ORACLE: dict[str, str] = {
         )
     ),
     "parquet_roundtrip": _with(f"SELECT {CUSTOMER_COLS} FROM val_customers"),
+    "parquet_roundtrip_products": _with(f"SELECT {PRODUCT_COLS} FROM val_products"),
+    "parquet_roundtrip_orders": _with(f"SELECT {ORDER_COLS} FROM val_orders"),
     "quarantine_customers": _with(f"SELECT {CUSTOMER_COLS} FROM val_customers WHERE record_status = 'Invalid'"),
     "quarantine_products": _with(f"SELECT {PRODUCT_COLS} FROM val_products WHERE record_status = 'Invalid'"),
     "quarantine_orders": _with(f"SELECT {ORDER_COLS} FROM val_orders WHERE record_status = 'Invalid'"),
@@ -384,6 +386,8 @@ ORACLE: dict[str, str] = {
     },
     "curate_plain_processed": _with("SELECT * FROM sales_summary"),
     "csv_mixed_headers": _with(f"SELECT {CUSTOMER_COLS} FROM val_customers"),
+    "csv_mixed_headers_products": _with(f"SELECT {PRODUCT_COLS} FROM val_products"),
+    "csv_mixed_headers_orders": _with(f"SELECT {ORDER_COLS} FROM val_orders"),
     # P1-P13
     "std_ids": _with(_long(_IDS)),
     "std_names": _with(

@@ -80,3 +80,10 @@ def test_workspace_rewrites_tables_removed_from_the_shared_folder(spark, con):
     before = ws.valid("products").count()
     shutil.rmtree(ws.zones.processed("products").replace("file:", ""))
     assert ws.valid("products").count() == before
+
+
+@pytest.mark.parametrize("query", ["csv_roundtrip", "csv_mixed_headers", "parquet_roundtrip"])
+def test_sources_and_sinks_cover_every_table(query):
+    first = "csv_roundtrip_customers" if query == "csv_roundtrip" else query
+    names = {first, f"{query}_products", f"{query}_orders"}
+    assert names <= set(entry.queries()) and names <= set(entry.oracle_sql())
