@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,7 @@ MAX_RECORDS = 2_000
 LEVEL = 1
 VERSION = b"WARC/1.1"
 VERSIONS = (b"WARC/1.0", b"WARC/1.1")
+_URN = re.compile(r"\Aurn:[^:]*:")
 _MEMBER = b"\x1f\x8b\x08"
 _GAP, _RECORD = "gap", "record"
 
@@ -93,7 +96,8 @@ def parse_record(data: bytes, at: int = 0) -> tuple[Record, int]:
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, Record | str]]:
     """``("record", start, end, Record)`` and ``("gap", start, end, reason)``
-    in archive order; together with zero padding they cover every byte."""
+    in archive order; together with zero padding they cover every byte. What
+    a member of several records holds has the member's start and end each."""
     view, size, at = memoryview(data), len(data), 0
     gap_start, reason = -1, ""
     while at < size:
@@ -102,9 +106,10 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, Record | str]]:
             continue
         try:
             if data.startswith(_MEMBER, at):
-                record, end = _member(view, at)
+                found, end = _member(view, at)
             else:
                 record, end = parse_record(data, at)
+                found = iter([(_RECORD, record)])
         except ValueError as e:
             if gap_start < 0:
                 gap_start, reason = at, str(e)
@@ -115,15 +120,16 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, Record | str]]:
         if gap_start >= 0:
             yield _GAP, gap_start, at, reason
             gap_start = -1
-        yield _RECORD, at, end, record
+        for kind, what in found:
+            yield kind, at, end, what
         at = end
     if gap_start >= 0:
         yield _GAP, gap_start, size, reason
 
 
-def _member(view: memoryview, at: int) -> tuple[Record, int]:
-    """The record of the gzip member at ``at`` and where the member ends. The
-    archive is fed piece by piece: what follows a member is not copied."""
+def _member(view: memoryview, at: int) -> tuple[Iterator[tuple[str, Record | str]], int]:
+    """The records and gaps of the gzip member at ``at`` and where the member
+    ends. The archive is fed piece by piece: what follows is not copied."""
     inflate, parts, place, step = zlib.decompressobj(31), [], at, 1 << 14
     while not inflate.eof:
         if place >= len(view):
@@ -136,10 +142,35 @@ def _member(view: memoryview, at: int) -> tuple[Record, int]:
         step = min(step * 2, 1 << 22)
     end = min(place, len(view)) - len(inflate.unused_data)
     text = b"".join(parts)
-    record, used = parse_record(text)
-    if used != len(text):
-        raise ValueError("member holds more than a record")
-    return record, end
+    found = _inside(text)
+    # A member without any record is a gap of the archive.
+    first = [next(found, (_GAP, "no version line"))]
+    if first[0][0] == _GAP:
+        if (second := next(found, None)) is None:
+            raise ValueError(first[0][1])
+        first.append(second)
+    return chain(first, found), end
+
+
+def _inside(text: bytes) -> Iterator[tuple[str, Record | str]]:
+    """The records of a member's text, and why what lies between them is none."""
+    at, reason = 0, ""
+    while at < len(text):
+        try:
+            record, end = parse_record(text, at)
+        except ValueError as e:
+            reason = reason or str(e)
+            at = text.find(b"WARC/1.", at + 1)
+            if at < 0:
+                break
+            continue
+        if reason:
+            yield _GAP, reason
+            reason = ""
+        yield _RECORD, record
+        at = end
+    if reason:
+        yield _GAP, reason
 
 
 def revisit_plan(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", uri_col: str = "url", min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -218,7 +249,8 @@ def _salvaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _urn(value: str | None) -> str | None:
-    return None if value is None else value.strip("<>").rpartition(":")[2]
+    """What follows ``urn:`` and the name space; it may hold colons."""
+    return None if value is None else _URN.sub("", value.removeprefix("<").removesuffix(">"), count=1)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Archives: salvage of damaged bytes, revisits, exact round trip."""
 
 import base64
+import gzip
 import hashlib
 import zlib
 
-from orderflow.llm.warc import archive_round_trip, read_archives, record_bytes, revisit_plan, salvage, sha1_base32, write_archives
+from orderflow.llm.warc import _urn, archive_round_trip, read_archives, record_bytes, revisit_plan, salvage, sha1_base32, write_archives
 from orderflow.session import new_work_dir
 
 
@@ -69,3 +70,18 @@ def test_uris_payloads_and_gap_rows(spark):
     assert sorted((r.kind, r.record_id, r.uri, bytes(r.payload)) for r in rows) == [("record", "1", "http://a/b c", b"one"), ("record", "2", "http://z", b"two")]
     small = revisit_plan(spark.createDataFrame([(1, "", "x"), (2, "", "x")], "page_id long, url string, html string"), min_bytes=2)
     assert {r.refers_to for r in small.collect()} == {None}
+
+
+def test_member_of_several_records_and_ids_with_colons():
+    parts = [record_bytes(f"a:b:{i}", "response", None, None, b"payload %d" % i, sha1_base32(b"payload %d" % i)) for i in range(4)]
+    whole = gzip.compress(b"".join(parts))
+    found = list(salvage(whole))
+    assert [(kind, start, end, r.payload) for kind, start, end, r in found] == [("record", 0, len(whole), b"payload %d" % i) for i in range(4)]
+    assert [_urn(r.headers["warc-record-id"]) for *_, r in found] == [f"a:b:{i}" for i in range(4)]
+    assert _urn("<urn:uuid:1-2>") == "1-2" and _urn(None) is None
+    broken = gzip.compress(b"junk" + parts[0] + parts[1].replace(b"payload 1", b"payload x") + parts[2] + b"WARC/1.1 tail")
+    kinds = [(kind, r if kind == "gap" else r.payload) for kind, _, _, r in salvage(broken + whole)]
+    assert kinds[:5] == [("gap", "no version line"), ("record", b"payload 0"), ("gap", "payload digest differs"), ("record", b"payload 2"), ("gap", "no version line")]
+    assert [k for k, _ in kinds[5:]] == ["record"] * 4
+    nothing = gzip.compress(b"no record here")
+    assert [(k, a, b) for k, a, b, _ in salvage(nothing)] == [("gap", 0, len(nothing))]
