@@ -275,8 +275,8 @@ def contaminated_regions(
     Null or empty texts hold nothing; items of fewer than ``q`` bytes are
     found exactly; items that fold to one text count under the smallest id, or
     with ``all_ids`` under each; of occurrences that overlap the best counts; an
-    empty benchmark or document table gives no rows. The benchmark passes the
-    driver a block at a time.
+    empty benchmark or document table gives no rows. The driver
+    holds the whole benchmark, and every block is a scan of ``docs``.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     item_type = "string" if benchmark.schema[item_col].dataType.simpleString() == "string" else "bigint"
