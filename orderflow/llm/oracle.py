@@ -60,4 +60,38 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, root.component_
 FROM w LEFT JOIN n USING (doc_id) JOIN root USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_preference_formatting": OP2, "op3_warc_archives": OP3, "op4_minhash_near_dedup": OP4}
+OP11 = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t FROM documents),
+win AS (SELECT doc_id, i, t[i : i + 12] AS k FROM (SELECT doc_id, t, unnest(range(1, len(t) - 11)) AS i FROM w)),
+first AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN first USING (k) WHERE m < doc_id),
+words AS (SELECT doc_id, unnest(t) AS x, generate_subscripts(t, 1) AS p FROM w),
+kept AS (SELECT words.doc_id, count(gone.p) AS n_removed, string_agg(x, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS kept
+         FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY words.doc_id)
+SELECT w.doc_id, CAST(len(t) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT CAST(count(*) FILTER (len(t) > 0) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, s),
+m AS (SELECT doc_id, 10 + (90 * CAST(len(t) AS BIGINT) * n_docs) // n_terms AS m FROM d, s WHERE len(t) > 0),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM i JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_preference_formatting": OP2,
+    "op3_warc_archives": OP3,
+    "op4_minhash_near_dedup": OP4,
+    "op11_substring_dedup": OP11,
+    "op13_lexical_search": OP13,
+}

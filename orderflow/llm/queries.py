@@ -13,12 +13,15 @@ from orderflow.llm.decontaminate import contaminated_regions
 from orderflow.llm.fuzzy_hash import compare_with_successors
 from orderflow.llm.html_text import extract_main_text
 from orderflow.llm.langid import fit_languages, predict_languages
+from orderflow.llm.lexical import rank_documents
 from orderflow.llm.minhash import near_duplicates
 from orderflow.llm.pieces import encode_documents
 from orderflow.llm.ppm import score_documents
 from orderflow.llm.preference import branches, format_preferences
 from orderflow.llm.severity import fit_severity, label_grades, score_severity
+from orderflow.llm.substrings import remove_repeated_passages
 from orderflow.llm.warc import archive_round_trip
+from orderflow.llm.whitening import whiten
 
 
 def op1_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +76,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that a document with a
+    smaller id holds."""
+    kept = remove_repeated_passages(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,5 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_document_fingerprints,
         op9_sentencepiece,
         op10_language_id,
+        op11_substring_dedup,
+        op12_embedding_whitening,
+        op13_lexical_search,
     )
 }

@@ -20,11 +20,12 @@ COLUMNS = {
     "op7": ["page_id", "url", "text", "n_chars"],
     "op8": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10": ["doc_id", "held_out", "lang_pred", "score"],
+    "op12": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
 }
 
 
 def test_one_query_for_each_operator():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
@@ -39,7 +40,9 @@ def test_contract_columns_and_rows(spark, name):
     got = QUERIES[name](spark, SF)
     want = COLUMNS.get(name.split("_")[0], ["doc_id"])
     assert got.columns[: len(want)] == want
-    if name != "op5_benchmark_decontamination":
+    if name.startswith("op12"):
+        assert got.count() == 4 * spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    elif name != "op5_benchmark_decontamination":
         table = "pages" if name.startswith("op7") else "documents"
         assert got.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
