@@ -38,6 +38,8 @@ VERSIONS = (b"WARC/1.0", b"WARC/1.1")
 _URN = re.compile(r"\Aurn:[^:]*:")
 _MEMBER = b"\x1f\x8b\x08"
 _GAP, _RECORD = "gap", "record"
+#: Headers that a record has once: a second one belongs to the next record.
+_ONCE = frozenset((b"warc-type", b"warc-record-id", b"warc-date", b"content-length"))
 
 
 @dataclass(frozen=True)
@@ -68,17 +70,21 @@ def record_bytes(record_id: str, record_type: str, uri: str | None, refers_to: s
 
 def parse_record(data: bytes, at: int = 0) -> tuple[Record, int]:
     """The record at ``at`` and where it ends; ``ValueError`` says which check
-    failed."""
+    failed. A header block that runs on into another record (a line without a
+    colon, a bare CR, a repeated header) is none."""
     if data[at : at + 8] not in VERSIONS or data[at + 8 : at + 10] != b"\r\n":
         raise ValueError("no version line")
     head_end = data.find(b"\r\n\r\n", at)
     if head_end < 0:
         raise ValueError("headers do not end")
-    headers = {}
+    headers, seen = {}, set()
     for line in data[at + 10 : head_end].split(b"\r\n"):
         name, colon, value = line.partition(b":")
-        if not colon:
+        key = name.strip().lower()
+        if not colon or b"\r" in line or key in seen:
             raise ValueError("bad header line")
+        if key in _ONCE:
+            seen.add(key)
         headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):

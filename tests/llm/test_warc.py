@@ -44,6 +44,25 @@ def test_plain_records_after_damage_are_recovered():
     assert seen(b"") == [] and seen(b"\0\0") == [] and seen(b"nothing here")[0][0] == "gap"
 
 
+def test_a_record_cut_at_any_byte_is_a_gap_and_costs_no_other():
+    for n in range(1, len(RECORDS[1])):
+        data = RECORDS[0] + RECORDS[1][:n] + RECORDS[2] + RECORDS[3]
+        a, z = len(RECORDS[0]), len(RECORDS[0]) + n
+        got = seen(data)
+        assert [(k, s, e) for k, s, e, _ in got][:2] == [("record", 0, a), ("gap", a, z)], n
+        assert [w for *_, w in got[2:]] == ["<urn:page:2>", "<urn:page:3>"]
+        inside = gzip.compress(data)
+        assert [k if k == "gap" else w.headers["warc-record-id"] for k, _, _, w in salvage(inside)] == ["<urn:page:0>", "gap", "<urn:page:2>", "<urn:page:3>"]
+
+
+def test_a_record_cut_at_the_front_is_a_gap():
+    for n in range(1, len(RECORDS[1])):
+        data = RECORDS[0] + RECORDS[1][n:] + RECORDS[2]
+        got = seen(data)
+        assert [k for k, *_ in got] == ["record", "gap", "record"], n
+        assert got[1][1:3] == (len(RECORDS[0]), len(data) - len(RECORDS[2]))
+
+
 def test_round_trip_of_odd_pages(spark):
     rows = [(5, "http://a", "<p>é</p>"), (2, None, "<p>é</p>"), (9, "u v\nw", "<p>é</p>"), (9, "x", "<p>é</p>"), (3, "", None), (4, "b", ""), (None, "c", "solo"), (None, "c", "<p>é</p>"), (7, "d", "WARC/1.1\r\n\r\n" * 100), (8, "e", "z" * 3_000_000)]
     pages = spark.createDataFrame([(*r, "k", 1) for r in rows], "page_id long, url string, html string, kind string, first int")
