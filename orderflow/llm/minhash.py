@@ -168,6 +168,17 @@ def _rare_buckets(ids: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     return first.where("e.docs > 1").select(F.col("e.s").alias("band"), "rep", "n", "at", (F.col("at") < F.col("led")).alias("lead"))
 
 
+def _repeated_ids(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("copies")).where("copies > 1").select("doc_id")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``doc_id`` with the text's digest, in the order of the ids; null
+    without an id. Rows of one id with different texts have different keys."""
+    key = F.struct("doc_id", F.unhex(F.sha1(F.coalesce("data", F.lit(b"")))).alias("text"))
+    return rows.withColumn("key", F.when(F.col("doc_id").isNotNull(), key))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -177,16 +188,27 @@ def near_duplicates(
     rows: int = ROWS,
     width: int = SHINGLE_WORDS,
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``
+    """One row per input row: ``doc_id``, ``n_shingles``, ``component_id``
     (smallest id reachable over links), ``kept`` (is that document).
 
-    Null or wordless texts have no shingles and link with nothing. Rows that
-    repeat an id count as one document. A row without an id cannot be named by
-    a link: its ``component_id`` is null and it is kept. An empty table gives
-    an empty result.
+    Null or wordless texts have no shingles and link with nothing. Where ids
+    repeat, rows are judged by id and text: of the texts of the component's
+    smallest id one is kept, equal rows alike. A row without an id cannot be
+    named by a link: its ``component_id`` is null and it is kept. An empty table
+    gives an empty result.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
     rows_in = ids_and_bytes(docs, id_col, text_col)
+    if _repeated_ids(rows_in).isEmpty():
+        return _judged(rows_in, threshold_pct, bands, rows, width)
+    keyed = _keyed(rows_in).select(F.col("key").alias("doc_id"), "data")
+    found = _judged(keyed, threshold_pct, bands, rows, width)
+    return found.select("doc_id.doc_id", "n_shingles", "component_id.doc_id", "kept").toDF("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(rows_in: DataFrame, threshold_pct: int, bands: int, rows: int, width: int) -> DataFrame:
+    """:func:`near_duplicates` of ``doc_id, data``; rows that repeat an id
+    have equal texts."""
+    id_type = rows_in.schema["doc_id"].dataType.simpleString()
     sketch = stage(
         rows_in.mapInArrow(_sketches(bands, rows, width), f"doc_id {id_type}, content binary, n bigint, bands array<bigint>"),
         "sketches",
@@ -259,12 +281,25 @@ def near_duplicates(
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document is kept, all columns, one row for
-    each id (rows without an id all stay): of rows that repeat an id that with
-    the least text, of equal texts that with the least other columns."""
-    gone = stage(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    left = docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
-    more = [f.name for f in docs.schema.fields if f.name not in (id_col, text_col) and not f.dataType.simpleString().count("map<")]
-    order = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(*(F.col(f"`{c}`").asc_nulls_last() for c in (text_col, *more)))
-    first = left.where(F.col(f"`{id_col}`").isNotNull()).withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
-    return first.unionByName(left.where(F.col(f"`{id_col}`").isNull()))
+    """The rows of ``docs`` that are kept, all columns: one of each group of
+    near-duplicates, that of the smallest id. Rows without an id all stay, as
+    do rows without words. Where ids repeat, rows are judged by id and text: a
+    text that is like no other stays, and of rows that are equal in both the
+    one with the least other columns."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own_id, own_text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    rows = docs.toDF(*names)
+    pair = rows.select(F.col(own_id).alias("doc_id"), F.col(own_text).cast("string").cast("binary").alias("data"))
+    if _repeated_ids(pair).isEmpty():
+        gone = stage(near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id"), "gone")
+        return rows.join(gone, F.col(own_id) == F.col("doc_id"), "left_anti").toDF(*docs.columns)
+    keyed = _keyed(pair).select(F.col("key").alias("doc_id"), "data")
+    judged = stage(_judged(keyed, THRESHOLD_PCT, BANDS, ROWS, SHINGLE_WORDS).select(F.col("doc_id").alias("key"), "n_shingles", "kept"), "judged")
+    gone = judged.where("not kept").select("key").distinct()
+    again = judged.where("key is not null and n_shingles > 0").groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1").select(F.col("key").alias("again"))
+    marked = _keyed(rows.withColumns({"doc_id": F.col(own_id), "data": F.col(own_text).cast("string").cast("binary")})).drop("doc_id", "data")
+    left = marked.join(gone, "key", "left_anti").join(again, F.col("key") == F.col("again"), "left")
+    # Only rows that are equal in id and text are ranked.
+    order = [F.col(n).asc_nulls_last() for n, f in zip(names, docs.schema.fields, strict=True) if not f.dataType.simpleString().count("map<") and n != own_text]
+    first = left.where("again is not null").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order))).where("rank = 1")
+    return first.select(*names).unionByName(left.where("again is null").select(*names)).toDF(*docs.columns)

@@ -79,10 +79,42 @@ def test_components_of_a_chain_and_a_hub(spark):
     assert {n: r.root for n, r in got.items()} == {**{i: 0 for i in range(1, 31)}, **{i: 100 for i in range(101, 150)}}
 
 
-def test_least_text_of_a_repeated_id_stays(spark):
+def kept_texts(frame):
+    return sorted(((r.doc_id, r.text) for r in keep_one_of_each(frame).collect()), key=str)
+
+
+def test_texts_of_a_repeated_id_are_judged_each(spark):
+    """A text that is like no other stays, whatever rows share its id."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    near = a.replace("a29", "a29 more")
+    rows = [(3, a), (7, a), (7, b), (9, c), (9, near), (2, near), (4, None), (4, None), (4, " "), (5, c), (5, c), (None, a), (None, a)]
+    frame = docs(spark, rows)
+    for parts in (1, 4):
+        assert kept_texts(frame.repartition(parts)) == sorted([(2, near), (7, b), (5, c), (4, None), (4, None), (4, " "), (None, a), (None, a)], key=str)
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(frame).collect()), key=str)
+    assert found == sorted(
+        [(3, 26, 2, False), (7, 26, 2, False), (7, 26, 7, True), (9, 26, 5, False), (9, 27, 2, False), (2, 27, 2, True)]
+        + [(4, 0, 4, True)] * 3
+        + [(5, 26, 5, True)] * 2
+        + [(None, 26, None, True)] * 2,
+        key=str,
+    )
+
+
+def test_different_texts_of_one_id_all_stay(spark):
     texts = [f"{c} is a text of its own {c * 3}" for c in "dbca"]
     for rows in ([(1, t) for t in texts] + [(1, None), (2, "x")], [(2, "x"), (1, None)] + [(1, t) for t in reversed(texts)]):
-        frame = docs(spark, rows)
-        for parts in (1, 4):
-            kept = keep_one_of_each(frame.repartition(parts))
-            assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, texts[3]), (2, "x")]
+        assert kept_texts(docs(spark, rows)) == sorted(rows, key=str)
+
+
+def test_near_texts_of_one_id_and_clashing_columns(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text + " end", 2, "a", 1, 5), (1, text, 1, "b", 1, 5), (1, text, 1, "a", 1, 5), (2, text, 0, "z", 1, 5), (8, "other", 0, "z", 1, 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, __gone int, __rank string, key int, again int")
+    for one in (frame, frame.where("doc_id <> 1")):  # ids repeat, and do not
+        kept = keep_one_of_each(one)
+        assert kept.columns == frame.columns
+        got = sorted(tuple(r)[:4] for r in kept.collect())
+        assert len(got) == 2 and got[1][0] == 8 and got[0][0] == one.agg({"doc_id": "min"}).first()[0]
+        if got[0][0] == 1:  # of equal rows the least, of linked texts one
+            assert got[0] in ((1, text, 1, "a"), (1, text + " end", 2, "a"))
