@@ -3,10 +3,11 @@
 A text becomes a TF-IDF vector over hashed byte n-grams of its lower-cased
 letters (runs of other characters count as one space), scaled to length one.
 Every language has several centroids, found by spherical k-means on a bounded
-sample of labelled rows (``max_rows`` a language, smallest hash of the id);
-document frequencies cover all labelled rows. A text gets the language of the
-nearest centroid by cosine and is rejected when that is farther than the
-radius of the centroid's own training members allows.
+sample of labelled rows (``max_rows`` a language, smallest hash of id and
+text); document frequencies cover all labelled rows. A text gets the language
+of the nearest centroid by cosine and is rejected when that is farther than
+the language's radius: a low quantile of the cosines of held-out members, with
+a margin.
 """
 
 from __future__ import annotations
@@ -26,7 +27,16 @@ DIMS = 1 << 12
 CENTROIDS = 4
 MAX_ROWS = 400
 KMEANS_ROUNDS = 12
-RADIUS_FACTOR = 0.15
+#: The radius: this share of the low quantile of held-out cosines, at most
+#: ``MOST_RADIUS`` (texts of another language stay below it: their hashed n-grams
+#: meet a centroid by chance and by common letters only).
+RADIUS_FACTOR, RADIUS_QUANTILE, MOST_RADIUS = 0.75, 0.05, 0.25
+#: The members farthest from the mean start no centroid, and a centroid has at
+#: least this share of its language's sample: a few rows far from all others
+#: have a wrong label.
+OUTER_SHARE, LEAST_SHARE = 0.25, 0.05
+#: One in so many members is held out to find the radius.
+HOLD_OUT = 4
 SLICE_BYTES, SLICE_ROWS = 1 << 19, 256
 UNKNOWN = "und"
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
@@ -86,19 +96,24 @@ def unit_vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def cluster(vectors: np.ndarray, k: int, rounds: int = KMEANS_ROUNDS) -> np.ndarray:
-    """Spherical k-means from farthest-first starts: ``(k', dims)`` unit
-    centroids with at least one member each."""
-    picks = [int(np.argmax(vectors @ vectors.mean(axis=0)))]
+    """Spherical k-means from farthest-first starts among the usual members:
+    ``(k', dims)`` unit centroids, without those of few members."""
+    typical = vectors @ vectors.mean(axis=0)
+    usual = typical >= np.quantile(typical, OUTER_SHARE)
+    picks = [int(np.argmax(typical))]
     while len(picks) < min(k, len(vectors)):
-        nearest = (vectors @ vectors[picks].T).max(axis=1)
+        nearest = np.where(usual, (vectors @ vectors[picks].T).max(axis=1), 1.0)
         far = int(np.argmin(nearest))
         if nearest[far] > 0.999:
             break
         picks.append(far)
     centres = vectors[picks]
-    for _ in range(rounds):
+    for turn in range(rounds):
         owner = (vectors @ centres.T).argmax(axis=1)
-        centres = np.stack([vectors[owner == c].sum(axis=0) for c in np.unique(owner)])
+        held, size = np.unique(owner, return_counts=True)
+        if turn == rounds // 2:  # what is left of far starts are wrong labels
+            held = held[size >= min(size.max(), LEAST_SHARE * len(vectors))]
+        centres = np.stack([vectors[owner == c].sum(axis=0) for c in held])
         centres = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
     return centres
 
@@ -127,38 +142,52 @@ def fit_languages(
     max_rows: int = MAX_ROWS,
 ) -> LanguageModel:
     """Learn from the rows where ``train`` holds, the language is not null and
-    the text has a letter. ``max_rows`` texts a language shape the centroids;
+    the text has a letter. ``max_rows`` texts a language shape the centroids
+    (rows that repeat id and text count once there; ids may be null);
     document frequencies count every such row. Each language is clustered in
-    a task of its own; the driver gets ``dims`` counts and the centroids."""
+    a task of its own; the driver gets ``dims`` counts, the size of each language
+    and the centroids."""
     rows = ids_and_bytes(docs.where(F.coalesce(train, F.lit(False))) if train is not None else docs, id_col, text_col, F.col(f"`{lang_col}`").alias("lang"))
     rows = rows.where("lang is not null and data is not null")
     frequency = rows.mapInArrow(_document_frequency(dims), "cell int, docs bigint").groupBy("cell").agg(F.sum("docs").alias("docs")).toPandas()
     counts = np.zeros(dims + 1)
     counts[frequency["cell"]] = frequency["docs"]
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])).astype(np.float32) + np.float32(0.1)
-    # The sample is chosen by id alone; texts of the chosen ids come after.
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ranked = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("rank", F.row_number().over(order))
-    chosen = ranked.where(F.col("rank") <= max_rows).select("doc_id", "lang")
-    ids = stage(chosen.distinct(), "sample")
-    vectors = rows.join(ids, ["doc_id", "lang"]).mapInArrow(_vectors(idf), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang string, vector array<float>")
+    # Rows that may be among the smallest hashes of their language: a share that
+    # holds twice as many as are asked for, so no task ranks a whole language.
+    hashed = rows.withColumn("h", F.xxhash64("doc_id", "data"))
+    kinds = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("kinds")).collect()
+    sizes = [(r["lang"], min(1.0, 2.0 * max_rows / max(1, r["kinds"]))) for r in kinds]
+    shares = docs.sparkSession.createDataFrame(sizes, "of string, share double")  # a row a language, like the model
+    near = hashed.join(F.broadcast(shares), F.col("lang") == F.col("of"))
+    few = near.where(F.col("h") / F.lit(2.0**64) + 0.5 < F.col("share")).groupBy("lang", "h").agg(F.any_value("data").alias("data"))
+    few = stage(few, "sample")
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = few.select("lang", "h").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max_rows).drop("rank")
+    vectors = few.join(chosen, ["lang", "h"]).mapInArrow(_vectors(idf), "h long, lang string, vector array<float>")
     found = vectors.groupBy("lang").applyInArrow(_clusters(centroids, dims), "lang string, place int, centroid array<float>, radius float").toArrow()
     found = found.sort_by([("lang", "ascending"), ("place", "ascending")])
     columns = found.column("centroid").combine_chunks().flatten().to_numpy().reshape(-1, dims)
     return LanguageModel(tuple(found.column("lang").to_pylist()), columns.T.astype(np.float32, order="C"), found.column("radius").to_numpy().astype(np.float32), idf)
 
 
+def _radius(vectors: np.ndarray, centroids: int) -> float:
+    """Least cosine to accept: from members that the centroids have not seen
+    (all, where there are too few to hold any out)."""
+    apart = np.arange(len(vectors)) % HOLD_OUT == 0 if len(vectors) > HOLD_OUT else np.ones(len(vectors), bool)
+    seen = vectors if apart.all() else vectors[~apart]
+    nearest_ = (vectors[apart] @ cluster(seen, centroids).T).max(axis=1)
+    return min(MOST_RADIUS, RADIUS_FACTOR * float(np.quantile(nearest_, RADIUS_QUANTILE)))
+
+
 def _clusters(centroids: int, dims: int):
-    """The centroids and radii of one language."""
+    """The centroids and the radius of one language."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("doc_id")
+        rows = rows.sort_by("h")
         own = rows.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, dims)
         found = cluster(own, centroids)
-        likeness = own @ found.T
-        owner = likeness.argmax(axis=1)
-        members = [likeness[owner == c, c] for c in range(len(found))]
-        radius = [RADIUS_FACTOR * float(np.median(m)) if len(m) else 0.0 for m in members]
+        radius = [_radius(own, centroids)] * len(found)
         offsets = np.arange(len(found) + 1, dtype=np.int32) * dims
         return pa.table(
             {
@@ -182,8 +211,8 @@ def _vectors(idf: np.ndarray):
             v = unit_vectors(gram_counts([t for t in texts if t], len(idf)), idf)
             offsets = np.arange(len(v) + 1, dtype=np.int32) * len(idf)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).filter(pa.array(some)) for c in ("doc_id", "lang")), pa.ListArray.from_arrays(pa.array(offsets), pa.array(v.ravel()))],
-                names=["doc_id", "lang", "vector"],
+                [*(batch.column(c).filter(pa.array(some)) for c in ("h", "lang")), pa.ListArray.from_arrays(pa.array(offsets), pa.array(v.ravel()))],
+                names=["h", "lang", "vector"],
             )
 
     return run
