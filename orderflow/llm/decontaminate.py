@@ -16,6 +16,7 @@ other; the documents are never shuffled for the comparison.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -32,6 +33,11 @@ ERROR_RATE = 0.08
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 19
 _TABLE_BITS = 20
+#: Bytes of a text whose hits are counted at a time, and the hits that are
+#: listed one by one (beyond it bands look up the places of an item).
+WINDOW_BYTES, MOST_HITS = 1 << 17, 1 << 20
+#: Bands that are aligned together.
+ALIGNED = 512
 
 
 @dataclass(frozen=True)
@@ -116,59 +122,57 @@ def _block(items: list[tuple[tuple, bytes]], q: int, error_rate: float) -> ItemB
     return ItemBlock(tuple(i for i, _ in items), tuple(t for _, t in items), budgets, needs, grams[order], item[order], place[order], table)
 
 
-def banded_alignment(item: bytes, region: bytes, offset: int, width: int, budget: int) -> tuple[int, int, int]:
-    """``(edits, start, end)`` of the alignment of the whole item with a
-    substring of the region that takes the least edits and stays on the
-    diagonals ``offset .. offset + width - 1`` (region place minus item
-    place), of equal ones that with the last start; ``budget + 1`` edits if it takes more."""
-    if not item:
-        return 0, 0, 0
-    size = len(region) + 1
+def banded_alignments(item: bytes, text: bytes, lows: np.ndarray, width: int, budget: int) -> np.ndarray:
+    """``(edits, start, end)`` by band: the alignment of the whole item with a
+    substring of the text that takes the least edits and stays on the diagonals
+    ``low .. low + width - 1`` (text place minus item place), of equal ones
+    that with the last start; ``budget + 1`` edits if it takes more."""
+    out = np.zeros((len(lows), 3), np.int64)
+    out[:, 0] = budget + 1
+    size = len(text) + 1
     far = (budget + 2) * size - 1
-    r = np.frombuffer(region, np.uint8).astype(np.int16)
-    padded = np.concatenate((np.full(len(item) + width + max(0, -offset), -1, np.int16), r, np.full(len(item) + width + max(0, offset), -2, np.int16)))
-    base = len(item) + width + max(0, -offset)
+    pad = len(item) + width + 1
+    # Only what the bands touch is widened to 16 bits.
+    first, last = max(0, int(lows.min())), max(0, min(len(text), int(lows.max()) + width + len(item)))
+    own = np.frombuffer(text, np.uint8)[first:last].astype(np.int16)
+    padded = np.concatenate((np.full(pad, -1, np.int16), own, np.full(pad, -1, np.int16)))
     steps = np.arange(width)
-    # Cell d of row i: item[:i] against a substring that ends at i + offset + d:
-    # its edits times size, plus how far its start is from the region's end.
-    ends = offset + steps
-    row = np.where((ends >= 0) & (ends <= len(region)), len(region) - ends, far).astype(np.int64)
+    open_, low = np.arange(len(lows)), lows.astype(np.int64)
+    # Cell d of row i: item[:i] against a substring that ends at i + low + d:
+    # its edits times size, plus how far its start is from the text's end.
+    ends = low[:, None] + steps
+    row = np.where((ends >= 0) & (ends <= len(text)), len(text) - ends, far)
     for i, c in enumerate(item):
-        at = base + i + offset
-        change = row + size * (padded[at : at + width] != c)
-        drop = np.append(row[1:] + size, far)
-        best = np.minimum(change, drop)
-        ends = i + 1 + offset + steps
-        best[(ends < 0) | (ends > len(region))] = far
+        at = np.clip(low + (i - first + pad), 0, len(padded) - width)
+        change = row + size * (padded[at[:, None] + steps] != c)
+        best = change
+        np.minimum(change[:, :-1], row[:, 1:] + size, out=best[:, :-1])
+        ends = low[:, None] + (i + 1 + steps)
+        best[(ends < 0) | (ends > len(text))] = far
         # Insertions run along the row: a running minimum of best - d.
-        row = np.minimum(np.minimum.accumulate(best - size * steps) + size * steps, far)
-        if row.min() // size > budget:
-            return budget + 1, 0, 0
-    d = int(row.argmin())
-    edits, back = divmod(int(row[d]), size)
-    return edits, len(region) - back, int(ends[d])
+        row = np.minimum(np.minimum.accumulate(best - size * steps, axis=1) + size * steps, far)
+        if i % 8 == 7:
+            going = row.min(axis=1) // size <= budget
+            if not going.all():
+                row, low, open_ = row[going], low[going], open_[going]
+                if not len(low):
+                    return out
+    d = row.argmin(axis=1)
+    edits, back = np.divmod(row[np.arange(len(row)), d], size)
+    good = edits <= budget
+    out[open_[good]] = np.stack((edits, len(text) - back, low + len(item) + d), axis=1)[good]
+    return out
 
 
-def matches(text: bytes, block: ItemBlock, q: int = Q, positions: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, int, int]]:
-    """``(item, start, end, edits)`` of every item found in the folded text,
-    one for each verified band, start and end of its alignment; the best of
-    those that overlap."""
-    if positions is None:
-        grams = qgrams(text, q)
-        at = np.flatnonzero(block.table[_slot(grams)])
-        grams = grams[at]
-    else:
-        at, grams = positions
-    lo = np.searchsorted(block.grams, grams, "left")
-    n = np.searchsorted(block.grams, grams, "right") - lo
-    if not n.any():
-        return []
+def _listed_bands(at: np.ndarray, lo: np.ndarray, n: np.ndarray, block: ItemBlock) -> tuple[np.ndarray, np.ndarray]:
+    """Items and bands that share enough q-grams; every hit is listed."""
+    none = np.empty(0, np.int64), np.empty(0, np.int64)
     need = np.maximum(block.needs, 1)
     index = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
     item = block.item[index]
     enough = np.bincount(item, minlength=len(need))[item] >= need[item]  # over all bands
     if not enough.any():
-        return []
+        return none
     item, place, where = item[enough], block.place[index[enough]], np.repeat(at, n)[enough]
     stride = block.budgets[item] + 1
     band = np.floor_divide(where - place, stride)  # a diagonal may be negative
@@ -180,25 +184,93 @@ def matches(text: bytes, block: ItemBlock, q: int = Q, positions: tuple[np.ndarr
     # A q-gram of the item counts once in a band, however often it hits.
     both = both[np.concatenate(([True], both[1:] != both[:-1]))]
     group = both // most
-    new_band = np.concatenate(([True], group[1:] != group[:-1]))
-    first = np.flatnonzero(new_band)
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     shared = np.diff(np.append(first, len(group)))
     item2, band2 = np.divmod(group[first], bands)
-    found: dict[int, list[tuple[int, int, int, int]]] = {}
-    for g in np.flatnonzero(shared >= need[item2]):
-        i, b = int(item2[g]), int(band2[g]) + least
-        k = int(block.budgets[i])
-        low, width = b * (k + 1), 2 * (k + 1)
-        start, end = max(0, low), min(len(text), low + width + len(block.texts[i]))
-        edits, first_byte, last_byte = banded_alignment(block.texts[i], text[start:end], low - start, width, k)
-        if edits <= k:
-            found.setdefault(i, []).append((edits, start + first_byte, start + last_byte, i))
+    found = shared >= need[item2]
+    return item2[found], band2[found] + least
+
+
+def _looked_up_bands(at: np.ndarray, grams: np.ndarray, block: ItemBlock) -> tuple[np.ndarray, np.ndarray]:
+    """The same for texts that repeat themselves: each band looks up, for each
+    place of the item, whether its q-gram hits within the band."""
+    kinds, of, times = np.unique(grams, return_inverse=True, return_counts=True)
+    span = int(at.max()) + 2
+    key = np.sort(of * span + at)
+    spot = np.minimum(np.searchsorted(kinds, block.grams), len(kinds) - 1)
+    hit = kinds[spot] == block.grams
+    held = np.bincount(block.item[hit], times[spot[hit]], len(block.needs))
+    items, bands = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i in np.flatnonzero(held >= np.maximum(block.needs, 1)).tolist():
+        own = hit & (block.item == i)
+        kind, place = spot[own], block.place[own]
+        stride = int(block.budgets[i]) + 1
+        every = np.arange((int(at.min()) - int(place.max())) // stride - 1, int(at.max()) // stride + 1)
+        for some in np.array_split(every, max(1, len(every) * len(place) // MOST_HITS + 1)):
+            start = place + some[:, None] * stride
+            spots = np.searchsorted(key, kind * span + np.clip(start, 0, span - 1))
+            found = key[np.minimum(spots, len(key) - 1)]
+            within = (spots < len(key)) & (found < kind * span + np.clip(start + 2 * stride, 0, span - 1))
+            good = some[within.sum(axis=1) >= max(int(block.needs[i]), 1)]
+            items.append(np.full(len(good), i))
+            bands.append(good)
+    return np.concatenate(items), np.concatenate(bands)
+
+
+def _bands(length: int, at: np.ndarray, grams: np.ndarray, block: ItemBlock) -> tuple[np.ndarray, np.ndarray]:
+    """Items and bands that share enough q-grams with the text, window by
+    window. A window counts the bands that begin in it and reads on as far as
+    a band goes."""
+    lo = np.searchsorted(block.grams, grams, "left")
+    n = np.searchsorted(block.grams, grams, "right") - lo
+    reach = max(len(t) + 2 * (k + 1) for t, k in zip(block.texts, block.budgets.tolist(), strict=True))
+    step = max(WINDOW_BYTES, reach)
+    items, bands = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for begin in range(0, max(length, 1), step):
+        last = begin + step >= length
+        own = slice(np.searchsorted(at, begin), len(at) if last else np.searchsorted(at, begin + step + reach))
+        if not n[own].any():
+            continue
+        if n[own].sum() <= MOST_HITS:
+            item, band = _listed_bands(at[own], lo[own], n[own], block)
+        else:
+            item, band = _looked_up_bands(at[own], grams[own], block)
+        low = band * (block.budgets[item] + 1)
+        here = ((low >= begin) | (begin == 0)) & ((low < begin + step) | last)
+        items.append(item[here])
+        bands.append(band[here])
+    return np.concatenate(items), np.concatenate(bands)
+
+
+def matches(text: bytes, block: ItemBlock, q: int = Q, positions: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, int, int]]:
+    """``(item, start, end, edits)`` of every item found in the folded text,
+    one for each verified band, start and end of its alignment; the best of
+    those that overlap."""
+    if positions is None:
+        grams = qgrams(text, q)
+        at = np.flatnonzero(block.table[_slot(grams)])
+        grams = grams[at]
+        hit = block.grams[np.minimum(np.searchsorted(block.grams, grams), len(block.grams) - 1)] == grams if len(block.grams) else np.zeros(len(grams), bool)
+        at, grams = at[hit], grams[hit]
+    else:
+        at, grams = positions
+    if not len(at):
+        return []
+    item, band = _bands(len(text), at, grams, block)
     out = []
-    for i, regions in found.items():
-        taken: list[tuple[int, int]] = []
-        for edits, start, end, _ in sorted(regions):
-            if all(end <= s or start >= e for s, e in taken):
-                taken.append((start, end))
+    for i in np.unique(item).tolist():
+        k = int(block.budgets[i])
+        lows = np.sort(band[item == i]) * (k + 1)
+        aligned = np.concatenate([banded_alignments(block.texts[i], text, some, 2 * (k + 1), k) for some in np.array_split(lows, -(-len(lows) // ALIGNED))])
+        # The best first; of those that overlap one.
+        regions = sorted({tuple(r) for r in aligned.tolist() if r[0] <= k})
+        starts: list[int] = []
+        ends: list[int] = []
+        for edits, start, end in regions:
+            at_ = bisect_left(starts, end)
+            if at_ == 0 or ends[at_ - 1] <= start:
+                starts.insert(at_, start)
+                ends.insert(at_, end)
                 out.append((i, start, end, edits))
     return sorted(out)
 

@@ -1,8 +1,13 @@
 """The q-gram filter and banded alignment against full edit distance."""
 
 import random
+import time
+import tracemalloc
+
+import pytest
 
 import corpus_pipeline
+from orderflow.llm import decontaminate
 from orderflow.llm.decontaminate import contaminated_ids, contaminated_regions, edit_budget, fold, item_blocks, keep_uncontaminated, matches
 
 from .helpers import SF, docs
@@ -98,3 +103,31 @@ def test_neighbouring_occurrences_equal_items_and_short_ones(spark):
             assert sorted(tuple(r)[1:] for r in found) == sorted([(i, *p) for i in ids for p in places] + short)
             assert {r.doc_id for r in found} == {1}
     assert [r.doc_id for r in keep_uncontaminated(frame, bench.where("item_id = 9")).collect()] == [2]
+
+
+@pytest.mark.parametrize("letters", [b"a", b"ab", b"abc ", b"abcdef"])
+@pytest.mark.parametrize("window,most", [(64, 1 << 20), (64, 1), (1 << 17, 1)])
+def test_windows_and_looked_up_bands_find_the_same(monkeypatch, letters, window, most):
+    rng = random.Random(len(letters) + window + most)
+    some = lambda n: bytes(rng.choice(letters) for _ in range(n))
+    for _ in range(8):
+        items = [(j, some(rng.randint(8, 120))) for j in range(3)]
+        block = next(item_blocks(items, 8, 0.08, 1 << 20))
+        text = fold(some(rng.randint(0, 600)) + rng.choice(items)[1])
+        want = matches(text, block)
+        with monkeypatch.context() as m:
+            m.setattr(decontaminate, "WINDOW_BYTES", window)
+            m.setattr(decontaminate, "MOST_HITS", most)
+            assert matches(text, block) == want
+
+
+def test_a_text_of_one_letter_takes_bounded_time_and_memory():
+    block = next(item_blocks([(1, b"a" * 300)], 8, 0.08, 1 << 20))
+    sizes, begun = {}, time.monotonic()
+    for n in (50_000, 200_000):
+        tracemalloc.start()
+        found = matches(b"a" * n, block)
+        sizes[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) == n // 300 and all(e - s == 300 and k == 0 for _, s, e, k in found)
+    assert sizes[200_000] < 100 << 20 and time.monotonic() - begun < 60
