@@ -26,10 +26,11 @@ from orderflow.llm.common import stage
 COMPONENTS = 4
 #: Steps of the grid in a unit.
 GRID = 256
-#: Bytes of a centred block.
-BLOCK_BYTES = 4 << 20
+#: Bytes of a centred block at least; blocks grow beyond so many of them, as the
+#: driver plans a product by the numbers of all blocks.
+BLOCK_BYTES, MOST_BLOCKS = 512 << 10, 1 << 20
 #: Blocks of one product that meet in a task.
-BLOCKS_A_TASK = 8
+BLOCKS_A_TASK = 32
 #: Eigenvalues below this share of the largest one, times the dimension, are
 #: rounding noise of a zero: such a component cannot be scaled.
 NOISE = 1e-14
@@ -177,7 +178,7 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         return spark.createDataFrame([], schema)
     held = stage(rows.where(F.size("vector") == d).mapInArrow(_on_grid(d), f"vec_id {id_type}, x binary"), "vectors")
 
-    per_block = max(1, BLOCK_BYTES // (8 * d))
+    per_block = max(1, BLOCK_BYTES // (8 * d), held.count() // MOST_BLOCKS)
     blocks = stage(held.select("x").distinct().mapInArrow(_blocks(per_block), "part long, place long, xs array<binary>"), "vector_blocks")
     n_blocks, most = blocks.agg(F.count("*"), F.coalesce(F.max("place"), F.lit(0)) + 1).first()
     totals = _by_place(blocks.mapInArrow(_sums(d), "at long, total long").withColumn("at", F.col("at") + 1), d + 1, np.int64)
