@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -110,3 +111,35 @@ def test_sections_without_article():
     assert main_text(f"<div>{menu}<div>{first}</div>{ad}<div>{second}</div>{menu}</div>") == want
     assert main_text(f"<div><div>{first}</div><div><a href=/c>{part}</a>{second}</div></div>") == want
     assert main_text(f"<div>{menu}<article>{first}</article></div><div>{second}</div>") == many
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("See <span class='share'>the share</span> of votes.", "See the share of votes."),
+        ("The <span class='ad'>ad</span> market grew.", "The ad market grew."),
+        ("Kept <del hidden>gone</del> end", "Kept end"),
+        (f"<p class=byline>By A. Writer, staff.</p><p>{LONG}", f"By A. Writer, staff.\n{LONG}"),
+        (f"<p>{LONG}</p><div class='widget'><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+        (f"<div><span class=ad>Buy <b>now</b></span></div><p>{LONG}", LONG),
+        (f"<p>{LONG}</p><x-slot class='advert'>Buy</x-slot><p>{LONG}", f"{LONG}\n{LONG}"),
+    ],
+)
+def test_marks_inside_a_line(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, chars",
+    [
+        ("<div><p>text, here</p>" * 20_000, 20_000 * 11 - 1),
+        ("x<b>" * 50_000, 50_000),
+        ("<div class=ad>x" * 30_000, 0),
+        ("<div>" * 100_000 + "text, here", 10),
+        ("<p><i>a</i></b></q>" * 20_000, 39_999),
+    ],
+)
+def test_time_does_not_grow_with_depth(page, chars):
+    begun = time.monotonic()
+    assert len(main_text(page)) == chars
+    assert time.monotonic() - begun < 15
