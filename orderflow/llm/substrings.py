@@ -38,7 +38,7 @@ from orderflow.session import new_work_dir
 #: Words in a window.
 WINDOW = 13
 #: Bytes of text in a piece: bounds a task's memory.
-PIECE_BYTES = 24 << 20
+PIECE_BYTES = 12 << 20
 #: Bytes of text split into words at a time.
 SPLIT_BYTES = 2 << 20
 #: Cells of a sketch row for each window of the corpus (rounded up to a power of two).
@@ -76,7 +76,7 @@ def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     data = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), data.alias("data"))
     size, n = rows.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0)), F.count("*")).first()
-    buckets = min(MOST_BUCKETS, max(8, 2 * (size + 16 * n) // PIECE_BYTES))
+    buckets = min(MOST_BUCKETS, max(8, 4 * (size + 16 * n) // PIECE_BYTES))
     name = f"pieces_{uuid.uuid4().hex}"
     dealt = rows.mapInArrow(_deal, "piece long, seq long, doc_id long, data binary, n_words long")
     dealt.write.bucketBy(buckets, "piece").option("path", f"{new_work_dir(spark, 'pieces')}/pieces").saveAsTable(name)
