@@ -25,6 +25,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -73,10 +74,23 @@ class StageResult:
     frames: dict[str, DataFrame] = field(default_factory=dict)
 
 
+class Finished(Protocol):
+    """Remembers finished outputs of a run (``releases.Ledger``)."""
+
+    work: str
+
+    def once(self, name: str, job: Callable[[], Mapping | None]) -> Mapping: ...
+
+
+def _once(ledger: Finished | None, name: str, job: Callable[[], Mapping | None]) -> Mapping:
+    return (job() or {}) if ledger is None else ledger.once(name, job)
+
+
 def _write_all(
     outputs: Mapping[str, tuple[DataFrame, str]],
     result: StageResult,
     partition_by: Mapping[str, tuple[str, ...]] | None = None,
+    ledger: Finished | None = None,
 ) -> None:
     layout = partition_by or {}
     spark = next(iter(outputs.values()))[0].sparkSession if outputs else None
@@ -87,30 +101,41 @@ def _write_all(
         else:
             io.write_parquet(df, path)
 
-    run_concurrently({n: (lambda n=n, df=df, path=path: write(n, df, path)) for n, (df, path) in outputs.items()}, spark)
+    def job(name: str, df: DataFrame, path: str) -> Callable[[], object]:
+        return lambda: _once(ledger, name, lambda: write(name, df, path))
+
+    run_concurrently({n: job(n, df, path) for n, (df, path) in outputs.items()}, spark)
     for n, (_, path) in outputs.items():
         result.outputs[n] = path
 
 
-def process_raw(spark: SparkSession, raw: Mapping[str, DataFrame], zones: io.Zones) -> StageResult:
-    """Standardise, validate, split and summarise each raw entity."""
+def process_raw(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame | Callable[[], DataFrame]],
+    zones: io.Zones,
+    ledger: Finished | None = None,
+) -> StageResult:
+    """Standardise, validate, split and summarise each raw entity. A raw
+    table may be given as a function that reads it; with a ``ledger``, entities
+    that it says are finished are neither read nor written."""
     result = StageResult()
 
-    def process(name: str, df: DataFrame) -> Callable[[], dict]:
+    def process(name: str, given: DataFrame | Callable[[], DataFrame]) -> Callable[[], Mapping]:
         def job() -> dict:
+            df = given if isinstance(given, DataFrame) else given()
             obs = Observation(f"validation_{name}_{uuid.uuid4().hex[:8]}")  # unique per run
             validated = validate(df, ENTITIES[name])
             io.write_processed(validated.observe(obs, *status_counts_exprs()), zones.processed(name))
             return obs.get
 
-        return job
+        return lambda: _once(ledger, f"processed_{name}", job)
 
     counts = run_concurrently({name: process(name, df) for name, df in raw.items()}, spark)
     for name in counts:
         result.outputs[f"valid_{name}"] = zones.valid(name)
         result.outputs[f"invalid_{name}"] = zones.quarantine(name)
     summary = validation_summary_from_counts(spark, counts)
-    io.write_parquet(summary.coalesce(1), zones.validation_summary)
+    _once(ledger, "validation_summary", lambda: io.write_parquet(summary.coalesce(1), zones.validation_summary))
     result.outputs["validation_summary"] = zones.validation_summary
     result.frames["validation_summary"] = io.read_parquet(spark, zones.validation_summary)
     return result
@@ -120,12 +145,24 @@ def curate(
     spark: SparkSession,
     zones: io.Zones,
     partition_by: Mapping[str, tuple[str, ...]] | None = None,
+    ledger: Finished | None = None,
 ) -> StageResult:
     """Dedup, referential integrity, enrichment, marts, star schema.
 
     Curated tables are unpartitioned unless ``partition_by`` names columns
-    for an output (e.g. ``{"sales_summary": ("order_date_cleaned",)}``)."""
+    for an output (e.g. ``{"sales_summary": ("order_date_cleaned",)}``). With a
+    ``ledger`` the intermediate tables of a broken run stay, and it goes on with
+    the outputs that are missing."""
     result = StageResult()
+    if ledger is not None:
+
+        def job() -> dict:
+            _curate_in(spark, zones, ledger.work, result, partition_by, ledger)
+            return result.outputs
+
+        result.outputs = dict(ledger.once("curated", job))
+        remove_dir(spark, ledger.work)  # with the markers of what is in it
+        return result
     work = new_work_dir(spark, "curate")
     try:
         _curate_in(spark, zones, work, result, partition_by)
@@ -134,18 +171,26 @@ def curate(
     return result
 
 
-def _curate_in(spark: SparkSession, zones: io.Zones, work: str, result: StageResult, partition_by: Mapping[str, tuple[str, ...]] | None) -> None:
+def _curate_in(
+    spark: SparkSession,
+    zones: io.Zones,
+    work: str,
+    result: StageResult,
+    partition_by: Mapping[str, tuple[str, ...]] | None,
+    ledger: Finished | None = None,
+) -> None:
     valid = {name: io.read_valid(spark, zones.processed(name), name) for name in ENTITIES}
     result.frames["duplicate_summary_before"] = duplicate_summary({n: (df, ENTITIES[n].key) for n, df in valid.items()})
     deduped = {n: dedup_valid(df, ENTITIES[n]) for n, df in valid.items()}
 
     # The parents are the join inputs of the orders and the curated dims.
     dims = {"customers": marts.dim_customers(deduped["customers"]), "products": marts.dim_products(deduped["products"])}
-    run_concurrently({n: (lambda df=df, n=n: io.write_parquet(df, f"{work}/{n}")) for n, df in dims.items()}, spark)
+    run_concurrently({n: (lambda df=df, n=n: _once(ledger, f"work/{n}", lambda: io.write_parquet(df, f"{work}/{n}"))) for n, df in dims.items()}, spark)
     customers, products = (io.read_parquet(spark, f"{work}/{n}", dims[n].schema) for n in dims)
 
     # Partitioned by the two presence flags: the orphan outputs and the marts
-    # each read only their own files. The verdict is the same on every row and
+    # each read only their own files. The dedup has dealt the rows out evenly,
+    # and a task writes at most four files. The verdict is the same on every row and
     # is put back where it is published.
     order_cols = deduped["orders"].columns
     verdict = {STATUS_COLUMN: F.lit(VALID), REASON_COLUMN: F.lit(None).cast("string")}
@@ -153,7 +198,7 @@ def _curate_in(spark: SparkSession, zones: io.Zones, work: str, result: StageRes
         deduped["orders"].drop(*verdict), customers, products, marts.ORDER_CUSTOMER_ATTRS, marts.ORDER_PRODUCT_ATTRS
     )
     flags = (marts.HAS_CUSTOMER, marts.HAS_PRODUCT)
-    io.write_partitioned(tag_df, f"{work}/tagged", flags)
+    _once(ledger, "work/tagged", lambda: io.write_parquet(tag_df, f"{work}/tagged", flags))
     tagged = io.read_parquet(spark, f"{work}/tagged", tag_df.schema)
 
     # Orphans before the curated tables; an order missing both parents lands
@@ -165,7 +210,7 @@ def _curate_in(spark: SparkSession, zones: io.Zones, work: str, result: StageRes
     ):
         lost = tagged.where(~F.col(flag)).withColumns(verdict)
         orphans[f"orphan_{parent}"] = (key_first(lost, key, order_cols), zones.orphans(parent))
-    _write_all(orphans, result)
+    _write_all(orphans, result, ledger=ledger)
 
     measured = marts.add_measures(marts.retained(tagged))
     curated = {
@@ -176,15 +221,13 @@ def _curate_in(spark: SparkSession, zones: io.Zones, work: str, result: StageRes
         "sales_summary": marts.sales_summary(measured),
         "fact_orders": marts.fact_orders(measured),
     }
-    _write_all({n: (df, zones.curated(n)) for n, df in curated.items()}, result, partition_by)
+    _write_all({n: (df, zones.curated(n)) for n, df in curated.items()}, result, partition_by, ledger)
 
-    # Written now: three rows, from tables that go with the work folder.
+    # Computed now, from tables that go with the work folder: three rows.
     after = duplicate_summary(
         {"customers": (customers, ENTITIES["customers"].key), "products": (products, ENTITIES["products"].key), "orders": (tagged, ORDERS.key)}
     )
-    path = f"{new_work_dir(spark, 'summary')}/duplicate_summary_after"
-    io.write_parquet(after, path)
-    result.frames["duplicate_summary_after"] = io.read_parquet(spark, path, after.schema)
+    result.frames["duplicate_summary_after"] = spark.createDataFrame(after.collect(), after.schema)
 
 
 def run(
