@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators import integrity, marts, summary
@@ -39,18 +39,13 @@ def _std_long(targets, upto: str) -> Query:
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         ws = Workspace.of(spark, sf_dir)
-        frames = []
+        by_entity: dict[str, list[Column]] = {}
         for entity, column in targets:
             f = ENTITIES[entity].field(column)
-            frames.append(
-                ws.raw(entity).select(
-                    F.lit(entity).alias("entity"),
-                    F.lit(column).alias("column_name"),
-                    F.col(f.raw).alias("raw_value"),
-                    f.expr(upto).alias("std_value"),
-                )
-            )
-        return summary.union_all(frames)
+            row = F.struct(F.lit(entity).alias("entity"), F.lit(column).alias("column_name"), F.col(f.raw).alias("raw_value"), f.expr(upto).alias("std_value"))
+            by_entity.setdefault(entity, []).append(row)
+        # One scan a table, whatever the number of its columns.
+        return summary.union_all([ws.raw(entity).select(F.inline(F.array(*rows))) for entity, rows in by_entity.items()])
 
     return q
 
@@ -68,15 +63,12 @@ def _parse(entity: str, column: str) -> Query:
 
 def _sentinels(entity: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spec = ENTITIES[entity]
-        raw = Workspace.of(spark, sf_dir).raw(entity)
-        return summary.union_all(
-            [
-                raw.select(F.lit(f.name).alias("column_name"), F.col(f.raw).alias("raw_value"), f.expr().alias("std_value"))
-                for f in spec.fields
-                if f.sentinels is not None
-            ]
-        )
+        rows = [
+            F.struct(F.lit(f.name).alias("column_name"), F.col(f.raw).alias("raw_value"), f.expr().alias("std_value"))
+            for f in ENTITIES[entity].fields
+            if f.sentinels is not None
+        ]
+        return Workspace.of(spark, sf_dir).raw(entity).select(F.inline(F.array(*rows)))
 
     return q
 
@@ -152,6 +144,41 @@ def _etl(name: str) -> Query:
     return q
 
 
+def _release(name: str) -> Query:
+    """A table that the manifest of a published run names."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(Workspace.of(spark, sf_dir).release()[name])
+
+    return q
+
+
+def _malformed(entity: str) -> Query:
+    """The quarantined lines with too few or too many fields."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(Workspace.of(spark, sf_dir).malformed_run().outputs[f"malformed_{entity}"])
+
+    return q
+
+
+def _well_formed(entity: str) -> Query:
+    """What stage 1 makes of the other lines (valid and quarantined rows)."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        outputs = Workspace.of(spark, sf_dir).malformed_run().outputs
+        return spark.read.parquet(outputs[f"valid_{entity}"]).unionByName(spark.read.parquet(outputs[f"invalid_{entity}"]))
+
+    return q
+
+
+def malformed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed lines a table, counted while stage 1 writes (their rows go on)."""
+    ws = Workspace.of(spark, sf_dir)
+    raw = {n: io.read_csv(spark, ws.malformed_csv_path(n), mark_malformed=True) for n in ENTITIES}
+    return stages.process_raw(spark, raw, io.Zones(new_work_dir(spark, "malformed"))).frames["malformed_summary"]
+
+
 def curate_plain_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E2 over processed tables that have no verdict columns."""
     zones = Workspace.of(spark, sf_dir).plain_processed()
@@ -224,6 +251,12 @@ QUERIES: dict[str, Query] = {
     "etl_output_counts": etl_output_counts,
     **{f"etl_{name}": _etl(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS)},
     **{f"published_{kind}_{n}": _etl(f"{kind}_{n}") for kind in ("valid", "invalid") for n in ENTITIES},
+    **{f"release_{name}": _release(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS, "validation_summary")},
+    "csv_malformed_lines": _malformed("orders"),
+    "csv_malformed_lines_customers": _malformed("customers"),
+    "csv_malformed_lines_products": _malformed("products"),
+    **{f"csv_well_formed_{n}": _well_formed(n) for n in ENTITIES},
+    "malformed_summary": malformed_summary,
     "curate_plain_processed": curate_plain_processed,
     "csv_mixed_headers": _csv_mixed_headers("customers"),
     "csv_mixed_headers_products": _csv_mixed_headers("products"),

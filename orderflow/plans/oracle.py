@@ -355,6 +355,32 @@ _IDS = [
 ]
 
 
+# Lines with a field too few and too many, by conditions on the raw columns.
+_MALFORMED = {
+    "customers": ("country = 'uk'", "country = 'es'"),
+    "products": ("category = 'book'", "category = 'clothes'"),
+    "orders": ("order_status = 'pending '", "order_status = 'lost'"),
+}
+
+
+def _malformed_lines(entity: str) -> str:
+    cols = _RAW_COLS[entity]
+    quoted = [f"'\"' || coalesce({c}, '') || '\"'" for c in cols]
+    few, many = _MALFORMED[entity]
+    return (
+        f"SELECT concat_ws(',', {', '.join(quoted[:-1])}) AS line, CAST({len(cols) - 1} AS INTEGER) AS n_fields, 'TOO_FEW_FIELDS' AS error FROM raw_{entity} WHERE {few} "
+        f"UNION ALL SELECT concat_ws(',', {', '.join(quoted)}, 'more'), {len(cols) + 1}, 'TOO_MANY_FIELDS' FROM raw_{entity} WHERE {many}"
+    )
+
+
+def _well_formed(entity: str, cols: str) -> str:
+    few, many = _MALFORMED[entity]
+    raw = f"raw_{entity} AS ({_fixture(entity)})"
+    rest = f"raw_{entity} AS (SELECT * FROM ({_fixture(entity)}) WHERE NOT coalesce({few}, false) AND NOT coalesce({many}, false))"
+    assert raw in CTES
+    return f"WITH {CTES.replace(raw, rest)}\nSELECT {cols} FROM val_{entity}"
+
+
 ORACLE: dict[str, str] = {
     # S1-S8
     "csv_roundtrip_customers": _with(_csv("customers", _RAW_COLS["customers"])),
@@ -384,6 +410,23 @@ ORACLE: dict[str, str] = {
         for kind in ("valid", "invalid")
         for e, cols in (("customers", CUSTOMER_COLS), ("products", PRODUCT_COLS), ("orders", ORDER_COLS))
     },
+    **{
+        f"release_{t}": _with(f"SELECT * FROM {src}")
+        for t, src in (
+            ("orphan_customers", "orphan_c"),
+            ("orphan_products", "orphan_p"),
+            *((t, t) for t in ("customer_metrics", "product_metrics", "sales_summary", "dim_customers", "dim_products", "fact_orders", "validation_summary")),
+        )
+    },
+    "csv_malformed_lines": _with(_malformed_lines("orders")),
+    "csv_malformed_lines_customers": _with(_malformed_lines("customers")),
+    "csv_malformed_lines_products": _with(_malformed_lines("products")),
+    **{
+        f"csv_well_formed_{e}": _well_formed(e, cols) for e, cols in (("customers", CUSTOMER_COLS), ("products", PRODUCT_COLS), ("orders", ORDER_COLS))
+    },
+    "malformed_summary": _with(
+        " UNION ALL ".join(f"SELECT '{e}' AS dataset, count(*) AS malformed_count FROM raw_{e} WHERE {few} OR {many}" for e, (few, many) in _MALFORMED.items())
+    ),
     "curate_plain_processed": _with("SELECT * FROM sales_summary"),
     "csv_mixed_headers": _with(f"SELECT {CUSTOMER_COLS} FROM val_customers"),
     "csv_mixed_headers_products": _with(f"SELECT {PRODUCT_COLS} FROM val_products"),

@@ -40,6 +40,7 @@ from orderflow.session import new_work_dir, remove_dir
 from orderflow.sources import io
 from orderflow.specs import ENTITIES, ORDERS, REASON_COLUMN, STATUS_COLUMN, VALID
 
+MALFORMED_COUNT = "Malformed_count"
 ORPHAN_OUTPUTS = ("orphan_customers", "orphan_products")
 CURATED_OUTPUTS = (
     "customer_metrics",
@@ -114,19 +115,34 @@ def process_raw(
     raw: Mapping[str, DataFrame | Callable[[], DataFrame]],
     zones: io.Zones,
     ledger: Finished | None = None,
+    quarantine_malformed: bool = False,
 ) -> StageResult:
     """Standardise, validate, split and summarise each raw entity. A raw
     table may be given as a function that reads it; with a ``ledger``, entities
-    that it says are finished are neither read nor written."""
+    that it says are finished are neither read nor written.
+
+    Where the raw tables mark malformed lines (``io.read_csv``), these are
+    counted in the same job (``malformed_summary``) and their rows, padded or
+    cut, go on; with ``quarantine_malformed`` the lines are written to a
+    quarantine of their own instead (one more scan), and no row is made of them."""
     result = StageResult()
 
     def process(name: str, given: DataFrame | Callable[[], DataFrame]) -> Callable[[], Mapping]:
         def job() -> dict:
             df = given if isinstance(given, DataFrame) else given()
+            marked, apart = io.MALFORMED in df.columns, {}
+            if marked and quarantine_malformed:
+                seen = Observation(f"malformed_{name}_{uuid.uuid4().hex[:8]}")
+                lines = io.malformed_lines(df).observe(seen, F.count(F.lit(1)).alias(MALFORMED_COUNT))
+                io.write_parquet(lines, zones.malformed(name))
+                apart = seen.get
+                df = df.where(F.col(io.MALFORMED).isNull())
             obs = Observation(f"validation_{name}_{uuid.uuid4().hex[:8]}")  # unique per run
             validated = validate(df, ENTITIES[name])
-            io.write_processed(validated.observe(obs, *status_counts_exprs()), zones.processed(name))
-            return obs.get
+            counted = [F.count_if(F.col(io.MALFORMED).isNotNull()).alias(MALFORMED_COUNT)] if marked and not apart else []
+            observed = validated.observe(obs, *status_counts_exprs(), *counted)
+            io.write_processed(observed.drop(io.MALFORMED), zones.processed(name))
+            return {**obs.get, **apart}
 
         return lambda: _once(ledger, f"processed_{name}", job)
 
@@ -134,6 +150,11 @@ def process_raw(
     for name in counts:
         result.outputs[f"valid_{name}"] = zones.valid(name)
         result.outputs[f"invalid_{name}"] = zones.quarantine(name)
+        if MALFORMED_COUNT in counts[name] and quarantine_malformed:
+            result.outputs[f"malformed_{name}"] = zones.malformed(name)
+    malformed = [(name, int(c[MALFORMED_COUNT])) for name, c in counts.items() if MALFORMED_COUNT in c]
+    if malformed:
+        result.frames["malformed_summary"] = spark.createDataFrame(malformed, "dataset string, malformed_count bigint")
     summary = validation_summary_from_counts(spark, counts)
     _once(ledger, "validation_summary", lambda: io.write_parquet(summary.coalesce(1), zones.validation_summary))
     result.outputs["validation_summary"] = zones.validation_summary

@@ -16,11 +16,12 @@ import threading
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderflow.operators import marts
 from orderflow.operators.dedup import dedup_valid
 from orderflow.operators.validate import validate
-from orderflow.plans import stages
+from orderflow.plans import releases, stages
 from orderflow.session import app_id, new_work_dir
 from orderflow.sources import fixtures, io
 from orderflow.specs import ENTITIES, REASON_COLUMN, STATUS_COLUMN
@@ -128,6 +129,45 @@ class Workspace:
 
         return self._once("etl", run)
 
+    def release(self) -> dict[str, str]:
+        """Paths that the manifest names after a published run over the raw
+        zone of :meth:`etl`."""
+        self.etl()
+        zones = io.Zones(f"{self.zones.root}/release", raw_root=io.Zones(f"{self.zones.root}/etl").raw("").rstrip("/"))
+
+        def run():
+            releases.publish(self.spark, zones)
+            return releases.current(self.spark, zones).outputs
+
+        return self._once("release", run)
+
+    def malformed_csv_path(self, entity: str) -> str:
+        """The raw table as CSV text in which some lines lack their last field
+        and some have one more."""
+        path = self.zones.staging(f"malformed_{entity}")
+
+        def write():
+            raw = self.raw(entity)
+            short, long_ = (F.expr(c) for c in fixtures.MALFORMED_SQL[entity])
+            quoted = [F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"')) for c in raw.columns]
+            line = F.when(short, F.concat_ws(",", *quoted[:-1])).when(long_, F.concat_ws(",", *quoted, F.lit("more"))).otherwise(F.concat_ws(",", *quoted))
+            # One text column whose name is the header; nothing is quoted again.
+            text = raw.select(line.alias(",".join(raw.columns)))
+            io.write_csv(text, path, sep="\u0001", quote="\u0000", escapeQuotes=False)
+
+        self._once(f"malformed:{entity}", write)
+        return path
+
+    def malformed_run(self) -> stages.StageResult:
+        """Stage 1 over the malformed CSV folders with a quarantine for lines."""
+        zones = io.Zones(f"{self.zones.root}/malformed")
+
+        def run():
+            raw = {n: io.read_csv(self.spark, self.malformed_csv_path(n), mark_malformed=True) for n in ENTITIES}
+            return stages.process_raw(self.spark, raw, zones, quarantine_malformed=True)
+
+        return self._once("malformed", run)
+
     def plain_processed(self) -> io.Zones:
         """Processed tables of valid rows only, without verdict columns."""
         zones = io.Zones(f"{self.zones.root}/plain")

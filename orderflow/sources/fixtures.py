@@ -58,6 +58,14 @@ RAW_SQL = {
     "orders": (RAW_ORDERS_SQL, ("lineitem", "orders")),
 }
 
+#: Rows whose CSV line lacks its last field, and rows whose line has one more
+#: (portable conditions on the raw columns).
+MALFORMED_SQL = {
+    "customers": ("coalesce(country = 'uk', false)", "coalesce(country = 'es', false)"),
+    "products": ("coalesce(category = 'book', false)", "coalesce(category = 'clothes', false)"),
+    "orders": ("coalesce(order_status = 'pending ', false)", "coalesce(order_status = 'lost', false)"),
+}
+
 # Columns each source table contributes (so the parquet scan reads only them).
 _SOURCE_COLUMNS = {
     "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal"),

@@ -12,14 +12,14 @@ in the files, the split is not).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderflow.specs import ENTITIES, REASON_COLUMN, STATUS_COLUMN, VALID
 
@@ -28,7 +28,11 @@ VALID_SPLIT, QUARANTINE_SPLIT = "valid", "quarantine"
 
 
 # --- S1: CSV -------------------------------------------------------------
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
+#: Text of a line with too few or too many fields, on request.
+MALFORMED = "_malformed_line"
+
+
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, *, mark_malformed: bool = False) -> DataFrame:
     """All-string CSV with a header row. Types are never inferred; empty and
     quoted-empty fields read as null.
 
@@ -36,15 +40,50 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     files differ in the order or the names of their columns fails instead of
     binding by position. Folders that differ from each other are given as a
     list and are bound by name (in the first one's order; ``Customer_ID`` and
-    ``customer_id`` are one name unless the session is case-sensitive)."""
+    ``customer_id`` are one name unless the session is case-sensitive); a
+    folder that lacks a column of another one is an error.
+
+    Short lines are padded with nulls and long ones cut. With
+    ``mark_malformed`` the column ``_malformed_line`` holds the text of such a
+    line (see :func:`malformed_lines`) and is null for the others."""
     if not isinstance(path, str):
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read_csv(spark, p, schema) for p in path])
+        frames = {p: read_csv(spark, p, schema, mark_malformed=mark_malformed) for p in path}
+        _check_same_columns(spark, frames)
+        return reduce(DataFrame.unionByName, frames.values())
     reader = spark.read.option("header", True).option("inferSchema", False)
     known = schema or reader.csv(path).schema
+    if mark_malformed:
+        # All fields are parsed whatever the plan reads, or a line's length
+        # could not be told.
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+        first = F.col(f"`{known.names[0]}`")
+        known = StructType([*known.fields, StructField(MALFORMED, StringType())])
+        marked = reader.schema(known).option("enforceSchema", False).csv(path)
+        # Spark refuses to read the marks without any field.
+        return marked.withColumn(MALFORMED, F.when(F.length(F.coalesce(first, F.lit(""))) >= 0, F.col(MALFORMED)))
     return reader.schema(known).option("enforceSchema", False).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def _check_same_columns(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:
+    sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+    names = {p: {c if sensitive else c.lower() for c in df.columns} for p, df in frames.items()}
+    every = set().union(*names.values())
+    lacking = [f"{p}: {sorted(every - own)}" for p, own in names.items() if every - own]
+    if lacking:
+        raise ValueError(f"column(s) missing in {'; '.join(lacking)}")
+
+
+def malformed_lines(marked: DataFrame) -> DataFrame:
+    """``line, n_fields, error`` of the lines that ``mark_malformed`` marked:
+    ``TOO_FEW_FIELDS`` or ``TOO_MANY_FIELDS`` against the header."""
+    line = F.col(MALFORMED)
+    plain = F.regexp_replace(line, r'"(?:[^"\\]|\\.)*"', "")  # separators within quotes are text
+    n_fields = F.regexp_count(plain, F.lit(",")) + 1
+    error = F.when(n_fields < len(marked.columns) - 1, "TOO_FEW_FIELDS").otherwise("TOO_MANY_FIELDS")
+    return marked.where(line.isNotNull()).select(line.alias("line"), n_fields.alias("n_fields"), error.alias("error"))
+
+
+def write_csv(df: DataFrame, path: str, **options: object) -> None:
     """CSV with a header that keeps leading and trailing blanks (the default
     writer would strip what the standardisers are meant to trim)."""
     (
@@ -52,6 +91,7 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .options(**options)
         .csv(path)
     )
 
@@ -118,6 +158,9 @@ class Zones:
     def orphans(self, parent: str) -> str:
         return f"{self._zone(self.processed_root, 'processed')}/quarantine/orphan_{parent}"
 
+    def malformed(self, entity: str) -> str:
+        return f"{self._zone(self.processed_root, 'processed')}/quarantine/malformed_{entity}"
+
     def curated(self, name: str) -> str:
         return f"{self._zone(self.curated_root, 'curated')}/{name}"
 

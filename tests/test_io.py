@@ -3,7 +3,10 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
 
+from orderflow.session import new_work_dir
 from orderflow.sources import io
 
 
@@ -63,3 +66,28 @@ def test_zones_with_one_root_per_zone():
     assert z.raw("orders") == "s3a://raw/orders"
     assert z.validation_summary == "s3a://processed/validation-summary"
     assert z.curated("dim_products") == "s3a://curated/dim_products"
+
+
+def _lines(spark, text):
+    path = f"{new_work_dir(spark, 'lines')}/t"
+    spark.createDataFrame([(line,) for line in text], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_malformed_lines_are_marked_counted_and_told_apart(spark):
+    path = _lines(spark, ["a,b,c", "1,2,3", "4,5", '"x,y",2,"z,"', "1,2,3,4", "1,2,3,", "", '"q', ",,", "7"])
+    plain = io.read_csv(spark, path)
+    marked = io.read_csv(spark, path, mark_malformed=True)
+    assert marked.columns == ["a", "b", "c", io.MALFORMED]
+    assert sorted(map(str, marked.drop(io.MALFORMED).collect())) == sorted(map(str, plain.collect()))  # padded and cut as before
+    got = sorted((r.line, r.n_fields, r.error) for r in io.malformed_lines(marked).collect())
+    assert got == [('"q', 1, "TOO_FEW_FIELDS"), ("1,2,3,", 4, "TOO_MANY_FIELDS"), ("1,2,3,4", 4, "TOO_MANY_FIELDS"), ("4,5", 2, "TOO_FEW_FIELDS"), ("7", 1, "TOO_FEW_FIELDS")]
+    assert marked.select("a").where(F.col(io.MALFORMED).isNotNull()).count() == 5  # whatever columns are read
+
+
+def test_a_folder_that_lacks_a_column_is_an_error(spark):
+    one, two = _lines(spark, ["a,b", "1,2"]), _lines(spark, ["B", "2"])
+    with pytest.raises(ValueError, match=r"missing in .*: \['a'\]"):
+        io.read_csv(spark, [one, two])
+    three = _lines(spark, ["B,A", "4,3"])
+    assert sorted(map(tuple, io.read_csv(spark, [one, three]).collect())) == [("1", "2"), ("3", "4")]
