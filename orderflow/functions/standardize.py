@@ -113,8 +113,8 @@ def map_values(
     is compared with the variants.
 
     The mapping is a handful of literals, so a CASE expression (no join, no
-    shuffle) is the right plan; a mapping with thousands of entries would be a
-    broadcast join against a lookup table instead.
+    shuffle) is the right plan; for a mapping with thousands of entries see
+    :func:`orderflow.operators.lookup.map_from_table`.
     """
     probe = key(c) if key is not None else c
     out = None

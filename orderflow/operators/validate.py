@@ -10,12 +10,13 @@ and works on streaming DataFrames as well.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions import standardize as S
+from orderflow.operators.lookup import map_from_table
 from orderflow.specs import INVALID, REASON_COLUMN, STATUS_COLUMN, VALID, EntitySpec
 
 
@@ -37,8 +38,10 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def standardize(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Apply every field of ``spec``.
+def standardize(df: DataFrame, spec: EntitySpec, lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Apply every field of ``spec``. ``lookups`` gives synonyms of a field as
+    a table (``lookup.map_from_table``) in place of those of the spec; this
+    joins, so it is for tables that a CASE expression cannot hold.
 
     In-place fields keep their position; derived fields are appended in spec
     order; columns the spec does not mention pass through unchanged.
@@ -50,13 +53,22 @@ def standardize(df: DataFrame, spec: EntitySpec) -> DataFrame:
     reference. The projections still fuse into one codegen stage.
     """
     _check_columns(df, spec)
+    lookups = lookups or {}
+    if unknown := sorted(set(lookups) - {f.name for f in spec.fields}):
+        raise ValueError(f"{spec.name}: lookups for unknown field(s) {unknown}")
     tmp = {f.name: f"__std_{i}" for i, f in enumerate(spec.fields)}
     passthrough = [_col(c) for c in df.columns]
     step = df.select(*passthrough, *[f.expr("normalize", _col(f.raw)).alias(tmp[f.name]) for f in spec.fields])
     step = step.select(
         *passthrough,
-        *[(S.map_values(_col(tmp[f.name]), f.synonyms, key=f.synonym_key) if f.synonyms else _col(tmp[f.name])).alias(tmp[f.name]) for f in spec.fields],
+        *[
+            (S.map_values(_col(tmp[f.name]), f.synonyms, key=f.synonym_key) if f.synonyms and f.name not in lookups else _col(tmp[f.name])).alias(tmp[f.name])
+            for f in spec.fields
+        ],
     )
+    for f in spec.fields:
+        if f.name in lookups:
+            step = map_from_table(step, tmp[f.name], lookups[f.name], key=f.synonym_key)
     step = step.select(
         *passthrough,
         *[(S.null_sentinels(_col(tmp[f.name]), f.sentinels) if f.sentinels is not None else _col(tmp[f.name])).alias(tmp[f.name]) for f in spec.fields],
@@ -97,10 +109,10 @@ def validate_standardized(df: DataFrame, spec: EntitySpec) -> DataFrame:
     return with_reason.select(*out_cols)
 
 
-def validate(df: DataFrame, spec: EntitySpec) -> DataFrame:
+def validate(df: DataFrame, spec: EntitySpec, lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Raw all-string rows -> standardised rows + ``record_status`` +
-    ``error_reason``."""
-    return validate_standardized(standardize(df, spec), spec)
+    ``error_reason``. ``lookups``: see :func:`standardize`."""
+    return validate_standardized(standardize(df, spec, lookups), spec)
 
 
 def rule_codes(df: DataFrame, spec: EntitySpec, rule_name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.operators import integrity, marts, summary
+from orderflow.operators import integrity, lookup, marts, summary
 from orderflow.operators.validate import rule_codes, validate
 from orderflow.plans import stages
 from orderflow.plans.workspace import Workspace
@@ -50,6 +50,30 @@ def _std_long(targets, upto: str) -> Query:
     return q
 
 
+def _mapped_by_table(entity: str, column: str) -> Query:
+    """P9-P11 with the synonyms in a table: (entity, column_name, raw_value,
+    std_value) before sentinels."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        f = ENTITIES[entity].field(column)
+        rows = Workspace.of(spark, sf_dir).raw(entity).select(
+            F.lit(entity).alias("entity"), F.lit(column).alias("column_name"), F.col(f.raw).alias("raw_value"), f.expr("normalize").alias("std_value")
+        )
+        return lookup.map_from_table(rows, "std_value", lookup.lookup_table(spark, f.synonyms), key=f.synonym_key)
+
+    return q
+
+
+def _validated_by_table(entity: str, column: str) -> Query:
+    """The whole entity validated with the synonyms of a field in a table."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = ENTITIES[entity]
+        return validate(Workspace.of(spark, sf_dir).raw(entity), spec, {column: lookup.lookup_table(spark, spec.field(column).synonyms)})
+
+    return q
+
+
 def _parse(entity: str, column: str) -> Query:
     """(raw_value, parsed_value) of one parsing field."""
 
@@ -275,6 +299,12 @@ QUERIES: dict[str, Query] = {
     "map_country": _std_long((("customers", "country"),), "synonyms"),
     "map_category": _std_long((("products", "category"),), "synonyms"),
     "map_order_status": _std_long((("orders", "order_status"),), "synonyms"),
+    "map_country_table": _mapped_by_table("customers", "country"),
+    "map_category_table": _mapped_by_table("products", "category"),
+    "map_order_status_table": _mapped_by_table("orders", "order_status"),
+    "validate_customers_table": _validated_by_table("customers", "country"),
+    "validate_products_table": _validated_by_table("products", "category"),
+    "validate_orders_table": _validated_by_table("orders", "order_status"),
     "null_sentinels_customers": _sentinels("customers"),
     "null_sentinels_products": _sentinels("products"),
     "null_sentinels_orders": _sentinels("orders"),

@@ -538,3 +538,6 @@ ORACLE: dict[str, str] = {
     "dim_customers": _with("SELECT * FROM dim_customers"),
     "dim_products": _with("SELECT * FROM dim_products"),
 }
+
+# The same results with the synonyms in a table.
+ORACLE.update({f"{q}_table": ORACLE[q] for q in ("map_country", "map_category", "map_order_status", "validate_customers", "validate_products", "validate_orders")})

@@ -64,6 +64,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     return reader.schema(known).option("enforceSchema", False).csv(path)
 
 
+def read_csv_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """:func:`read_csv` of some files of a folder: all have the first one's
+    header."""
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    return reader.schema(reader.csv(paths[0]).schema).option("enforceSchema", False).csv(list(paths))
+
+
 def _check_same_columns(spark: SparkSession, frames: Mapping[str, DataFrame]) -> None:
     sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
     names = {p: {c if sensitive else c.lower() for c in df.columns} for p, df in frames.items()}
