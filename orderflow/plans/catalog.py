@@ -177,6 +177,15 @@ def _release(name: str) -> Query:
     return q
 
 
+def _batches(name: str) -> Query:
+    """A table of the release after the raw files came in two batches."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(Workspace.of(spark, sf_dir).batches()[name])
+
+    return q
+
+
 def _malformed(entity: str) -> Query:
     """The quarantined lines with too few or too many fields."""
 
@@ -276,6 +285,7 @@ QUERIES: dict[str, Query] = {
     **{f"etl_{name}": _etl(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS)},
     **{f"published_{kind}_{n}": _etl(f"{kind}_{n}") for kind in ("valid", "invalid") for n in ENTITIES},
     **{f"release_{name}": _release(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS, "validation_summary")},
+    **{f"batches_{name}": _batches(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS)},
     "csv_malformed_lines": _malformed("orders"),
     "csv_malformed_lines_customers": _malformed("customers"),
     "csv_malformed_lines_products": _malformed("products"),

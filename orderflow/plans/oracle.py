@@ -539,5 +539,8 @@ ORACLE: dict[str, str] = {
     "dim_products": _with("SELECT * FROM dim_products"),
 }
 
+# The same tables after two batches as after one run.
+ORACLE.update({f"batches_{q[4:]}": ORACLE[q] for q in list(ORACLE) if q.startswith("etl_") and q != "etl_output_counts"})
+
 # The same results with the synonyms in a table.
 ORACLE.update({f"{q}_table": ORACLE[q] for q in ("map_country", "map_category", "map_order_status", "validate_customers", "validate_products", "validate_orders")})

@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +58,8 @@ class Release:
     run: str
     outputs: dict[str, str]
     earlier: tuple[str, ...] = ()
+    #: Raw files read so far by batches (``increments``), by entity.
+    consumed: dict[str, list[list]] = field(default_factory=dict)
 
 
 def _manifest(zones: io.Zones) -> str:
@@ -67,7 +69,7 @@ def _manifest(zones: io.Zones) -> str:
 def current(spark: SparkSession, zones: io.Zones) -> Release | None:
     """The release that the manifest names, or None before the first one."""
     held = files.read_json(spark, _manifest(zones))
-    return held and Release(held["run"], held["outputs"], tuple(held["earlier"]))
+    return held and Release(held["run"], held["outputs"], tuple(held["earlier"]), held["consumed"])
 
 
 def read_published(spark: SparkSession, zones: io.Zones, name: str) -> DataFrame:
@@ -114,13 +116,19 @@ def publish(
     second = stages.curate(spark, own, partition_by, ledger)
     result = stages.StageResult({**first.outputs, **second.outputs}, {**first.frames, **second.frames})
 
-    before = current(spark, zones)
-    if before is None or before.run != run:
-        named = [run, *([before.run, *before.earlier] if before else [])]
-        named = list(dict.fromkeys(named))
-        files.write_json(spark, _manifest(zones), {"run": run, "outputs": result.outputs, "earlier": named[1:keep]})
-        for gone in named[max(keep, 1) :]:
-            old = release_zones(zones, gone)
-            for folder in (old.processed_root, old.curated_root):
-                files.delete(spark, folder)
+    switch(spark, zones, run, result.outputs, keep)
     return result
+
+
+def switch(spark: SparkSession, zones: io.Zones, run: str, outputs: Mapping[str, str], keep: int, consumed: Mapping[str, list[list]] | None = None) -> None:
+    """Let the manifest name a finished release, then delete the folders of
+    those it no longer keeps."""
+    before = current(spark, zones)
+    if before is not None and before.run == run:
+        return
+    named = list(dict.fromkeys([run, *([before.run, *before.earlier] if before else [])]))
+    files.write_json(spark, _manifest(zones), {"run": run, "outputs": dict(outputs), "earlier": named[1:keep], "consumed": dict(consumed or {})})
+    for gone in named[max(keep, 1) :]:
+        old = release_zones(zones, gone)
+        for folder in (old.processed_root, old.curated_root):
+            files.delete(spark, folder)
