@@ -6,9 +6,9 @@ word beginning (inflected forms share it) and counts the document's distinct
 words that carry it. Weights are sparse and not negative: words raise the
 severity, and no amount of clean text hides them.
 
-The cut from which a text is rejected is the one that errs least on the sample:
-with clean rows that carry no weight at all, the thresholds alone would ask for
-more words than the labels do.
+The first threshold, from which a text is rejected, is then moved to where it errs
+least on the sample: with clean rows that carry no weight at all, the fitted one
+would ask for more words than the labels do. The others stay at or above it.
 
 Fitting works on a bounded sample of the labelled rows (``max_rows``, those
 with the smallest hash of the id) and on the ``max_features`` features that
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import ids_and_bytes, map_whole_rows, slices
+from orderflow.llm.common import WordCache, ids_and_bytes, map_whole_rows, slices
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 5_000
@@ -44,12 +44,16 @@ _LETTERS = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
 
 @dataclass(frozen=True)
 class SeverityModel:
-    """Sparse weights by feature hash, one threshold per grade above 0, and the
-    sum of weights from which a text is rejected."""
+    """Sparse weights by feature hash and one threshold per grade above 0: the
+    sum of weights from which the grade is as likely as not."""
 
     weights: dict[int, float]
     thresholds: tuple[float, ...]
-    cut: float = math.inf
+
+    @property
+    def cut(self) -> float:
+        """The sum from which a text is rejected."""
+        return self.thresholds[0] if self.thresholds else math.inf
 
 
 def distinct_words(data: bytes | None) -> set[bytes]:
@@ -145,8 +149,8 @@ def fit_severity(
     max_features: int = MAX_FEATURES,
 ) -> SeverityModel:
     """Fit on at most ``max_rows`` labelled documents. Rows with a null id or
-    grade are no labels; of several grades of one id the highest counts. With
-    no labelled document, or one grade only, the model says grade 0 always."""
+    grade are no labels; of several grades of one id the highest counts, of
+    several texts the least. With no labelled document, or one grade only, the model says grade 0 always."""
     spark = docs.sparkSession
     label = labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{grade_col}`").cast("int").alias("grade"))
     label = label.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.max("grade").alias("grade"))
@@ -155,7 +159,7 @@ def fit_severity(
     if not held or max(r.grade for r in held) < 1:
         return SeverityModel({}, ())
     sample = spark.createDataFrame(held, sample.schema)  # max_rows ids at most
-    rows = ids_and_bytes(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")
+    rows = ids_and_bytes(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "grade").agg(F.min("data").alias("data"))
     n, high = rows.agg(F.count("*"), F.count_if(F.col("grade") > 0)).first()
     if not high:
         return SeverityModel({}, ())
@@ -177,34 +181,29 @@ def fit_severity(
     row = np.repeat(np.arange(len(grades)), per_row)
     w, theta = fit_cumulative_link(row, cols, values, grades, len(chosen))
     w[w <= 1e-6] = 0
+    # Calibrated: the first threshold is where rejecting errs least.
     cut = best_cut(np.bincount(row, values * w[cols], len(grades)), grades > 0)
-    return SeverityModel({f: float(w[i]) for f, i in chosen.items() if w[i]}, tuple(map(float, theta)), cut)
-
+    return SeverityModel({f: float(w[i]) for f, i in chosen.items() if w[i]}, (cut, *(max(cut, float(t)) for t in theta[1:])))
 
-class _WordScores(dict):
-    def __init__(self, weights: dict[int, float]):
-        super().__init__()
-        self.weights = weights
 
-    def __missing__(self, word: bytes) -> float:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = sum(self.weights.get(f, 0.0) for f in word_features(word))
-        return value
+def word_scores(model: SeverityModel) -> WordCache:
+    """The weight of each word: the sum of those of its features."""
+    weights = model.weights
+    return WordCache(lambda word: sum(weights.get(f, 0.0) for f in word_features(word)))
 
 
-def weight_sums(scores: _WordScores, texts: list[bytes | None]) -> np.ndarray:
+def weight_sums(scores: WordCache, texts: list[bytes | None]) -> np.ndarray:
     """The summed weights of each text's distinct words."""
     return np.array([sum(map(scores.__getitem__, distinct_words(d))) for d in texts], float)
 
 
 def _scores(model: SeverityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores, theta = _WordScores(model.weights), np.array(model.thresholds)
+        scores, theta = word_scores(model), np.array(model.thresholds)
         for batch in slices(batches, "data", SLICE_BYTES):
             z = weight_sums(scores, batch.column("data").to_pylist())
             above = _sigmoid(z[:, None] - theta) if len(theta) else np.zeros((len(z), 1))
-            grade = np.where(z >= model.cut, np.maximum((above >= 0.5).sum(axis=1), 1), 0)
+            grade = (z[:, None] >= theta).sum(axis=1) if len(theta) else np.zeros(len(z))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(above.sum(axis=1)), pa.array(grade.astype(np.int32)), pa.array(above[:, 0])],
                 names=["doc_id", "severity", "grade", "p_toxic"],
@@ -215,8 +214,8 @@ def _scores(model: SeverityModel):
 
 def score_severity(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row, in any order: ``doc_id``, ``severity`` (expected
-    grade), ``grade`` (the highest that is as likely as not, at least 1 from the
-    model's cut on and 0 below it), ``p_toxic`` (chance of a grade above 0),
+    grade), ``grade`` (the highest that is as likely as not), ``p_toxic`` (chance
+    of a grade above 0),
     ``rejected`` (grade above 0). A null or
     wordless text scores as no evidence; ids may be null or repeat."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -228,7 +227,7 @@ def keep_clean(docs: DataFrame, model: SeverityModel, text_col: str = "text") ->
     """The rows that :func:`score_severity` does not reject, all columns."""
 
     def run(parts):
-        scores = _WordScores(model.weights)
+        scores = word_scores(model)
         for batch, texts in parts:
             yield batch.filter(pa.array(weight_sums(scores, texts) < model.cut)), []
 
