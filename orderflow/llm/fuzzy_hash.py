@@ -9,20 +9,22 @@ whose block sizes are equal or differ by one doubling can be compared: by edit
 distance, scaled to a likeness from 0 to 1.
 
 The neighbour query needs each document's successor by id. Ids are cut into
-ranges at quantiles; every range also gets the first document of the next one
-as a guard row, so the ranges are read side by side and in order, a few rows
-in memory at a time.
+ranges of about ``RANGE_BYTES`` of text; every range also gets the first document
+of the next one as a guard row, so the ranges are read side by side and in
+order, a few rows in memory at a time. The driver sees ids only.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from orderflow.llm.common import ids_and_bytes, slices
 
@@ -30,6 +32,11 @@ WINDOW = 7
 LEAST_BLOCK = 3
 LENGTH = 64
 SLICE_BYTES = 1 << 20
+#: Bytes of text in a range of ids, on average.
+RANGE_BYTES = 16 << 20
+#: Ranges at most (beyond it they hold more bytes: they are sorted and read row
+#: by row, so this bounds the driver's list of bounds, not what is read).
+MOST_RANGES = 20_000
 _DIGITS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
@@ -167,34 +174,52 @@ def _with_successors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             rows = []
 
 
+def _range_of(value: Column, cuts: list) -> Column:
+    """The place of the last of the ascending ``cuts`` that is not above the
+    value: looked for among every ``k``-th first, then between two of these."""
+    if not cuts:
+        return F.lit(-1)
+    k = math.isqrt(len(cuts)) + 1
+    every, some = (F.array(*map(F.lit, c)) for c in (cuts, cuts[::k]))
+    block = F.greatest(F.size(F.filter(some, lambda c: c <= value)), F.lit(1)) - 1
+    within = F.size(F.filter(F.slice(every, block * k + 1, F.lit(k)), lambda c: c <= value))
+    return F.when(value.isNotNull(), block * k + within - 1)
+
+
 def compare_with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next``, where the edited text has
     its last half replaced by the beginning of the next document by ascending
     id, and ``near_next`` compares with that document. The last document is
-    followed by the first; a single one by itself. Null texts are empty; null
-    ids come first; rows of one id are ordered by their text."""
+    followed by the first; a single one by itself. Ids are of any type with an
+    order. Null texts are empty; null ids come first; rows of one id are ordered
+    by their text."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {id_type}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, next_fingerprint string"
     rows = ids_and_bytes(docs, id_col, text_col)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = sorted(set(rows.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []))
-    # Range p holds the ids from cut p - 1 up to cut p; null ids are in the first.
-    at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
-    placed = rows.select(F.coalesce(F.when(F.col("doc_id").isNotNull(), at), F.lit(0)).cast("int").alias("part"), "doc_id", "data")
-    # The first document of each range: its id, then the text of that id.
-    firsts = placed.groupBy("part").agg(F.min("doc_id").alias("least"), F.count_if(F.col("doc_id").isNull()).alias("unnamed")).orderBy("part").collect()
-    least = [r.least for r in firsts if not r.unnamed]
-    wanted = F.col("doc_id").isin(least) if all(r.unnamed == 0 for r in firsts) else F.col("doc_id").isin(least) | F.col("doc_id").isNull()
-    heads = placed.where(wanted).groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "data")).alias("f"))
-    heads = heads.select("part", "f.doc_id", "f.data").orderBy("part").collect()  # a document for each range
-    if not heads:
+    size, n = rows.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0)), F.count("*")).first()
+    parts = min(MOST_RANGES, max(1, -(-(size + 16 * n) // RANGE_BYTES)))
+    # Spark's range exchange of the ids alone gives the least id of each range.
+    least = rows.where("doc_id is not null").select("doc_id").repartitionByRange(parts, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("least"))
+    cuts = sorted(r.least for r in least.collect())
+    # Range p holds the ids from its least one up to that of the next; null ids
+    # are a range of their own, before all others.
+    spark_type = rows.schema["doc_id"].dataType
+    bounds = spark.createDataFrame([(i, c, cuts[i + 1] if i + 1 < len(cuts) else None) for i, c in enumerate(cuts)], StructType([StructField("range", IntegerType()), StructField("low", spark_type), StructField("high", spark_type)]))
+    placed = rows.select(F.coalesce(_range_of(F.col("doc_id"), cuts), F.lit(-1)).cast("int").alias("part"), "doc_id", "data")
+    # The first document of each range, the least text of its least id (of null
+    # ids the least text), is the guard of the range before it.
+    first = placed.join(F.broadcast(bounds), F.col("doc_id") == F.col("low"), "left").where("low is not null or doc_id is null")
+    heads = first.groupBy("part").agg(F.min(F.struct(F.coalesce("data", F.lit(b"")).alias("text"), "doc_id", "data")).alias("f"))
+    unnamed = rows.where("doc_id is null").limit(1).count()  # whether there is one
+    used = [-1] * unnamed + list(range(len(cuts)))
+    if not used:
         return spark.createDataFrame([], schema).withColumns({"near_edited": F.lit(0.0), "near_next": F.lit(0.0)}).drop("next_fingerprint")
-    used = [h.part for h in heads]
-    guards = spark.createDataFrame([(used[i - 1], h.doc_id, h.data) for i, h in enumerate(heads)], placed.schema)
+    before = spark.createDataFrame([(p, used[i - 1]) for i, p in enumerate(used)], "of int, before int")
+    guards = heads.join(F.broadcast(before), F.col("part") == F.col("of")).select(F.col("before").alias("part"), "f.doc_id", "f.data")
     both = placed.withColumn("guard", F.lit(False)).unionByName(guards.withColumn("guard", F.lit(True)))
-    dealt = both.repartition(max(used) + 1, "part").sortWithinPartitions("part", "guard", F.col("doc_id").asc_nulls_first(), "data")
+    dealt = both.repartition(len(used), "part").sortWithinPartitions("part", "guard", F.col("doc_id").asc_nulls_first(), F.coalesce("data", F.lit(b"")))
     found = dealt.select("part", "guard", "doc_id", "data").mapInArrow(_with_successors, schema)
     near = {"near_edited": likeness(F.col("fingerprint"), F.col("edited_fingerprint")), "near_next": likeness(F.col("fingerprint"), F.col("next_fingerprint"))}
     return found.withColumns(near).drop("next_fingerprint")
