@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import slices, stage, words
+from orderflow.llm.common import mix64, slices, stage, words
 
 MAX_ORDER = 5
 BLOCK_BYTES = 16 << 20
@@ -138,7 +138,8 @@ def _block_counts(order: int):
         by_shard: list[list[bytes]] = [[] for _ in range(SHARDS)]
         for w in {*seen, *known}:
             by_shard[zlib.crc32(w) % SHARDS].append(w)
-        of = gram % SHARDS
+        # The low bits of a gram are its last byte: mixed, shards are even.
+        of = (mix64(gram.view(np.uint64)) % np.uint64(SHARDS)).astype(np.int64)
         order_ = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order_], np.arange(SHARDS + 1))
         pa.default_memory_pool().release_unused()
@@ -233,6 +234,8 @@ def _contexts(levels: list[DataFrame]) -> list[DataFrame]:
         rows = level.select("gram", "n", F.shiftright("gram", 8).alias("ctx"))
         if k:
             lower = levels[k - 1].select(F.col("gram").alias("low"), F.col("n").alias("m"))
+            if k < 3:  # at most 65,536 grams
+                lower = F.broadcast(lower)
             rows = rows.join(lower, F.col("gram").bitwiseAND(_mask(k - 1)) == F.col("low"))
         else:
             rows = rows.withColumn("m", F.lit(0).cast("long"))
@@ -251,6 +254,8 @@ def code_lengths(asked: DataFrame, levels: list[DataFrame]) -> DataFrame:
         key = F.col("gram").bitwiseAND(_mask(k))
         node = contexts[k].select(F.col("ctx").alias("at"), "total", "kinds", "below")
         leaf = levels[k].select(F.col("gram").alias("leaf"), F.col("n").alias("c"))
+        if k < 2:  # at most 256 contexts and 65,536 grams: a few keys for all rows
+            node, leaf = F.broadcast(node), F.broadcast(leaf)
         state = state.join(node, F.shiftright(key, 8) == F.col("at"), "left").join(leaf, key == F.col("leaf"), "left")
         known, left = F.col("total").isNotNull(), F.col("kinds") - F.col("kinds_gone")
         mass = F.col("total") - F.col("gone") + left
