@@ -28,7 +28,8 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 LONG_WORD = 48
 BATCH_CELLS = 1 << 16
-CACHE_WORDS = 200_000
+#: Bytes of solved words and their ids that are kept between texts.
+CACHE_BYTES = 64 << 20
 SLICE_BYTES = 1 << 21
 _FILTER_BITS = 18
 _FILTER_SHIFT = np.uint64(64 - _FILTER_BITS)
@@ -122,6 +123,7 @@ class Pieces:
             self.tables[n] = (held, keys[order], np.array([g[1] for g in group])[order], np.array([g[2] for g in group], np.int32)[order])
         self.longest = max(self.tables, default=0)
         self.solved: dict[str, bytes] = {}
+        self._held = 0
 
     def spell(self, char: str) -> list[int]:
         """Byte pieces of a character (``unknown`` where the model has none)."""
@@ -204,8 +206,9 @@ class Pieces:
 
     def solve(self, new: set[str]) -> None:
         """Segment the words (``▁`` for a space) not yet solved."""
-        if len(self.solved) > CACHE_WORDS:
+        if self._held > CACHE_BYTES:
             self.solved.clear()
+            self._held = 0
         by_length: dict[int, list[str]] = {}
         for w in new:
             by_length.setdefault(len(w), []).append(w)
@@ -254,6 +257,7 @@ class Pieces:
             if missing:  # the cache was emptied
                 self.solve(missing)
         get = self.solved.__getitem__
+        self._held += sum(160 + 4 * len(w) + len(get(w)) for w in new)
         return [None if s is None else np.frombuffer(b"".join(map(get, s)), "<i4") for s in split]
 
     def decode(self, ids: np.ndarray | None) -> str | None:
