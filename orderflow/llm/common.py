@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -66,6 +66,36 @@ def map_whole_rows(
     return done.toDF(*docs.columns, *(f.name for f in more))
 
 
+class WordCache(dict):
+    """``value(word)`` of words, kept between documents; emptied before it
+    holds more than ``limit`` bytes."""
+
+    def __init__(self, value: Callable[[bytes], object], limit: int = 48 << 20):
+        super().__init__()
+        self.value, self.limit, self.held = value, limit, 0
+
+    def __missing__(self, word: bytes) -> object:
+        self.held += len(word) + 160  # the word, its value and the entry
+        if self.held > self.limit:
+            self.clear()
+            self.held = len(word) + 160
+        value = self[word] = self.value(word)
+        return value
+
+
+def in_blocks(rows: DataFrame, size: Column, block_bytes: int) -> DataFrame:
+    """Staged ``rows`` with ``item``, a number for each row, and ``block``:
+    rows whose sizes add up to about ``block_bytes`` have the same. Sizes are
+    summed within the parts of the rows, so no task sees all of them."""
+    numbered = stage(rows.withColumns({"size": F.coalesce(size, F.lit(0)).cast("long") + 16, "item": F.monotonically_increasing_id()}), "items")
+    part = F.shiftright("item", 33)
+    sums = numbered.groupBy(part.alias("part")).agg(F.sum("size").alias("whole"))
+    before = sums.select("part", (F.sum("whole").over(Window.orderBy("part")) - F.col("whole")).alias("before"))
+    within = F.sum("size").over(Window.partitionBy("part").orderBy("item"))
+    placed = numbered.withColumn("part", part).join(before, "part").withColumn("block", F.floor((F.col("before") + within) / block_bytes))
+    return stage(placed.drop("part", "before", "size"), "item_blocks")
+
+
 def words(data: bytes | None) -> list[bytes]:
     """Lower-case A-Z; words are runs of bytes other than space and
     ``\\x09-\\x0D`` (what ``bytes.split`` and ``bytes.lower`` do)."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import slices, stage
+from orderflow.llm.common import in_blocks, slices, stage
 
 #: Results for each item.
 TOP = 10
@@ -189,14 +189,7 @@ def rank_documents(
     data = F.col(f"`{text_col}`").cast("string").cast("binary").alias("data")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), data)
     item_type = items.schema[item_col].dataType.simpleString()
-    # Items by number: sizes before a row give its block.
-    numbered = stage(items.select(F.col(f"`{item_col}`").alias("item_id"), data).withColumn("item", F.monotonically_increasing_id()), "items")
-    partition = F.shiftright("item", 33)
-    sizes = numbered.groupBy(partition.alias("p")).agg(F.sum(F.coalesce(F.octet_length("data"), F.lit(0)) + 16).alias("size"))
-    before = sizes.select("p", (F.sum("size").over(Window.orderBy("p")) - F.col("size")).alias("before"))
-    within = F.sum(F.coalesce(F.octet_length("data"), F.lit(0)) + 16).over(Window.partitionBy("p").orderBy("item"))
-    placed = numbered.withColumn("p", partition).join(before, "p").withColumn("block", F.floor((F.col("before") + within) / block_bytes))
-    cut = stage(placed.select("block", "item", "data"), "item_blocks")
+    cut = in_blocks(items.select(F.col(f"`{item_col}`").alias("item_id"), data), F.octet_length("data"), block_bytes)
     counts = stage(rows.select("data").mapInArrow(_count, "term binary, n long, length long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("length").alias("length")), "terms")
     total = counts.where("term is null").first()
     n_docs, n_terms = (total.n, total.length) if total else (0, 0)
@@ -214,4 +207,4 @@ def rank_documents(
         found = ranked if found is None else found.unionByName(ranked)
     if found is None:
         return spark.createDataFrame([], f"item_id {item_type}, rank int, doc_id long, score long")
-    return found.join(numbered.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")
+    return found.join(cut.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")

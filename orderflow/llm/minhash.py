@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import ids_and_bytes, mix64, slices, stage, words
+from orderflow.llm.common import WordCache, ids_and_bytes, mix64, slices, stage, words
 from orderflow.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -34,16 +34,6 @@ PIVOT_GROWTH = 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    """Word hashes, kept between documents; emptied when large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def shingle_set(tokens: list[bytes], hashes: dict, width: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word ``width``-grams; a shorter
     text is one shingle, no words none."""
@@ -102,7 +92,7 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _sketches(bands: int, rows: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes = WordCache(xxhash.xxh64_intdigest)
         for batch in slices(batches, "data", CHUNK_BYTES):
             keys, sizes, sets = [], [], []
             for data in batch.column("data").to_pylist():
@@ -131,7 +121,7 @@ def _sketches(bands: int, rows: int, width: int):
 
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes = WordCache(xxhash.xxh64_intdigest)
         for batch in slices(batches, "data", 4 * CHUNK_BYTES):
             sets = [shingle_set(words(data), hashes, width).view(np.int64) for data in batch.column("data").to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
