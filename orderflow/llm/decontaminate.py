@@ -9,9 +9,9 @@ that meet the bound are verified by banded alignment of the item with the
 region, both lower-cased with white space runs made one space. Items shorter
 than a q-gram are found exactly.
 
-The items are a stated query set: they are laid out in blocks of at most
-``block_bytes`` (one item at least) that are sent to the tasks one after the
-other; the documents are never shuffled for the comparison.
+The items are a stated query set: Spark folds them and writes them in blocks of
+about ``block_bytes`` (one item at least), which are sent to the tasks one after
+the other; the documents are never shuffled for the comparison.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import ids_and_bytes, map_whole_rows, slices
+from orderflow.llm.common import ids_and_bytes, in_blocks, map_whole_rows, slices, stage
 
 Q = 8  # at most 8: one q-gram fills one 64-bit word
 ERROR_RATE = 0.08
@@ -302,30 +302,48 @@ def _matches_of_each(data: list[bytes | None], block: ItemBlock, q: int) -> Iter
             yield t, found
 
 
-def _search(block: ItemBlock, q: int, with_text_id: str, all_ids: bool):
+def _search(block: ItemBlock, q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data", SLICE_BYTES):
-            ids = batch.column("doc_id").to_pylist()
-            rows = [
-                (ids[t], item_id, start, end, edits)
-                for t, found in _matches_of_each(batch.column("data").to_pylist(), block, q)
-                for i, start, end, edits in found
-                for item_id in block.ids[i][: None if all_ids else 1]
-            ]
+            found = [(t, block.ids[i][0], start, end, edits) for t, rows in _matches_of_each(batch.column("data").to_pylist(), block, q) for i, start, end, edits in rows]
+            columns = list(zip(*found, strict=True)) if found else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], batch.schema.field("doc_id").type),
-                    *(pa.array([r[c] for r in rows], t) for c, t in ((1, pa.string() if with_text_id == "string" else pa.int64()), (2, pa.int64()), (3, pa.int64()), (4, pa.int32()))),
-                ],
-                names=["doc_id", "item_id", "region_start", "region_end", "edits"],
+                [batch.column("doc_id").take(pa.array(columns[0], pa.int64())), *(pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True))],
+                names=["doc_id", "item", "region_start", "region_end", "edits"],
             )
 
     return run
 
 
-def _blocks_of(benchmark: DataFrame, item_col: str, item_type: str, item_text_col: str, q: int, error_rate: float, block_bytes: int) -> Iterator[ItemBlock]:
-    items = ((r[0], bytes(r[1]) if r[1] is not None else None) for r in benchmark.select(F.col(f"`{item_col}`").cast(item_type), F.col(f"`{item_text_col}`").cast("string").cast("binary")).toLocalIterator())
-    return item_blocks(list(items), q, error_rate, block_bytes)
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "data", SLICE_BYTES):
+        texts = [fold(d) for d in batch.column("data").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(texts, pa.binary())], names=["item_id", "text"])
+
+
+class _Items:
+    """The benchmark folded, each text once, in numbered blocks: written by
+    Spark, read one block at a time."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, item_text_col: str, q: int, error_rate: float, block_bytes: int) -> None:
+        self.id_type = "string" if benchmark.schema[item_col].dataType.simpleString() == "string" else "bigint"
+        self.q, self.error_rate = q, error_rate
+        items = benchmark.select(F.col(f"`{item_col}`").cast(self.id_type).alias("item_id"), F.col(f"`{item_text_col}`").cast("string").cast("binary").alias("data"))
+        self.folded = items.mapInArrow(_folded, f"item_id {self.id_type}, text binary").where(F.octet_length("text") > 0)
+        once = self.folded.groupBy("text").agg(F.min("item_id").alias("item_id"))
+        self.cut = in_blocks(once, F.octet_length("text"), block_bytes)
+        self.numbers = sorted(r.block for r in self.cut.select("block").distinct().collect())
+
+    def blocks(self) -> Iterator[ItemBlock]:
+        for number in self.numbers:
+            rows = self.cut.where(F.col("block") == number).select("item", "text").orderBy("item").toLocalIterator()
+            yield _block([((r.item,), bytes(r.text)) for r in rows], self.q, self.error_rate)
+
+    def ids(self, every: bool) -> DataFrame:
+        """``item, item_id``: the least id of each text, or all."""
+        if not every:
+            return self.cut.select("item", "item_id")
+        return self.folded.join(self.cut.select("text", "item"), "text").select("item", "item_id").distinct()
 
 
 def contaminated_regions(
@@ -347,15 +365,22 @@ def contaminated_regions(
     Null or empty texts hold nothing; items of fewer than ``q`` bytes are
     found exactly; items that fold to one text count under the smallest id, or
     with ``all_ids`` under each; of occurrences that overlap the best counts; an
-    empty benchmark or document table gives no rows. The driver
-    holds the whole benchmark, and every block is a scan of ``docs``.
+    empty benchmark or document table gives no rows. The driver holds a block
+    of items at a time; every block is a scan of ``docs``, and of several blocks
+    each one's regions are written before the next.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    item_type = "string" if benchmark.schema[item_col].dataType.simpleString() == "string" else "bigint"
-    schema = f"doc_id {id_type}, item_id {item_type}, region_start bigint, region_end bigint, edits int"
+    items = _Items(benchmark, item_col, item_text_col, q, error_rate, block_bytes)
     rows = ids_and_bytes(docs, id_col, text_col).where("data is not null")
-    searched = [rows.mapInArrow(_search(b, q, item_type, all_ids), schema) for b in _blocks_of(benchmark, item_col, item_type, item_text_col, q, error_rate, block_bytes)]
-    return reduce(DataFrame.unionByName, searched) if searched else docs.sparkSession.createDataFrame([], schema)
+    schema = f"doc_id {id_type}, item bigint, region_start bigint, region_end bigint, edits int"
+    parts = []
+    for block in items.blocks():
+        part = rows.mapInArrow(_search(block, q), schema)
+        parts.append(part if len(items.numbers) == 1 else stage(part, "regions"))
+    if not parts:
+        return docs.sparkSession.createDataFrame([], schema.replace("item bigint", f"item_id {items.id_type}"))
+    found = reduce(DataFrame.unionByName, parts)
+    return found.join(items.ids(all_ids), "item").select("doc_id", "item_id", "region_start", "region_end", "edits")
 
 
 def contaminated_ids(regions: DataFrame) -> DataFrame:
@@ -376,9 +401,11 @@ def keep_uncontaminated(
     """The rows of ``docs`` in which :func:`contaminated_regions` finds
     nothing, all columns. Each row is judged by its own text, so ids may be
     null or repeat."""
-    item_type = "string" if benchmark.schema[item_col].dataType.simpleString() == "string" else "bigint"
-    for block in _blocks_of(benchmark, item_col, item_type, item_text_col, q, error_rate, block_bytes):
+    items = _Items(benchmark, item_col, item_text_col, q, error_rate, block_bytes)
+    for k, block in enumerate(items.blocks()):
         docs = map_whole_rows(docs, text_col, _clean_rows(block, q), limit=SLICE_BYTES)
+        if k + 1 < len(items.numbers):
+            docs = stage(docs, "uncontaminated")
     return docs
 
 
