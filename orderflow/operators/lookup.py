@@ -1,9 +1,10 @@
 """P9-P11 from a table: value maps of any size.
 
 A handful of synonyms is a CASE expression (``standardize.map_values``). A map
-that is a table itself is joined: broadcast if its measured size is below a
-bound, otherwise by a sort-merge join on the value, in which AQE splits a
-frequent value (or the nulls) across tasks.
+that is a table itself is joined. Up to a bound on its measured size Spark may
+broadcast it (by ``autoBroadcastJoinThreshold``, like any dimension); beyond it
+the join is a sort-merge join on the value whatever the estimates say, in which
+AQE splits a frequent value (or the nulls) across tasks.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VARIANT, CANONICAL = "variant", "canonical"
-#: Measured bytes up to which a lookup table is broadcast.
+#: Measured bytes up to which a lookup table may be broadcast.
 MAX_BROADCAST_BYTES = 64 << 20
 #: What a row of a broadcast table takes besides its text.
 ROW_BYTES = 64
@@ -51,7 +52,7 @@ def map_from_table(
     pairs = pairs.groupBy(VARIANT).agg(F.min(CANONICAL).alias(CANONICAL))
     small = measured_bytes(pairs) <= max_broadcast_bytes
     right = pairs.select(F.col(VARIANT).alias(_VALUE), F.col(CANONICAL).alias(_TO))
-    right = F.broadcast(right) if small else right.hint("merge")
+    right = right if small else right.hint("merge")
     value = F.col(f"`{column}`")
     keyed = df.withColumn(_KEY, key(value) if key is not None else value)
     joined = keyed.join(right, F.col(_KEY) == F.col(_VALUE), "left")

@@ -111,6 +111,15 @@ def _ws(fn: Callable[[Workspace], DataFrame]) -> Query:
     return q
 
 
+def _wide(fn: Callable[[Workspace], DataFrame]) -> Query:
+    """Over raw tables with ids of 12 digits that do not wrap."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Workspace.of(spark, sf_dir, wide=True))
+
+    return q
+
+
 def _keyed(frames: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
     return {n: (df, ENTITIES[n].key) for n, df in frames.items()}
 
@@ -357,6 +366,13 @@ QUERIES: dict[str, Query] = {
     "sales_summary": sales_summary,
     "status_counts": _ws(lambda ws: marts.status_counts(ws.measured())),
     "fact_orders": _ws(lambda ws: marts.fact_orders(ws.measured())),
+    "wide_validation_summary": _wide(lambda ws: summary.validation_summary({n: ws.validated(n) for n in ENTITIES})),
+    "wide_duplicate_summary": _wide(lambda ws: summary.duplicate_summary(_keyed({n: ws.valid(n) for n in ENTITIES}))),
+    "wide_orphan_customer_orders": _wide(lambda ws: integrity.orphans(ws.deduped("orders"), ws.parent("customers"), "customer_id")),
+    "wide_customer_metrics": _wide(lambda ws: marts.customer_metrics(ws.measured())),
+    "wide_product_metrics": _wide(lambda ws: marts.product_metrics(ws.measured())),
+    "wide_sales_summary": _wide(lambda ws: marts.sales_summary(ws.measured())),
+    "wide_fact_orders": _wide(lambda ws: marts.fact_orders(ws.measured())),
     "dim_customers": _ws(lambda ws: marts.dim_customers(ws.deduped("customers"))),
     "dim_products": _ws(lambda ws: marts.dim_products(ws.deduped("products"))),
 }

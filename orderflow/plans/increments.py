@@ -211,7 +211,7 @@ def publish_batch(spark: SparkSession, zones: io.Zones, keep: int = releases.KEP
         state = {n: io.read_parquet(spark, before.outputs[n], df.schema) for n, df in state.items()}
 
     def extended() -> dict:
-        batch = {n: io.read_valid(spark, own.processed(n), n) if n in raw else state[STATE[n]].limit(0) for n in ENTITIES}
+        batch = {n: io.read_valid(spark, own.processed(n), n) if n in raw else state[STATE[n]].where(F.lit(False)) for n in ENTITIES}
         tables = extend(state, batch, ledger.work)
         done = stages.StageResult()
         stages._write_all({n: (df, own.curated(n)) for n, df in tables.items()}, done, ledger=ledger)

@@ -544,3 +544,23 @@ ORACLE.update({f"batches_{q[4:]}": ORACLE[q] for q in list(ORACLE) if q.startswi
 
 # The same results with the synonyms in a table.
 ORACLE.update({f"{q}_table": ORACLE[q] for q in ("map_country", "map_category", "map_order_status", "validate_customers", "validate_products", "validate_orders")})
+
+
+def _wide(query: str) -> str:
+    """A query over the raw tables with ids of 12 digits."""
+    for e in ("customers", "products", "orders"):
+        query = query.replace(_fixture(e), _fixture(e, True))
+    for prefix, digits in (("C", 4), ("P", 3), ("O", 5)):
+        query = query.replace(f"'{prefix}[0-9]{{{digits}}}'", f"'{prefix}[0-9]{{12}}'")
+    return query
+
+
+ORACLE.update(
+    {
+        f"wide_{q}": _wide(ORACLE[o])
+        for q, o in (
+            ("duplicate_summary", "duplicate_summary_before"),
+            *((q, q) for q in ("validation_summary", "orphan_customer_orders", "customer_metrics", "product_metrics", "sales_summary", "fact_orders")),
+        )
+    }
+)

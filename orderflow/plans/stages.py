@@ -248,7 +248,8 @@ def _curate_in(
     after = duplicate_summary(
         {"customers": (customers, ENTITIES["customers"].key), "products": (products, ENTITIES["products"].key), "orders": (tagged, ORDERS.key)}
     )
-    result.frames["duplicate_summary_after"] = spark.createDataFrame(after.collect(), after.schema)
+    rows = after.agg(F.collect_list(F.struct(*after.columns))).first()[0]
+    result.frames["duplicate_summary_after"] = spark.createDataFrame(rows, after.schema)
 
 
 def run(

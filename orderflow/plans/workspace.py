@@ -24,15 +24,17 @@ from orderflow.operators.validate import validate
 from orderflow.plans import increments, releases, stages
 from orderflow.session import app_id, new_work_dir
 from orderflow.sources import fixtures, io
-from orderflow.specs import ENTITIES, REASON_COLUMN, STATUS_COLUMN
+from orderflow.specs import ENTITIES, REASON_COLUMN, STATUS_COLUMN, wide_entities
 
-_CACHE: dict[tuple[str, str], Workspace] = {}
+_CACHE: dict[tuple[str, str, bool], Workspace] = {}
 _CACHE_LOCK = threading.Lock()
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, wide: bool = False):
         self.spark = spark
+        self.wide = wide
+        self.entities = wide_entities() if wide else ENTITIES
         self.sf_dir = sf_dir.rstrip("/")
         self.zones = io.Zones(new_work_dir(spark, "workspace"))
         self._written: dict[str, object] = {}
@@ -66,25 +68,27 @@ class Workspace:
         raise AssertionError("unreachable")
 
     @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
-        key = (app_id(spark), sf_dir.rstrip("/"))
+    def of(cls, spark: SparkSession, sf_dir: str, wide: bool = False) -> Workspace:
+        """The workspace of a folder; ``wide``: with ids that do not wrap."""
+        key = (app_id(spark), sf_dir.rstrip("/"), wide)
         with _CACHE_LOCK:
             if key not in _CACHE:
-                _CACHE[key] = cls(spark, sf_dir)
+                _CACHE[key] = cls(spark, sf_dir, wide)
             return _CACHE[key]
 
     @staticmethod
     def forget(spark: SparkSession, sf_dir: str) -> None:
         """Drop the cached workspace of ``sf_dir`` (its tables stay on disk)."""
         with _CACHE_LOCK:
-            _CACHE.pop((app_id(spark), sf_dir.rstrip("/")), None)
+            for wide in (False, True):
+                _CACHE.pop((app_id(spark), sf_dir.rstrip("/"), wide), None)
 
     # -- raw --------------------------------------------------------------
     def raw(self, entity: str) -> DataFrame:
         path = self.zones.staging(f"landed_{entity}")
 
         def land():
-            derived = fixtures.raw_table(self.spark, self.sf_dir, entity)
+            derived = fixtures.raw_table(self.spark, self.sf_dir, entity, self.wide)
             # AQE sizes the rebalanced partitions: split when large, merged
             # when small, so the landing is parallel here and bounded at scale.
             io.write_parquet(derived.hint("rebalance"), path)
@@ -98,7 +102,7 @@ class Workspace:
         return self.zones.raw(entity)
 
     def validated(self, entity: str) -> DataFrame:
-        return validate(self.raw(entity), ENTITIES[entity])
+        return validate(self.raw(entity), self.entities[entity])
 
     # -- processed zone (materialised) -----------------------------------
     def processed(self, entity: str, split: str | None = io.VALID_SPLIT) -> DataFrame:
@@ -196,7 +200,7 @@ class Workspace:
 
     # -- stage 2, lazily over the processed zone ----------------------------
     def deduped(self, entity: str) -> DataFrame:
-        return dedup_valid(self.valid(entity), ENTITIES[entity])
+        return dedup_valid(self.valid(entity), self.entities[entity])
 
     def parent(self, entity: str) -> DataFrame:
         """A deduplicated parent table (customers / products), written once

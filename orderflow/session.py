@@ -3,19 +3,17 @@
 Stage boundaries are written as Parquet into the shared folder the cluster
 names in ``spark.checkpoint.dir`` (an HDFS / object-store path on a cluster),
 so they survive the loss of any executor and cut the logical plan. The
-setting is read from the session; a local folder is chosen only when it is
-unset and Spark runs in local mode (tests).
+setting is read from the session; only when it is unset and Spark runs in local
+mode (tests) a folder of the warehouse is used.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def _context(spark: SparkSession):
@@ -41,10 +39,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is unset; set it to a shared folder (HDFS, object store) on a cluster"
             )
-        app = app_id(spark)
-        if app not in _LOCAL_ROOTS:
-            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="orderflow-checkpoints-")
-        root = _LOCAL_ROOTS[app]
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
     return root.rstrip("/")
 
 

@@ -58,6 +58,17 @@ RAW_SQL = {
     "orders": (RAW_ORDERS_SQL, ("lineitem", "orders")),
 }
 
+#: How ids wrap in the tables above, and the same ids in 12 digits that do not:
+#: every order line of every order is then an order of its own key.
+WIDE_IDS = {
+    "lpad(cast(ek % 10000 as string),4,'0')": "lpad(cast(ek as string),12,'0')",
+    "lpad(cast(ek % 1000 as string),3,'0')": "lpad(cast(ek as string),12,'0')",
+    "lpad(cast(k % 100000 as string),5,'0')": "lpad(cast(k * 8 + ln as string),12,'0')",
+    "lpad(cast(ck % 10000 as string),4,'0')": "lpad(cast(ck as string),12,'0')",
+    "lpad(cast(pk % 1000 as string),3,'0')": "lpad(cast(pk as string),12,'0')",
+    "'C9999'": "'C999999999999'",
+}
+
 #: Rows whose CSV line lacks its last field, and rows whose line has one more
 #: (portable conditions on the raw columns).
 MALFORMED_SQL = {
@@ -80,14 +91,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The messy all-string raw table for ``entity``."""
-    sql, sources = RAW_SQL[entity]
+def _sql(entity: str, wide: bool) -> str:
+    sql = RAW_SQL[entity][0]
+    for narrow, own in WIDE_IDS.items() if wide else ():
+        sql = sql.replace(narrow, own)
+    return sql
+
+
+def raw_table(spark: SparkSession, sf_dir: str, entity: str, wide: bool = False) -> DataFrame:
+    """The messy all-string raw table for ``entity``; ``wide``: with ids of 12
+    digits that do not wrap."""
+    sql, sources = _sql(entity, wide), RAW_SQL[entity][1]
     frames = {s: table(spark, sf_dir, s).select(*_SOURCE_COLUMNS[s]) for s in sources}
     return spark.sql(sql, **frames)
 
 
-def oracle_sql(entity: str) -> str:
+def oracle_sql(entity: str, wide: bool = False) -> str:
     """The same derivation for DuckDB over the pre-registered views."""
-    sql, sources = RAW_SQL[entity]
+    sql, sources = _sql(entity, wide), RAW_SQL[entity][1]
     return sql.format(**{s: s for s in sources})

@@ -8,7 +8,7 @@ a few fused projections (see :mod:`orderflow.operators.validate`).
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark.sql import Column
@@ -270,3 +270,18 @@ ORDERS = EntitySpec(
 )
 
 ENTITIES: dict[str, EntitySpec] = {s.name: s for s in (CUSTOMERS, PRODUCTS, ORDERS)}
+
+
+def wide_entities(digits: int = 12) -> dict[str, EntitySpec]:
+    """The same entities for id spaces of ``digits`` digits: only the id
+    patterns differ."""
+    wide = {
+        CUSTOMER_ID_PATTERN: rf"^C\d{{{digits}}}$",
+        PRODUCT_ID_PATTERN: rf"^P\d{{{digits}}}$",
+        ORDER_ID_PATTERN: rf"^O\d{{{digits}}}$",
+    }
+
+    def widened(rule: Rule) -> Rule:
+        return replace(rule, checks=tuple(replace(c, arg=wide.get(c.arg, c.arg)) if c.kind == "pattern" else c for c in rule.checks))
+
+    return {n: replace(s, rules=tuple(map(widened, s.rules))) for n, s in ENTITIES.items()}

@@ -45,8 +45,7 @@ def test_queries_from_several_threads(spark, con):
     from orderflow.plans import workspace
 
     sf = "/root/testdata/sf0.01"
-    with workspace._CACHE_LOCK:
-        workspace._CACHE.pop((spark.sparkContext.applicationId, sf), None)
+    workspace.forget(spark, sf)
     names = ["valid_orders", "dedup_orders", "sales_summary", "orphan_customer_orders", "csv_roundtrip_orders", "quarantine_orders"]
     duck_con = duck(sf)
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
