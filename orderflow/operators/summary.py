@@ -91,6 +91,22 @@ def duplicate_summary(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return union_all(rows)
 
 
+def duplicate_summaries_from_marks(tables: Mapping[str, tuple[DataFrame, str, int]], mark: str) -> tuple[DataFrame, DataFrame]:
+    """A4/U2 before and after deduplication, from ``(marked rows, key, rows
+    before)`` of each table: unmarked rows are its distinct keys, marked ones
+    its repeated keys (``dedup.dedup_marked``)."""
+    rows = []
+    for name, (df, key, total) in tables.items():
+        first = ~F.col(mark)
+        counts = df.agg(
+            F.count_if(first & F.col(key).isNotNull()).alias("distinct_id_count"), F.count_if(F.col(mark)).alias("duplicate_id_count"), F.count_if(first).alias("survivors")
+        )
+        rows.append(counts.select(F.lit(name).alias("dataset"), F.lit(total).cast("bigint").alias("total_count"), "distinct_id_count", "duplicate_id_count", "survivors"))
+    both = union_all(rows)
+    after = both.select("dataset", F.col("survivors").alias("total_count"), "distinct_id_count", F.lit(0).cast("bigint").alias("duplicate_id_count"))
+    return both.drop("survivors"), after
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """A2: dataset, row_count."""
     return union_all(

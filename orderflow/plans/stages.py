@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators import marts
-from orderflow.operators.dedup import dedup_valid
+from orderflow.operators.dedup import AGAIN, dedup_valid_marked
 from orderflow.operators.integrity import key_first
-from orderflow.operators.summary import duplicate_summary, status_counts_exprs, validation_summary_from_counts
+from orderflow.operators.summary import duplicate_summaries_from_marks, status_counts_exprs, validation_summary_from_counts
 from orderflow.operators.validate import validate
 from orderflow.session import new_work_dir, remove_dir
 from orderflow.sources import io
-from orderflow.specs import ENTITIES, ORDERS, REASON_COLUMN, STATUS_COLUMN, VALID
+from orderflow.specs import ENTITIES, REASON_COLUMN, STATUS_COLUMN, VALID
 
 MALFORMED_COUNT = "Malformed_count"
 ORPHAN_OUTPUTS = ("orphan_customers", "orphan_products")
@@ -201,26 +201,28 @@ def _curate_in(
     ledger: Finished | None = None,
 ) -> None:
     valid = {name: io.read_valid(spark, zones.processed(name), name) for name in ENTITIES}
-    result.frames["duplicate_summary_before"] = duplicate_summary({n: (df, ENTITIES[n].key) for n, df in valid.items()})
-    deduped = {n: dedup_valid(df, ENTITIES[n]) for n, df in valid.items()}
+    # Survivors, and a marked second row of every repeated key: both duplicate
+    # summaries come from the pass that deduplicates.
+    marked = {n: dedup_valid_marked(df, ENTITIES[n]) for n, df in valid.items()}
 
     # The parents are the join inputs of the orders and the curated dims.
-    dims = {"customers": marts.dim_customers(deduped["customers"]), "products": marts.dim_products(deduped["products"])}
-    run_concurrently({n: (lambda df=df, n=n: _once(ledger, f"work/{n}", lambda: io.write_parquet(df, f"{work}/{n}"))) for n, df in dims.items()}, spark)
-    customers, products = (io.read_parquet(spark, f"{work}/{n}", dims[n].schema) for n in dims)
-
-    # Partitioned by the two presence flags: the orphan outputs and the marts
-    # each read only their own files. The dedup has dealt the rows out evenly,
-    # and a task writes at most four files. The verdict is the same on every row and
-    # is put back where it is published.
-    order_cols = deduped["orders"].columns
+    attributes = {"customers": marts.dim_customers, "products": marts.dim_products}
+    rows = {n: marked[n].select(*dim(marked[n]).columns, AGAIN) for n, dim in attributes.items()}
+    run_concurrently({n: (lambda df=df, n=n: _once(ledger, f"work/{n}", lambda: io.write_parquet(df, f"{work}/{n}", (AGAIN,)))) for n, df in rows.items()}, spark)
+    parents = {n: io.read_parquet(spark, f"{work}/{n}", df.schema) for n, df in rows.items()}
+    customers, products = (parents[n].where(~F.col(AGAIN)).drop(AGAIN) for n in attributes)
+
+    # Partitioned by the two presence flags and the mark: the orphan outputs and
+    # the marts each read only their own files. The dedup has dealt the rows out
+    # evenly, and a task writes at most eight files. The verdict is the same on
+    # every row and is put back where it is published.
+    order_cols = valid["orders"].columns
     verdict = {STATUS_COLUMN: F.lit(VALID), REASON_COLUMN: F.lit(None).cast("string")}
-    tag_df = marts.tag_orders(
-        deduped["orders"].drop(*verdict), customers, products, marts.ORDER_CUSTOMER_ATTRS, marts.ORDER_PRODUCT_ATTRS
-    )
-    flags = (marts.HAS_CUSTOMER, marts.HAS_PRODUCT)
+    tag_df = marts.tag_orders(marked["orders"], customers, products, marts.ORDER_CUSTOMER_ATTRS, marts.ORDER_PRODUCT_ATTRS)
+    flags = (marts.HAS_CUSTOMER, marts.HAS_PRODUCT, AGAIN)
     _once(ledger, "work/tagged", lambda: io.write_parquet(tag_df, f"{work}/tagged", flags))
-    tagged = io.read_parquet(spark, f"{work}/tagged", tag_df.schema)
+    every = io.read_parquet(spark, f"{work}/tagged", tag_df.schema)
+    tagged = every.where(~F.col(AGAIN)).drop(AGAIN)
 
     # Orphans before the curated tables; an order missing both parents lands
     # in both quarantines.
@@ -244,12 +246,12 @@ def _curate_in(
     }
     _write_all({n: (df, zones.curated(n)) for n, df in curated.items()}, result, partition_by, ledger)
 
-    # Computed now, from tables that go with the work folder: three rows.
-    after = duplicate_summary(
-        {"customers": (customers, ENTITIES["customers"].key), "products": (products, ENTITIES["products"].key), "orders": (tagged, ORDERS.key)}
-    )
-    rows = after.agg(F.collect_list(F.struct(*after.columns))).first()[0]
-    result.frames["duplicate_summary_after"] = spark.createDataFrame(rows, after.schema)
+    # Computed now, from tables that go with the work folder: three rows each.
+    totals = {n: df.count() for n, df in valid.items()}  # from the files' footers
+    tables = {n: (df, ENTITIES[n].key, totals[n]) for n, df in {**parents, "orders": every}.items()}
+    for name, df in zip(("duplicate_summary_before", "duplicate_summary_after"), duplicate_summaries_from_marks(tables, AGAIN), strict=True):
+        counts = df.agg(F.collect_list(F.struct(*df.columns))).first()[0]
+        result.frames[name] = spark.createDataFrame(counts, df.schema)
 
 
 def run(
