@@ -291,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "quarantine_products": _ws(lambda ws: ws.quarantine("products")),
     "quarantine_orders": _ws(lambda ws: ws.quarantine("orders")),
     "etl_output_counts": etl_output_counts,
+    "pipeline_output_counts": etl_output_counts,
     **{f"etl_{name}": _etl(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS)},
     **{f"published_{kind}_{n}": _etl(f"{kind}_{n}") for kind in ("valid", "invalid") for n in ENTITIES},
     **{f"release_{name}": _release(name) for name in (*stages.ORPHAN_OUTPUTS, *stages.CURATED_OUTPUTS, "validation_summary")},

@@ -399,6 +399,7 @@ ORACLE: dict[str, str] = {
     "quarantine_products": _with(f"SELECT {PRODUCT_COLS} FROM val_products WHERE record_status = 'Invalid'"),
     "quarantine_orders": _with(f"SELECT {ORDER_COLS} FROM val_orders WHERE record_status = 'Invalid'"),
     "etl_output_counts": _with(_ETL_COUNTS),
+    "pipeline_output_counts": _with(_ETL_COUNTS),
     "etl_orphan_customers": _with("SELECT * FROM orphan_c"),
     "etl_orphan_products": _with("SELECT * FROM orphan_p"),
     **{
