@@ -7,7 +7,7 @@ sample of labelled rows (``max_rows`` a language, smallest hash of id and
 text); document frequencies cover all labelled rows. A text gets the language
 of the nearest centroid by cosine and is rejected when that is farther than
 the language's radius: a low quantile of the cosines of held-out members, with
-a margin.
+a margin, less for short texts.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ KMEANS_ROUNDS = 12
 #: The radius: this share of the low quantile of held-out cosines, at most
 #: ``MOST_RADIUS`` (texts of another language stay below it: their hashed n-grams
 #: meet a centroid by chance and by common letters only).
-RADIUS_FACTOR, RADIUS_QUANTILE, MOST_RADIUS = 0.75, 0.05, 0.25
+RADIUS_FACTOR, RADIUS_QUANTILE, MOST_RADIUS = 0.75, 0.05, 0.2
+#: Texts of fewer bytes of letters have few n-grams, and so smaller cosines in
+#: any language: their radius falls to half.
+SHORT_TEXT = 200
 #: The members farthest from the mean start no centroid, and a centroid has at
 #: least this share of its language's sample: a few rows far from all others
 #: have a wrong label.
@@ -218,6 +221,11 @@ def _vectors(idf: np.ndarray):
     return run
 
 
+def least_cosines(model: LanguageModel, pick: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """From what cosine to its nearest centroid each text is accepted."""
+    return model.radius[pick] * (0.5 + 0.5 * np.minimum(1.0, lengths / SHORT_TEXT))
+
+
 def nearest(model: LanguageModel, data: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index of the nearest centroid (their number: none), its cosine, and
     whether the text is rejected, for each text."""
@@ -229,7 +237,7 @@ def nearest(model: LanguageModel, data: list[bytes | None]) -> tuple[np.ndarray,
         pick = likeness.argmax(axis=1)
         found = likeness[np.arange(len(known)), pick]
         best[known], score[known] = pick, np.clip(found, 0, 1)
-        far[known] = found < model.radius[pick]
+        far[known] = found < least_cosines(model, pick, np.array([len(texts[i]) for i in known]))
     return best, score, far
 
 

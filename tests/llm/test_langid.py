@@ -86,7 +86,8 @@ def test_predictions_match_plain_cosines(spark):
         best = max(cosines)
         got = found[r.doc_id]
         assert abs(got.score - best) < 1e-4 and max(c for c, lang in zip(cosines, model.langs, strict=True) if lang == got.lang_pred) > best - 1e-4
-        assert got.rejected == (got.score < model.radius[model.langs.index(got.lang_pred)]) or abs(got.score - model.radius[0]) < 1e-4
+        least = model.radius[model.langs.index(got.lang_pred)] * (0.5 + min(len(text), 200) / 400)
+        assert got.rejected == (got.score < least) or abs(got.score - least) < 1e-4
 
 
 def test_document_frequencies_count_all_rows(spark):

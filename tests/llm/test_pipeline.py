@@ -23,7 +23,7 @@ def unrecognised(model, text):
     if not letters:
         return True
     cosines = (unit_vectors(gram_counts([letters], len(model.idf)), model.idf) @ model.centroids)[0]
-    return cosines.max() < model.radius[cosines.argmax()]
+    return cosines.max() < model.radius[cosines.argmax()] * (0.5 + min(len(letters), 200) / 400)
 
 
 def survivors(rows):
