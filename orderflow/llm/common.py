@@ -70,7 +70,7 @@ class WordCache(dict):
     """``value(word)`` of words, kept between documents; emptied before it
     holds more than ``limit`` bytes."""
 
-    def __init__(self, value: Callable[[bytes], object], limit: int = 48 << 20):
+    def __init__(self, value: Callable[[bytes], object], limit: int = 24 << 20):
         super().__init__()
         self.value, self.limit, self.held = value, limit, 0
 

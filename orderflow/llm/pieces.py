@@ -29,7 +29,7 @@ UNKNOWN_PENALTY = 10.0
 LONG_WORD = 48
 BATCH_CELLS = 1 << 16
 #: Bytes of solved words and their ids that are kept between texts.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 24 << 20
 SLICE_BYTES = 1 << 21
 _FILTER_BITS = 18
 _FILTER_SHIFT = np.uint64(64 - _FILTER_BITS)
