@@ -27,7 +27,12 @@ spread AS (SELECT pair_id, turn, part, unnest(m) AS x FROM parts)
 SELECT pair_id, turn, part, x.role AS role,
        '<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10) AS rendered,
        CAST(CASE WHEN part <> 'prompt' AND x.role = 'assistant' THEN 13 + length(x.role) ELSE 0 END AS INTEGER) AS loss_start,
-       CAST(CASE WHEN part <> 'prompt' AND x.role = 'assistant' THEN 13 + length(x.role) + length(x.text) + 10 ELSE 0 END AS INTEGER) AS loss_end
+       CAST(CASE WHEN part <> 'prompt' AND x.role = 'assistant' THEN 13 + length(x.role) + length(x.text) + 10 ELSE 0 END AS INTEGER) AS loss_end,
+       CAST(coalesce(sum(12 + length(x.role) + 1 + length(x.text) + 11) OVER (PARTITION BY pair_id, part ORDER BY turn, x.role, x.text
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+       CAST(coalesce(sum(24 + length(x.role) + length(x.text)) FILTER (part = 'prompt') OVER (PARTITION BY pair_id), 0) AS BIGINT) AS prompt_chars,
+       CAST(coalesce(sum(24 + length(x.role) + length(x.text)) FILTER (part = 'chosen') OVER (PARTITION BY pair_id), 0) AS BIGINT) AS chosen_chars,
+       CAST(coalesce(sum(24 + length(x.role) + length(x.text)) FILTER (part = 'rejected') OVER (PARTITION BY pair_id), 0) AS BIGINT) AS rejected_chars
 FROM spread
 """
 

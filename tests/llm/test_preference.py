@@ -30,13 +30,17 @@ def plain(chosen, rejected):
         common = 0
         while common < len(turns) and sides[0].get(turns[common]) == sides[1].get(turns[common]):
             common += 1
-        for part, s, own in (("prompt", sides[0], turns[:common]), ("chosen", sides[0], turns[common:]), ("rejected", sides[1], turns[common:])):
+        parts = {"prompt": (sides[0], turns[:common]), "chosen": (sides[0], turns[common:]), "rejected": (sides[1], turns[common:])}
+        chars = [sum(len(render(*m)) for t in own for m in s.get(t, ())) for s, own in parts.values()]
+        for part, (s, own) in parts.items():
+            start = 0
             for t in own:
                 for role, text in sorted(s.get(t, ())):
                     trained = part != "prompt" and role == "assistant"
                     body = render(role, text)
                     span = (body.index("\n") + 1, len(body) - 1) if trained else (0, 0)
-                    out.append((pair, t, part, role, body, *span))
+                    out.append((pair, t, part, role, body, *span, start, *chars))
+                    start += len(body)
     return sorted(out)
 
 
@@ -54,6 +58,23 @@ def test_matches_a_plain_version(spark):
     assert sorted(map(tuple, got)) == plain(chosen, rejected)
 
 
+def test_long_and_sparse_conversations(spark):
+    """Starts across stretches of turns, of both levels and below zero."""
+    rng = random.Random(3)
+    turns = sorted({*range(-3, 2500), *(rng.randrange(-(1 << 40), 1 << 40) for _ in range(200)), *range(1 << 20, (1 << 20) + 50)})
+    chosen = [(1, t, "assistant" if t % 2 else "user", "x" * (t % 7)) for t in turns]
+    rejected = [(p, t, r, x if t < 1500 else x + "é") for p, t, r, x in chosen] + [(1, 1600, "user", "second"), (1, 1600, "assistant", "third")]
+    wide = SIDE.replace("turn int", "turn long")
+    sides = [spark.createDataFrame([(*r, "x", "y") for r in rows], wide) for rows in (chosen, rejected)]
+    got = format_preferences(*sides).collect()
+    assert sorted(map(tuple, got)) == plain(chosen, rejected)
+    for part in ("prompt", "chosen", "rejected"):
+        rows = sorted((r for r in got if r.part == part), key=lambda r: r.start)
+        whole = "".join(r.rendered for r in rows)
+        assert len(whole) == rows[0][f"{part}_chars"]
+        assert all(whole[r.start : r.start + len(r.rendered)] == r.rendered for r in rows)
+
+
 def test_odd_rows_and_empty_tables(spark):
     rows = [(None, 0, "user", "x"), (1, None, "user", "x"), (1, 0, "user", "hi")]
     empty = side(spark, [])
@@ -72,3 +93,26 @@ def test_branches_change_the_last_reply(spark):
 def test_the_plan_is_native(spark):
     plan = QUERIES["op2_preference_formatting"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_texts_are_shuffled_once(spark):
+    """Only the exchange by pair and turn, and its reuses, carry messages."""
+    conversations = spark.read.parquet(f"{SF}/conversations.parquet").withColumnRenamed("conv_id", "pair_id")
+    found = format_preferences(conversations, conversations)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan()
+    carrying = []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        if node.nodeName() == "Exchange" and any(node.output().apply(i).dataType().simpleString()[:5] in ("array", "struc", "strin", "binar") for i in range(node.output().size())):
+            carrying.append(node)
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    assert len({n.id() for n in carrying}) == 1
