@@ -4,7 +4,9 @@ Writing: every record is one gzip member. Records of equal payloads are
 written once in full (``response``, the smallest id) and otherwise as
 ``revisit`` of that record. Spark writes the members with its text sink, one
 zero byte after each (padding that gzip readers skip), so archives go to any
-store Spark can write, at most ``max_records`` to a file.
+store Spark can write, at most ``max_records`` to a file and, as a task's
+records begin a new folder after every ``max_bytes`` of members, no more than
+that and one record.
 
 Reading: every archive is parsed member by member. Where a check fails (the
 member does not inflate, the version line or the length is wrong, or the
@@ -32,6 +34,8 @@ from orderflow.session import new_work_dir
 
 MIN_REVISIT_BYTES = 0
 MAX_RECORDS = 2_000
+#: An archive is read as one value, and a task unpacks it.
+MAX_BYTES = 64 << 20
 LEVEL = 1
 VERSION = b"WARC/1.1"
 VERSIONS = (b"WARC/1.0", b"WARC/1.1")
@@ -193,23 +197,32 @@ def revisit_plan(pages: DataFrame, id_col: str = "page_id", payload_col: str = "
     return joined.select("page_id", "uri", "data", "sha1", F.when(F.col("page_id") > F.col("first"), F.col("first")).alias("refers_to"))
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _members(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """``member, volume``: volumes of a task count up from 0."""
+    volume = held = 0
     for batch in batches:
-        out = []
+        out, volumes = [], []
         for page_id, uri, data, sha1, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             digest = base64.b32encode(bytes.fromhex(sha1)).decode()
             name = "" if page_id is None else str(page_id)
             record = record_bytes(name, "response" if refers_to is None else "revisit", uri, None if refers_to is None else str(refers_to), data, digest)
             squeeze = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
             out.append(squeeze.compress(record) + squeeze.flush())
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
+            if held and held + len(out[-1]) > max_bytes:
+                volume, held = volume + 1, 0
+            held += len(out[-1])
+            volumes.append(volume)
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(volumes, pa.int32())], names=["member", "volume"])
 
 
-def write_archives(plan: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:
+def write_archives(plan: DataFrame, path: str, max_records: int = MAX_RECORDS, max_bytes: int = MAX_BYTES) -> None:
     """One gzip member per row of :func:`revisit_plan` into files under
-    ``path``. The text sink writes bytes as they are."""
-    members = plan.select("page_id", "uri", "data", "sha1", "refers_to").mapInArrow(_members, "member binary")
-    members.select(F.col("member").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", max_records).text(path)
+    ``path/volume=<n>``, each of at most ``max_records`` records and, beyond
+    its first record, ``max_bytes`` bytes of members. The text sink writes
+    bytes as they are."""
+    members = plan.select("page_id", "uri", "data", "sha1", "refers_to").mapInArrow(lambda batches: _members(batches, max_bytes), "member binary, volume int")
+    lines = members.select(F.col("member").cast("string"), "volume")
+    lines.write.option("lineSep", "\0").option("maxRecordsPerFile", max_records).partitionBy("volume").text(path)
 
 
 def _salvaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

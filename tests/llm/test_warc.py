@@ -3,8 +3,11 @@
 import base64
 import gzip
 import hashlib
+import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from orderflow.llm.warc import _urn, archive_round_trip, read_archives, record_bytes, revisit_plan, salvage, sha1_base32, write_archives
 from orderflow.session import new_work_dir
 
@@ -91,6 +94,18 @@ def test_uris_payloads_and_gap_rows(spark):
     assert {r.refers_to for r in small.collect()} == {None}
 
 
+def test_archives_are_bounded_in_bytes_and_records(spark):
+    noise = random.Random(1)
+    pages = spark.createDataFrame([(i, "u", noise.randbytes(10_000 if i != 7 else 90_000).hex()) for i in range(60)], "page_id long, url string, html string")
+    path = f"{new_work_dir(spark, 'test-warc')}/w"
+    write_archives(revisit_plan(pages).coalesce(1), path, max_records=9, max_bytes=60_000)
+    sizes = [(r.length, r.n) for r in spark.read.format("binaryFile").load(path).selectExpr("path", "length").join(read_archives(spark, path).groupBy("path").agg(F.count("*").alias("n")), "path").collect()]
+    assert sum(n for _, n in sizes) == 60 and all(n <= 9 and (length <= 60_000 + n or n == 1) for length, n in sizes)
+    assert sorted(r.record_id for r in read_archives(spark, path).collect()) == sorted(map(str, range(60)))
+    write_archives(revisit_plan(pages).coalesce(1), path + "2", max_records=9)
+    assert spark.read.format("binaryFile").load(path + "2").count() == 7
+
+
 def test_member_of_several_records_and_ids_with_colons():
     parts = [record_bytes(f"a:b:{i}", "response", None, None, b"payload %d" % i, sha1_base32(b"payload %d" % i)) for i in range(4)]
     whole = gzip.compress(b"".join(parts))
