@@ -33,7 +33,7 @@ def drop_unrecognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each linked group stays; rows
-    without an id all stay, of rows that repeat one that with the least text."""
+    without an id all stay. Rows that repeat an id are judged by id and text."""
     return keep_one_of_each(docs)
 
 
