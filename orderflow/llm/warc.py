@@ -29,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import ids_and_bytes
+from orderflow.llm.common import ids_and_bytes, slices
 from orderflow.session import new_work_dir
 
 MIN_REVISIT_BYTES = 0
 MAX_RECORDS = 2_000
 #: An archive is read as one value, and a task unpacks it.
 MAX_BYTES = 64 << 20
+#: Payloads that a task turns into members at once.
+SLICE_BYTES = 2 << 20
 LEVEL = 1
 VERSION = b"WARC/1.1"
 VERSIONS = (b"WARC/1.0", b"WARC/1.1")
@@ -200,7 +202,7 @@ def revisit_plan(pages: DataFrame, id_col: str = "page_id", payload_col: str = "
 def _members(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
     """``member, volume``: volumes of a task count up from 0."""
     volume = held = 0
-    for batch in batches:
+    for batch in slices(batches, "data", SLICE_BYTES):
         out, volumes = [], []
         for page_id, uri, data, sha1, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             digest = base64.b32encode(bytes.fromhex(sha1)).decode()
@@ -233,7 +235,9 @@ def _salvaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     for batch in batches:
-        for path, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+        # A batch has several archives; one of them at a time is copied out.
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            data = content.as_py()
             rows, held = [], 0
             for kind, start, end, found in salvage(data):
                 if kind == _GAP:

@@ -6,9 +6,10 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from orderflow.llm.warc import _urn, archive_round_trip, read_archives, record_bytes, revisit_plan, salvage, sha1_base32, write_archives
+from orderflow.llm.warc import SLICE_BYTES, _members, _urn, archive_round_trip, read_archives, record_bytes, revisit_plan, salvage, sha1_base32, write_archives
 from orderflow.session import new_work_dir
 
 
@@ -119,3 +120,15 @@ def test_member_of_several_records_and_ids_with_colons():
     assert [k for k, _ in kinds[5:]] == ["record"] * 4
     nothing = gzip.compress(b"no record here")
     assert [(k, a, b) for k, a, b, _ in salvage(nothing)] == [("gap", 0, len(nothing))]
+
+
+def test_members_are_made_of_slices_of_a_batch():
+    noise = random.Random(2)
+    data = [noise.randbytes(300_000) for _ in range(40)]
+    sha1 = [hashlib.sha1(d).hexdigest() for d in data]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(["u"] * 40), pa.array(data, pa.binary()), pa.array(sha1), pa.array([None] * 40, pa.int64())], names=["page_id", "uri", "data", "sha1", "refers_to"])
+    out = list(_members(iter([batch]), 1_000_000))
+    assert max(b.nbytes for b in out) < SLICE_BYTES + 400_000
+    members = [m for b in out for m in b.column("member").to_pylist()]
+    assert [next(salvage(m))[3].payload for m in members] == data
+    assert [v for b in out for v in b.column("volume").to_pylist()] == [i // 3 for i in range(40)]
