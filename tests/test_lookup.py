@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from orderflow.operators.lookup import lookup_table, map_from_table, measured_bytes
 from orderflow.operators.validate import validate
 from orderflow.plans.workspace import Workspace
-from orderflow.specs import CUSTOMERS
+from orderflow.specs import CUSTOMERS, ORDERS
 
 from .conftest import SF_SMALL
 
@@ -44,3 +44,15 @@ def test_validation_with_a_table_equals_the_spec(spark):
     assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     with pytest.raises(ValueError, match="unknown field"):
         validate(raw, CUSTOMERS, {"town": table})
+
+
+def test_a_small_table_of_local_rows_is_broadcast(spark):
+    """Spark has no estimate for local rows: without a hint the other side is
+    shuffled by its few values before the size is known."""
+    df = spark.range(500).select(F.when(F.col("id") % 5 > 0, "pending").otherwise(F.col("id").cast("string")).alias("order_status"))
+    table = lookup_table(spark, ORDERS.field("order_status").synonyms)
+    got = map_from_table(df, "order_status", table, key=F.lower)
+    assert "BroadcastHashJoin" in plan(got) and "SortMergeJoin" not in plan(got)
+    checked = validate(Workspace.of(spark, SF_SMALL).raw("orders"), ORDERS, {"order_status": table})
+    assert "SortMergeJoin" not in plan(checked) and "hashpartitioning(__lookup_key" not in plan(checked)
+    assert got.count() == 500
