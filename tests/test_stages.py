@@ -159,3 +159,38 @@ def test_stage_one_write_does_not_sort(spark, ws):
         assert "Sort" not in last.physicalPlanDescription()
     finally:
         spark.conf.unset(key)
+
+
+def _plans(spark, n):
+    """Plans of the last ``n`` executions of the session."""
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [found.apply(i).physicalPlanDescription() for i in range(max(0, found.size() - n), found.size())]
+
+
+def test_processed_write_does_not_sort_whatever_the_session_says(spark, ws):
+    """The rows of a task are not sorted by their split, and the session has
+    its own setting back afterwards, also from several threads."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    was = spark.conf.get(key)
+    root = new_work_dir(spark, "test-split")
+
+    def write(n):
+        io.write_processed(ws.validated(n), f"{root}/{n}")
+
+    write("orders")
+    plan = next(p for p in reversed(_plans(spark, 6)) if "InsertIntoHadoopFsRelationCommand" in p)
+    assert f"{root}/orders" in plan and "Sort" not in plan
+    assert spark.conf.get(key) == was
+    stages.run_concurrently({n: (lambda n=n: write(n)) for n in ENTITIES}, spark)
+    assert spark.conf.get(key) == was
+    for n in ENTITIES:
+        want = ws.validated(n)
+        got = io.read_processed(spark, f"{root}/{n}", None)
+        assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    spark.conf.set(key, "20")  # a session that allows more keeps it
+    try:
+        with io._open_files(spark):
+            assert spark.conf.get(key) == "20"
+        assert spark.conf.get(key) == "20"
+    finally:
+        spark.conf.set(key, was)
