@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow.plans import stages
+from orderflow.plans.workspace import Workspace
 from orderflow.session import new_work_dir
-from orderflow.sources import io
+from orderflow.sources import fixtures, io
 from orderflow.specs import ENTITIES
 
 
@@ -194,3 +195,28 @@ def test_processed_write_does_not_sort_whatever_the_session_says(spark, ws):
         assert spark.conf.get(key) == "20"
     finally:
         spark.conf.set(key, was)
+
+
+def test_orders_are_landed_with_one_shuffle_of_the_lines(spark, tmp_path):
+    """Lines are dealt out by order before the join; the text made of them is
+    not shuffled again."""
+    lines = [(k, 7 * k + ln, ln, 5.0, "R", "F") for k in range(1, 40) for ln in (1, 2)] + [(None, 3, 1, 1.0, "A", "F")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.range(1, 30).selectExpr("id as o_orderkey", "id * 2 as o_custkey", "date'2020-03-04' as o_orderdate")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    ws = Workspace(spark, str(tmp_path))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        derived = fixtures.raw_table(spark, str(tmp_path), "orders")
+        plan = derived._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 2 and plan.count("REBALANCE_PARTITIONS_BY_COL") == 1 and "SortMergeJoin" in plan
+        assert ws.raw("orders").count() == 58
+        landed = [p for p in _plans(spark, 6) if "InsertIntoHadoopFsRelationCommand" in p and "landed_orders" in p][-1]
+        assert landed.split("== Initial Plan ==")[-1].split("\n\n")[0].count("Exchange") == 2
+    finally:
+        spark.conf.set(key, was)
+    by_broadcast = fixtures.raw_table(spark, str(tmp_path), "orders")
+    assert "BroadcastHashJoin" in by_broadcast._jdf.queryExecution().executedPlan().toString()
+    assert by_broadcast.exceptAll(ws.raw("orders")).isEmpty() and by_broadcast.count() == 58
