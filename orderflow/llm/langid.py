@@ -160,8 +160,9 @@ def fit_languages(
     # holds twice as many as are asked for, so no task ranks a whole language.
     hashed = rows.withColumn("h", F.xxhash64("doc_id", "data"))
     kinds = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("kinds")).collect()
-    sizes = [(r["lang"], min(1.0, 2.0 * max_rows / max(1, r["kinds"]))) for r in kinds]
-    shares = docs.sparkSession.createDataFrame(sizes, "of string, share double")  # a row a language, like the model
+    sizes = {r["lang"]: min(1.0, 2.0 * max_rows / max(1, r["kinds"])) for r in kinds}
+    shares = pa.table({"of": pa.array(sizes.keys(), pa.string()), "share": pa.array(sizes.values(), pa.float64())})
+    shares = docs.sparkSession.createDataFrame(shares, "of string, share double")  # a row a language, like the model
     near = hashed.join(F.broadcast(shares), F.col("lang") == F.col("of"))
     few = near.where(F.col("h") / F.lit(2.0**64) + 0.5 < F.col("share")).groupBy("lang", "h").agg(F.any_value("data").alias("data"))
     few = stage(few, "sample")

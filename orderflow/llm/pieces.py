@@ -30,7 +30,8 @@ LONG_WORD = 48
 BATCH_CELLS = 1 << 16
 #: Bytes of solved words and their ids that are kept between texts.
 CACHE_BYTES = 24 << 20
-SLICE_BYTES = 1 << 21
+#: Bytes of text split into words at a time: the words take many times that.
+SLICE_BYTES = 1 << 19
 _FILTER_BITS = 18
 _FILTER_SHIFT = np.uint64(64 - _FILTER_BITS)
 _BASE = np.uint64(0x9E3779B97F4A7C15)

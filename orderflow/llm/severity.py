@@ -39,6 +39,10 @@ PREFIXES = (4, 5, 6)
 L1 = 0.02
 ROUNDS = 3_000
 SLICE_BYTES = 1 << 21
+#: Features whose counts a task holds at a time.
+MOST_COUNTED = 1 << 16
+#: Bytes of words and their weights that are kept between texts.
+SCORE_BYTES = 12 << 20
 _LETTERS = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
 
 
@@ -111,17 +115,29 @@ def best_cut(sums: np.ndarray, high: np.ndarray) -> float:
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and graded rows of each feature, in parts of about ``MOST_COUNTED``
+    features: a task holds no more than that, and the parts are summed before
+    the shuffle."""
     high, all_ = Counter(), Counter()
+
+    def counted() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(all_.keys(), pa.int64()), pa.array(all_.values(), pa.int64()), pa.array((high[f] for f in all_), pa.int64())],
+            names=["feature", "rows", "high"],
+        )
+        high.clear()
+        all_.clear()
+        return out
+
     for batch in slices(batches, "data", SLICE_BYTES):
         for data, grade in zip(batch.column("data").to_pylist(), batch.column("grade").to_pylist()):
             found = {f for w in distinct_words(data) for f in word_features(w)}
             all_.update(found)
             if grade > 0:
                 high.update(found)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(all_.keys(), pa.int64()), pa.array(all_.values(), pa.int64()), pa.array((high[f] for f in all_), pa.int64())],
-        names=["feature", "rows", "high"],
-    )
+            if len(all_) >= MOST_COUNTED:
+                yield counted()
+    yield counted()
 
 
 def _feature_rows(chosen: dict[int, int]):
@@ -151,14 +167,13 @@ def fit_severity(
     """Fit on at most ``max_rows`` labelled documents. Rows with a null id or
     grade are no labels; of several grades of one id the highest counts, of
     several texts the least. With no labelled document, or one grade only, the model says grade 0 always."""
-    spark = docs.sparkSession
     label = labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{grade_col}`").cast("int").alias("grade"))
     label = label.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.max("grade").alias("grade"))
     sample = label.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    held = sample.collect()
-    if not held or max(r.grade for r in held) < 1:
+    held = sample.toArrow()
+    if not held.num_rows or pc.max(held.column("grade")).as_py() < 1:
         return SeverityModel({}, ())
-    sample = spark.createDataFrame(held, sample.schema)  # max_rows ids at most
+    sample = docs.sparkSession.createDataFrame(held, sample.schema)  # max_rows ids at most; from Arrow: no Python worker
     rows = ids_and_bytes(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "grade").agg(F.min("data").alias("data"))
     n, high = rows.agg(F.count("*"), F.count_if(F.col("grade") > 0)).first()
     if not high:
@@ -189,7 +204,7 @@ def fit_severity(
 def word_scores(model: SeverityModel) -> WordCache:
     """The weight of each word: the sum of those of its features."""
     weights = model.weights
-    return WordCache(lambda word: sum(weights.get(f, 0.0) for f in word_features(word)))
+    return WordCache(lambda word: sum(weights.get(f, 0.0) for f in word_features(word)), SCORE_BYTES)
 
 
 def weight_sums(scores: WordCache, texts: list[bytes | None]) -> np.ndarray:
