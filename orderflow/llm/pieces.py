@@ -3,10 +3,11 @@
 The best segmentation of a text maximises the summed piece scores. A piece
 never runs over the start of a word (a run of ``▁`` and what follows), so the
 best path of a text is that of its words, and each distinct word is solved
-once. Words of equal length advance together: for every end and piece length
-the 64-bit hashes of all their substrings probe the sorted piece hashes, and
-vectorised maxima store the backpointers. Characters without a piece are
-spelled in byte pieces, as is a literal ``▁``, so decoding is exact.
+once. Words advance together, the longest first, so that the first columns
+are those that go on: for every start and piece length the 64-bit hashes of
+all their substrings probe the sorted piece hashes, and vectorised maxima
+store the backpointers. Characters without a piece are spelled in byte pieces,
+as is a literal ``▁``, so decoding is exact.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,7 +102,7 @@ class Pieces:
     """Pieces by id, and their sorted hashes by length in characters."""
 
     def __init__(self, pieces: list[tuple[str, float, int]]):
-        self.surface = [b""] * len(pieces)
+        surface = [b""] * len(pieces)
         self.byte_id: dict[int, int] = {}
         self.unknown = next((i for i, p in enumerate(pieces) if p[2] == UNKNOWN), 0)
         by_length: dict[int, list[tuple[str, float, int]]] = {}
@@ -108,12 +110,13 @@ class Pieces:
         for i, (text, score, type_) in enumerate(pieces):
             if type_ in (NORMAL, USER):
                 by_length.setdefault(len(text), []).append((text, score, i))
-                self.surface[i] = text.replace(MARK, " ").encode()
+                surface[i] = text.replace(MARK, " ").encode()
                 least = min(least, score)
             elif type_ == BYTE:
                 value = int(text[3:5], 16)
                 self.byte_id[value] = i
-                self.surface[i] = bytes([value])
+                surface[i] = bytes([value])
+        self.surface = pa.array(surface, pa.binary())
         self.fallback = least - UNKNOWN_PENALTY  # a byte costs more than any piece
         self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for n, group in by_length.items():
@@ -144,11 +147,12 @@ class Pieces:
         size = 1 + (points > 0x7F) + (points > 0x7FF) + ((points > 0xFFFF) & (points < 0x110000))
         return size * self.fallback
 
-    def viterbi(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best last piece of every prefix of the equally long columns: its
+    def viterbi(self, points: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best last piece of every prefix of the columns, longest first: its
         length and id, ``(length + 1, words)`` each; id -1 is a spelled
         character. Equal scores: the longer last piece."""
         size, n = points.shape
+        reach = np.searchsorted(-lengths, -np.arange(size + 1), side="right").tolist()  # words of that length at least
         best = np.full((size + 1, n), -np.inf)
         best[0] = 0
         back = np.ones((size + 1, n), np.int32)
@@ -156,12 +160,14 @@ class Pieces:
         spelled = self._fallbacks(points)
         for start in range(size):
             base = best[start]  # earlier starts, so longer pieces, came before
-            alone = base + spelled[start]
-            better = alone > best[start + 1]
+            n = reach[start + 1]
+            alone = base[:n] + spelled[start, :n]
+            better = np.flatnonzero(alone > best[start + 1, :n])
             best[start + 1][better], back[start + 1][better], piece[start + 1][better] = alone[better], 1, -1
             h = np.zeros(n, np.uint64)
             for width in range(1, min(self.longest, size - start) + 1):
-                h = _step(h, points[start + width - 1])
+                n = reach[start + width]
+                h = _step(h[:n], points[start + width - 1, :n])
                 if width not in self.tables:
                     continue
                 at, score, ids = self._probe(width, h)
@@ -207,30 +213,25 @@ class Pieces:
 
     def solve(self, new: set[str]) -> None:
         """Segment the words (``▁`` for a space) not yet solved."""
-        if self._held > CACHE_BYTES:
-            self.solved.clear()
-            self._held = 0
-        by_length: dict[int, list[str]] = {}
-        for w in new:
-            by_length.setdefault(len(w), []).append(w)
-        for size, group in by_length.items():
+        group = sorted(new, key=len, reverse=True)
+        start = 0
+        while start < len(group):
+            size = len(group[start])
+            part = group[start : start + (1 if size > LONG_WORD else BATCH_CELLS // size)]
+            start += len(part)
+            lengths = np.fromiter(map(len, part), np.int64, len(part))
+            points = _points(part, lengths)
             if size > LONG_WORD:
-                for w in group:
-                    back, piece = self._long(_points([w], size)[:, 0])
-                    self.solved[w] = self._trace(w, back, piece)
-                continue
-            step = max(1, BATCH_CELLS // size)
-            for start in range(0, len(group), step):
-                part = group[start : start + step]
-                back, piece = self.viterbi(_points(part, size))
-                self._trace_all(part, back, piece)
-
-    def _trace_all(self, part: list[str], back: np.ndarray, piece: np.ndarray) -> None:
+                self.solved[part[0]] = self._trace(part[0], *self._long(points[:, 0]))
+            else:
+                self._trace_all(part, lengths, *self.viterbi(points, lengths))
+
+    def _trace_all(self, part: list[str], lengths: np.ndarray, back: np.ndarray, piece: np.ndarray) -> None:
         """Follow the backpointers of all words at once."""
         n, size = len(part), back.shape[0] - 1
         chosen = np.full((n, size), -1, np.int32)
         used = np.zeros((n, size), bool)
-        end = np.full(n, size)
+        end = lengths.copy()
         row = np.arange(n)
         spelled = np.zeros(n, bool)
         while len(row):
@@ -250,15 +251,16 @@ class Pieces:
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Ids of each text (null: null; empty: none). One mark is put before
         the text, and every space becomes one."""
-        split = [None if t is None else _WORD.findall(" " + t) if t else [] for t in texts]
-        new = {w for s in split if s for w in s}.difference(self.solved)
+        split = [None if t is None else _split(t) if t else [] for t in texts]
+        words = set().union(*(s for s in split if s))
+        new = words.difference(self.solved)
         if new:
+            if self._held > CACHE_BYTES:
+                self.solved.clear()
+                self._held, new = 0, words
             self.solve(new)
-            missing = {w for s in split if s for w in s}.difference(self.solved)
-            if missing:  # the cache was emptied
-                self.solve(missing)
         get = self.solved.__getitem__
-        self._held += sum(160 + 4 * len(w) + len(get(w)) for w in new)
+        self._held += 160 * len(new) + 4 * sum(map(len, new)) + sum(map(len, map(get, new)))
         return [None if s is None else np.frombuffer(b"".join(map(get, s)), "<i4") for s in split]
 
     def decode(self, ids: np.ndarray | None) -> str | None:
@@ -266,18 +268,26 @@ class Pieces:
         nothing; the mark put before the text goes."""
         if ids is None:
             return None
-        surface, n = self.surface, len(self.surface)
-        data = b"".join([surface[i] for i in ids.tolist() if 0 <= i < n])
+        known = self.surface.take(pa.array(ids[(ids >= 0) & (ids < len(self.surface))]))
+        data = pc.binary_join(pa.ListArray.from_arrays([0, len(known)], known), b"")[0].as_py()
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
-def _points(group: list[str], size: int) -> np.ndarray:
-    """Code points in columns, a space as the mark, a literal mark as one that no piece has."""
-    points = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(len(group), size).T.astype(np.uint64)
-    literal = points == 0x2581
-    points[points == 0x20] = 0x2581
-    points[literal] = 0x3FFF2581  # as long in bytes as it, but no character
-    return points
+def _split(text: str) -> list[str]:
+    """The words of a text with a space put before it."""
+    parts = text.split(" ")
+    return _WORD.findall(" " + text) if "" in parts else [" " + p for p in parts]
+
+
+def _points(group: list[str], lengths: np.ndarray) -> np.ndarray:
+    """Code points in columns (0 after the end), a space as the mark, a literal mark as one that no piece has."""
+    flat = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    literal = flat == 0x2581
+    flat[flat == 0x20] = 0x2581
+    flat[literal] = 0x3FFF2581  # as long in bytes as it, but no character
+    points = np.zeros((len(group), int(lengths.max())), np.uint64)
+    points[np.arange(points.shape[1]) < lengths[:, None]] = flat
+    return np.ascontiguousarray(points.T)
 
 
 def load_model(path: str) -> bytes:

@@ -1,11 +1,14 @@
 """Viterbi segmentation against a plain one, and exact round trips."""
 
 import math
+import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from orderflow.llm import pieces as module
 from orderflow.llm.pieces import BYTE, MODEL_PATH, NORMAL, USER, Pieces, decode_documents, encode_documents, load_model, read_model, with_token_ids
 
 from .helpers import docs
@@ -48,6 +51,40 @@ def test_matches_a_plain_viterbi(model):
         assert pieces.decode(ids) == text
 
 
+def mixed_words(count, seed):
+    """``count`` words of every length up to 47 characters."""
+    rng = random.Random(seed)
+    return ["".join(rng.choices("etaonisthréñ日▁\n🙂", k=n)) for n in range(1, 48) for _ in range(count)]
+
+
+def test_words_of_unequal_length_are_solved_together(model, monkeypatch):
+    calls, solve = [], Pieces.viterbi
+    monkeypatch.setattr(Pieces, "viterbi", lambda self, points, *more: calls.append(points.shape[1]) or solve(self, points, *more))
+    words = mixed_words(4, 1)
+    random.Random(2).shuffle(words)
+    text = " ".join(words)
+    pieces = Pieces(model)
+    (ids,) = pieces.encode([text])
+    assert list(ids) == plain(text, model, pieces.fallback)
+    assert pieces.decode(ids) == text
+    assert sum(calls) == len(set(words)) and len(calls) == 1  # one for each length took most of the time
+
+
+def test_an_emptied_cache_changes_nothing(model, monkeypatch):
+    texts = [" ".join(mixed_words(1, i)) + " the  same words " for i in range(4)]
+    whole = Pieces(model).encode(texts)
+    monkeypatch.setattr(module, "CACHE_BYTES", 1 << 10)
+    pieces = Pieces(model)
+    assert [list(pieces.encode([t])[0]) for t in texts] == [list(i) for i in whole]
+
+
+def test_ids_outside_the_model_say_nothing(model):
+    pieces = Pieces(model)
+    (ids,) = pieces.encode(["a cat"])
+    assert pieces.decode(np.concatenate(([-1, 1, 1 << 30], ids, [len(model)])).astype(np.int32)) == "a cat"
+    assert pieces.decode(np.empty(0, np.int32)) == "" and pieces.decode(None) is None
+
+
 @given(st.lists(st.text(max_size=40), max_size=8))
 @settings(max_examples=40, deadline=None)
 def test_any_text_round_trips(texts):
